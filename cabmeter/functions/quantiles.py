@@ -112,6 +112,28 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     return picked.select(*by, *outs)
 
 
+def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
+                    by: Sequence[str] = (), method: str = "exact") -> DataFrame:
+    """Several (column, probability, output name) quantiles in ONE pass:
+    the columns are unpivoted into (metric, value) rows and the metric joins
+    the grouping key, so one shuffle and one checkpoint serve all of them."""
+    by = list(by)
+    cols = list(dict.fromkeys(c for c, _, _ in specs))
+    probs = sorted(set(p for _, p, _ in specs))
+    if len(cols) == 1:
+        names = [f"_p{i}" for i in range(len(probs))]
+        q = quantiles(df, cols[0], probs, names, by=by, method=method)
+        return q.select(*by, *[F.col(f"_p{probs.index(p)}").alias(out) for _, p, out in specs])
+    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_x"))
+                                for i, c in enumerate(cols)]))
+    long = df.select(*by, pairs.alias("_mx")).select(*by, "_mx._m", "_mx._x")
+    names = [f"_p{i}" for i in range(len(probs))]
+    q = quantiles(long, "_x", probs, names, by=by + ["_m"], method=method)
+    outs = [F.max(F.when(F.col("_m") == cols.index(c), F.col(f"_p{probs.index(p)}"))).alias(out)
+            for c, p, out in specs]
+    return q.groupBy(*by).agg(*outs)
+
+
 def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Null-safe join of two per-group results (both one row per group)."""
     by = list(by)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
-from ..functions.quantiles import attach, quantiles
+from ..functions.quantiles import attach, multi_quantiles
 from .rules import outlier_conditions
 from .topk import hash_order
 
@@ -40,9 +40,9 @@ def outlier_profile(df: DataFrame, method: str = "exact") -> DataFrame:
         F.max(S.DURATION).alias("dur_max"),
         F.min(S.DISTANCE).alias("dist_min"), F.avg(S.DISTANCE).alias("dist_mean"),
         F.max(S.DISTANCE).alias("dist_max"))
-    qd = quantiles(tagged, S.DURATION, [0.5], ["dur_median"], by=["group_id"], method=method)
-    qx = quantiles(tagged, S.DISTANCE, [0.5], ["dist_median"], by=["group_id"], method=method)
-    stats = attach(attach(base, qd, ["group_id"]), qx, ["group_id"])
+    med = multi_quantiles(tagged, [(S.DURATION, 0.5, "dur_median"),
+                                   (S.DISTANCE, 0.5, "dist_median")], by=["group_id"], method=method)
+    stats = attach(base, med, ["group_id"])
     out = attach(attach(F.broadcast(_group_list(df)), stats, ["group_id"]), total, [])
     trips = F.coalesce(F.col("trips"), F.lit(0)).cast("long")
     return out.select("group_id", "label", trips.alias("trips"),

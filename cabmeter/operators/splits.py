@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from .. import schema as S
 from ..functions import columns as C
-from ..functions.quantiles import attach, quantiles
+from ..functions.quantiles import attach, multi_quantiles, quantiles
 from .profile import duplicate_count
 
 SPLITS = ("train", "validation", "test")
@@ -60,10 +60,10 @@ def split_report(df: DataFrame, split: str = "split", method: str = "exact") ->
         F.min(S.DISTANCE).alias("dist_min"), F.avg(S.DISTANCE).alias("dist_mean"),
         F.max(S.DISTANCE).alias("dist_max"),
         nulls.alias("nulls"))
-    qd = quantiles(df, S.DURATION, [0.5], ["dur_median"], by=[split], method=method)
-    qx = quantiles(df, S.DISTANCE, [0.5], ["dist_median"], by=[split], method=method)
+    med = multi_quantiles(df, [(S.DURATION, 0.5, "dur_median"), (S.DISTANCE, 0.5, "dist_median")],
+                          by=[split], method=method)
     dups = duplicate_count(df, data_cols, by=[split]).select(split, "duplicate_rows")
-    out = attach(attach(attach(base, qd, [split]), qx, [split]), dups, [split])
+    out = attach(attach(base, med, [split]), dups, [split])
     share = C.pct(F.col("rows"), F.sum("rows").over(Window.partitionBy()))
     return out.select(split, "rows", share.alias("share"), "first_hour", "last_hour",
                       "dur_min", "dur_median", "dur_mean", "dur_max",

@@ -57,7 +57,7 @@ def rounded(df: DataFrame) -> DataFrame:
 # Shared inputs.
 # ---------------------------------------------------------------------------
 def trips(spark, sf):
-    return TR.fixture_trips(spark, sf)
+    return TR.materialized_trips(spark, sf)
 
 
 def cleaned(spark, sf):

@@ -53,9 +53,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (never local)."""
+    """Reliable checkpoint into the shared checkpoint folder (never local).
+
+    The frame is persisted first so the checkpoint write does not compute
+    it a second time; the cache is dropped once the files exist.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -105,10 +105,38 @@ def trips_from_lineitem(lineitem: DataFrame) -> DataFrame:
 
 
 def fixture_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw trips (F1) derived from the driver's ``lineitem`` table."""
+    """Raw trips (F1) derived from the driver's ``lineitem`` table (lazy)."""
     return trips_from_lineitem(_table(spark, sf_dir, "lineitem"))
 
 
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+def materialized_trips(spark: SparkSession, sf_dir: str, files: int | None = None) -> DataFrame:
+    """The derived trips written once per session as a Parquet table - the
+    stand-in for the raw trip files the operators normally read.
+
+    Rows are range-partitioned and sorted by pickup time, so each file and
+    row group covers one time range: time filters (splits, periods) skip
+    files by their min/max statistics, and every scan runs in parallel
+    even though the test table is a single row group.  The table lives in
+    the shared checkpoint folder, so a lost executor only re-reads files.
+    """
+    from ..session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        n = files or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        path = scratch_path(spark, "trips")
+        (fixture_trips(spark, sf_dir)
+         .repartitionByRange(n, F.col(S.PICKUP))
+         .sortWithinPartitions(S.PICKUP)
+         .write.mode("overwrite").option("compression", "zstd").parquet(path))
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
+
+
 def dup_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A projection of ``lineitem`` with many all-column duplicates."""
     li = _table(spark, sf_dir, "lineitem")
