@@ -135,12 +135,16 @@ def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
 
 
 def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Null-safe join of two per-group results (both one row per group)."""
+    """Null-safe join of two per-group results (both one row per group).
+
+    Without keys ``right`` is a global aggregate (exactly one row): it is
+    attached as one scalar subquery returning a struct, so no join is
+    planned at all."""
     by = list(by)
     if not by:
-        # Two global aggregates: one row each, joined on a constant key.
-        one = F.lit(0).alias("_k")
-        return left.select("*", one).join(right.select("*", one), "_k").drop("_k")
+        sub = right.select(F.struct(*[F.col(c) for c in right.columns]).alias("_s")).scalar()
+        return left.select("*", sub.alias("_s")).select(
+            *[F.col(c) for c in left.columns], *[F.col(f"_s.{c}").alias(c) for c in right.columns])
     rk = {b: f"_rk{i}" for i, b in enumerate(by)}
     r = right.select(*[F.col(c).alias(rk.get(c, c)) for c in right.columns])
     cond = None

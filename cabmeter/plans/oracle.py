@@ -704,5 +704,9 @@ FROM (SELECT CAST(range AS INTEGER) AS hour FROM range(24)) h LEFT JOIN (
 }
 
 
+ORACLE["stream_clean_trips"] = ORACLE["write_cleaned"]
+ORACLE["stream_validate_requests"] = ORACLE["validate_requests"]
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

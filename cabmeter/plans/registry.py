@@ -216,6 +216,23 @@ def q_fit_boosted(categorical):
     return run
 
 
+def q_stream_clean_trips(spark, sf):
+    from ..streaming import trips_stream as ST
+
+    base = scratch_path(spark, "stream_clean")
+    cleaned_stream = ST.clean_stream(ST.trips_stream(spark, sf))
+    return ST.run_available(cleaned_stream, f"{base}/out", f"{base}/checkpoint") \
+        .select(*S.CLEANED_COLUMNS)
+
+
+def q_stream_validate_requests(spark, sf):
+    from ..streaming import trips_stream as ST
+
+    base = scratch_path(spark, "stream_requests")
+    return ST.run_available(ST.validate_stream(ST.trips_stream(spark, sf)),
+                            f"{base}/out", f"{base}/checkpoint")
+
+
 def _q(fn, source):
     return lambda spark, sf: fn(source(spark, sf))
 
@@ -312,6 +329,9 @@ QUERIES: dict[str, Query] = {
     "overall_mae": lambda spark, sf: M.overall_mae(ols_scored(spark, sf, "test")),
     "mae_by_distance": lambda spark, sf: M.mae_by_distance(ols_scored(spark, sf, "test")),
     "mae_by_hour": lambda spark, sf: M.mae_by_hour(ols_scored(spark, sf, "test")),
+    # streaming: the row-local operators on a file stream of lineitem
+    "stream_clean_trips": q_stream_clean_trips,
+    "stream_validate_requests": q_stream_validate_requests,
 }
 
 
