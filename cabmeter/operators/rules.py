@@ -26,10 +26,6 @@ class Rule:
     reason: str
 
 
-def _d(c=S.DURATION):
-    return F.col(c)
-
-
 def default_rules(duration: str = S.DURATION, distance: str = S.DISTANCE,
                   passengers: str = S.PASSENGERS) -> list[Rule]:
     d, x, p = (lambda: F.col(duration)), (lambda: F.col(distance)), (lambda: F.col(passengers))

@@ -64,7 +64,8 @@ def split_report(df: DataFrame, split: str = "split", method: str = "exact") ->
                           by=[split], method=method)
     dups = duplicate_count(df, data_cols, by=[split]).select(split, "duplicate_rows")
     out = attach(attach(base, med, [split]), dups, [split])
-    share = C.pct(F.col("rows"), F.sum("rows").over(Window.partitionBy()))
+    out = attach(out, df.agg(F.count(F.lit(1)).alias("_total")), [])
+    share = C.pct(F.col("rows"), F.col("_total"))
     return out.select(split, "rows", share.alias("share"), "first_hour", "last_hour",
                       "dur_min", "dur_median", "dur_mean", "dur_max",
                       "dist_min", "dist_median", "dist_mean", "dist_max",

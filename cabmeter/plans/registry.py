@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
-from ..functions import columns as C
 from ..operators import features as FT
 from ..operators import model as M
 from ..operators import outliers as O

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from cabmeter import schema as S
 from cabmeter.operators import rules as R

@@ -8,7 +8,6 @@ from cabmeter import schema as S
 from cabmeter.operators import model as M
 from cabmeter.operators import profile as P
 from cabmeter.operators import rules as R
-from cabmeter.operators import splits as SP
 from cabmeter.sources import trips as TR
 from fixtures import frame, trip
 
