@@ -18,12 +18,19 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def wall_seconds(ts: str | Column) -> Column:
+    """Whole seconds since 1970-01-01 00:00:00 of a wall-clock timestamp,
+    from its calendar fields only, so the session time zone (and its
+    daylight-saving gaps) never enters."""
+    t = col(ts)
+    return (F.unix_date(F.to_date(t)).cast("long") * 86400 + F.hour(t) * 3600
+            + F.minute(t) * 60 + F.second(t))
+
+
 def trip_minutes(pickup: str | Column = S.PICKUP,
                  dropoff: str | Column = S.DROPOFF) -> Column:
     """Minutes between pickup and dropoff (whole seconds / 60)."""
-    seconds = F.unix_micros(col(dropoff).cast("timestamp")) \
-        - F.unix_micros(col(pickup).cast("timestamp"))
-    return F.floor(seconds / F.lit(1_000_000)).cast("double") / F.lit(60.0)
+    return (wall_seconds(dropoff) - wall_seconds(pickup)).cast("double") / F.lit(60.0)
 
 
 def year_of(ts: str | Column) -> Column:
