@@ -63,10 +63,11 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    spark = df.sparkSession
-    nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counted = data.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    ranged = counted.repartitionByRange(nparts, *by, "_v").sortWithinPartitions(*by, "_v")
+    # Without an explicit count AQE may merge adjacent ranges; a merged
+    # partition still covers one contiguous, ordered value range.
+    ranged = (counted.repartitionByRange(partitions, *by, "_v") if partitions
+              else counted.repartitionByRange(*by, "_v")).sortWithinPartitions(*by, "_v")
     out_schema = T.StructType(
         [f for f in counted.schema.fields]
         + [T.StructField("_pos", T.LongType()), T.StructField("_pid", T.IntegerType())])
