@@ -8,8 +8,9 @@ Plan (``method="exact"``):
 2. ``repartitionByRange(by, value)`` + ``sortWithinPartitions`` - every
    partition holds one contiguous value range; a running count per
    partition is taken in Arrow batches (``mapInPandas``, no shuffle).
-3. Reliable checkpoint: the partition number of each row is now data, so
-   the two uses below see the same assignment even after an executor loss.
+3. The ranked rows are written as a Parquet table in the shared checkpoint
+   folder: the partition number of each row is now data, so the two uses
+   below see the same assignment even after an executor loss.
 4. Per (partition, group) totals - at most partitions + groups rows - give
    each partition's offset inside its group by a small window.
 5. The rows that hold ranks ``floor((n-1)p)`` and ``ceil((n-1)p)`` are
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import cut_lineage
+from ..session import write_through
 
 
 def _partition_positions(batches):
@@ -71,7 +72,7 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
     out_schema = T.StructType(
         [f for f in counted.schema.fields]
         + [T.StructField("_pos", T.LongType()), T.StructField("_pid", T.IntegerType())])
-    positioned = cut_lineage(ranged.mapInPandas(_partition_positions, out_schema))
+    positioned = write_through(ranged.mapInPandas(_partition_positions, out_schema), "quantile-ranks")
 
     # Per (partition, group): rows and first position - small.
     part = positioned.groupBy("_pid", *by).agg(

@@ -66,6 +66,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         df.unpersist()
 
 
+def write_through(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage by writing a Parquet table into the shared checkpoint
+    folder (one job) and reading it back: later stages read columnar files,
+    and a lost executor costs a file re-read, not a recomputation."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for written tables under the shared checkpoint folder."""
     base = checkpoint_dir(spark)
