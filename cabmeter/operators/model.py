@@ -51,9 +51,19 @@ def fit_boosted(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
                 max_depth: int = S.BOOST_DEPTH, min_leaf: int = S.BOOST_MIN_LEAF,
                 step: float = S.BOOST_RATE, max_bins: int = S.BOOST_BINS,
                 seed: int = S.BOOST_SEED, max_categories: int = 32,
-                persist: bool = True) -> PipelineModel:
+                persist: bool = True, zones_categorical: bool = False) -> PipelineModel:
     """Boosted regression trees; the listed categorical columns are marked
-    categorical (``VectorIndexer`` on their own vector), the rest numeric."""
+    categorical (``VectorIndexer`` on their own vector), the rest numeric.
+
+    ``zones_categorical`` moves the pickup/dropoff zones to the categorical
+    side (Spark has no 255-category ceiling; ``maxBins`` is raised to cover
+    the 265 zones).  Off by default, as in the reference."""
+    if zones_categorical:
+        zones = [S.PU_ZONE, S.DO_ZONE]
+        numeric = [c for c in numeric if c not in zones]
+        categorical = list(categorical) + [z for z in zones if z not in categorical]
+        max_categories = max(max_categories, S.ZONE_RANGE[1] + 1)
+        max_bins = max(max_bins, S.ZONE_RANGE[1] + 1)
     stages = []
     cat_vec = []
     if categorical:
@@ -114,13 +124,19 @@ def target_stats(df: DataFrame, target: str = S.DURATION, method: str = "exact")
 
 def regression_metrics(scored: DataFrame, label: str = S.DURATION,
                        prediction: str = "prediction") -> DataFrame:
-    """MAE, RMSE and R^2 = 1 - SSE/SST in one aggregate."""
+    """MAE, RMSE and R^2 = 1 - SSE/SST in one aggregate.
+
+    A constant label (SST = 0) gives R^2 = 1.0 for a perfect fit and 0.0
+    otherwise; an empty input gives NULL."""
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     err = y - p
     a = scored.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(err)).alias("MAE"),
                    F.sqrt(F.avg(err * err)).alias("RMSE"), F.sum(err * err).alias("_sse"),
                    F.var_pop(y).alias("_var"))
-    r2 = F.lit(1.0) - F.try_divide(F.col("_sse"), F.col("n") * F.col("_var"))
+    sst = F.col("n") * F.col("_var")
+    r2 = (F.when(F.col("n") == 0, F.lit(None).cast("double"))
+          .when(sst == 0, F.when(F.col("_sse") == 0, F.lit(1.0)).otherwise(F.lit(0.0)))
+          .otherwise(F.lit(1.0) - F.col("_sse") / sst))
     return a.select("n", "MAE", "RMSE", r2.alias("R2"))
 
 

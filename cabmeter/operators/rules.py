@@ -220,3 +220,9 @@ def validate_requests(requests: DataFrame) -> DataFrame:
         S.LONG_HAUL: C.long_haul_flag(S.DISTANCE),
         "dow_sunday0": F.pmod(F.col(S.DOW) + 1, F.lit(7)).cast("int"),
     })
+
+
+def split_requests(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) views of validated requests - two filters over
+    the same lazy plan, no extra pass until each is used."""
+    return (validated.where(F.col("is_valid")), validated.where(~F.col("is_valid")))

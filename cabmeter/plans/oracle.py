@@ -196,8 +196,12 @@ scored AS (
 METRICS_BODY = """
 SELECT COUNT(*) AS n, AVG(ABS(trip_duration_minutes - prediction)) AS MAE,
        SQRT(AVG((trip_duration_minutes - prediction) * (trip_duration_minutes - prediction))) AS RMSE,
-       1.0 - SUM((trip_duration_minutes - prediction) * (trip_duration_minutes - prediction))
-             / NULLIF(COUNT(*) * VAR_POP(trip_duration_minutes), 0) AS R2
+       CASE WHEN COUNT(*) = 0 THEN NULL
+            WHEN COUNT(*) * VAR_POP(trip_duration_minutes) = 0 THEN
+                 CASE WHEN SUM((trip_duration_minutes - prediction) * (trip_duration_minutes - prediction)) = 0
+                      THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END
+            ELSE 1.0 - SUM((trip_duration_minutes - prediction) * (trip_duration_minutes - prediction))
+                 / (COUNT(*) * VAR_POP(trip_duration_minutes)) END AS R2
 FROM scored"""
 
 ERROR_BUCKETS = """
@@ -705,6 +709,7 @@ FROM (SELECT CAST(range AS INTEGER) AS hour FROM range(24)) h LEFT JOIN (
 
 
 ORACLE["stream_clean_trips"] = ORACLE["write_cleaned"]
+ORACLE["rule_impact_on_write"] = ORACLE["rule_impact"]
 ORACLE["stream_validate_requests"] = ORACLE["validate_requests"]
 
 

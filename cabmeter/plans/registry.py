@@ -101,6 +101,18 @@ def q_write_cleaned(spark, sf):
     return sinks.write_cleaned(cleaned(spark, sf), scratch_path(spark, "cleaned"))
 
 
+def q_rule_impact_on_write(spark, sf):
+    _, counts = sinks.clean_and_write(trips(spark, sf), scratch_path(spark, "cleaned_obs"))
+    rules = R.default_rules()
+    rows = [(r.rule_id, r.name, r.action, int(counts[f"rule_{r.rule_id}"]),
+             int(counts["original_rows"])) for r in rules]
+    df = spark.createDataFrame(rows, "rule_id INT, rule STRING, action STRING, "
+                                     "rows_matched BIGINT, total BIGINT")
+    return df.select("rule_id", "rule", "action", "rows_matched",
+                     F.try_divide(F.col("rows_matched").cast("double") * F.lit(100.0),
+                                  F.col("total").cast("double")).alias("pct"))
+
+
 def q_write_splits(spark, sf):
     back = sinks.write_splits(split_frame(spark, sf), scratch_path(spark, "splits"))
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
@@ -242,6 +254,7 @@ QUERIES: dict[str, Query] = {
     "scan_projected": q_scan_projected,
     "write_cleaned": q_write_cleaned,
     "write_splits": q_write_splits,
+    "rule_impact_on_write": q_rule_impact_on_write,
     "write_scored": q_write_scored,
     "model_round_trip": q_model_round_trip,
     # 2.2 projections and features

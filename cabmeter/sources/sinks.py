@@ -29,6 +29,26 @@ def write_cleaned(cleaned: DataFrame, path: str) -> DataFrame:
     return back.select(*cleaned.columns)
 
 
+def clean_and_write(trips: DataFrame, path: str, rules=None):
+    """Clean, project and write in ONE pass while counting every rule on the
+    input rows with an ``Observation`` (metrics ride along with the write
+    job; only a handful of counts reach the driver).  Returns the read-back
+    table and the observed counts as a dict."""
+    from pyspark.sql import Observation
+
+    from ..operators.features import model_frame
+    from ..operators.rules import clean_trips, default_rules, removal_condition
+
+    rules = rules or default_rules()
+    obs = Observation("cleaning_rules")
+    observed = trips.observe(
+        obs, F.count(F.lit(1)).alias("original_rows"),
+        F.count_if(removal_condition(rules)).alias("removed_rows"),
+        *[F.count_if(r.condition()).alias(f"rule_{r.rule_id}") for r in rules])
+    back = write_cleaned(model_frame(clean_trips(observed, rules)), path)
+    return back, obs.get
+
+
 def write_splits(split_df: DataFrame, path: str, split: str = "split") -> DataFrame:
     """One folder per split (``split=train`` ...); reading a single split
     later prunes the other folders.  Rows outside every split are not written."""

@@ -81,3 +81,23 @@ def test_feature_cardinality_flags(spark):
     out = {r.feature: r for r in M.feature_cardinality(
         df.withColumn("pickup_year", F.lit(2023)), categorical=[S.MONTH, "pickup_year"]).collect()}
     assert out["pickup_year"].constant_in_train and not out[S.MONTH].constant_in_train
+
+
+def test_r2_constant_label(spark):
+    perfect = spark.createDataFrame([(3.0, 3.0), (3.0, 3.0)], "trip_duration_minutes double, prediction double")
+    off = spark.createDataFrame([(3.0, 2.0), (3.0, 3.0)], "trip_duration_minutes double, prediction double")
+    assert M.regression_metrics(perfect).collect()[0].R2 == 1.0
+    assert M.regression_metrics(off).collect()[0].R2 == 0.0
+
+
+def test_split_requests_and_zone_switch(spark):
+    from cabmeter.operators import rules as R
+    df, _ = _frame(spark, n=400)
+    v = R.validate_requests(df.select(*S.OLS_FEATURES, S.PU_ZONE, S.DO_ZONE, S.RATECODE, S.VENDOR)
+                            .withColumn(S.PASSENGERS, F.when(F.col(S.PASSENGERS) > 5, 9)
+                                        .otherwise(F.col(S.PASSENGERS))))
+    ok, bad = R.split_requests(v)
+    assert ok.count() + bad.count() == 400 and bad.count() > 0
+    model = M.fit_boosted(df, numeric=[S.DISTANCE, S.PU_ZONE, S.DO_ZONE], categorical=[S.MONTH],
+                          max_iter=3, zones_categorical=True)
+    assert model.transform(df).count() == 400
