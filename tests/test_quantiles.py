@@ -53,3 +53,12 @@ def test_property_exact(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     got = quantiles(df, "v", [p], partitions=3).collect()[0][0]
     assert got == pytest.approx(_np(values, p))
+
+
+def test_approx_method_close(spark):
+    rng = np.random.default_rng(11)
+    vals = rng.normal(50, 10, 20000).tolist()
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    got = quantiles(df, "v", [0.25, 0.5, 0.75], method="approx").collect()[0]
+    for i, p in enumerate([0.25, 0.5, 0.75]):
+        assert abs(got[i] - _np(vals, p)) < 0.05
