@@ -1,20 +1,28 @@
 """Exact, linearly interpolated quantiles (``PERCENTILE_CONT``) that never
 hold a whole group in one task.
 
-Plan (``method="exact"``):
-
-1. ``groupBy(by, value).count()`` - map-side combine collapses repeated
-   values, so a hot value or a hot group costs one row.
-2. ``repartitionByRange(by, value)`` + ``sortWithinPartitions`` - every
-   partition holds one contiguous value range; a running count per
-   partition is taken in Arrow batches (``mapInPandas``, no shuffle).
-3. The ranked rows are written as a Parquet table in the shared checkpoint
-   folder: the partition number of each row is now data, so the two uses
-   below see the same assignment even after an executor loss.
-4. Per (partition, group) totals - at most partitions + groups rows - give
-   each partition's offset inside its group by a small window.
-5. The rows that hold ranks ``floor((n-1)p)`` and ``ceil((n-1)p)`` are
-   picked with ``max(when(...))`` - a partial aggregate, no row collection.
+``method="exact"`` (default), JVM only:
+
+1. One ``percentile_approx`` job over all rows gives global equi-depth
+   bucket bounds (a bounded sketch; only ``buckets`` numbers reach the
+   driver).
+2. ``groupBy(by, value).count()`` collapses repeated values on the map
+   side, so a hot value costs one row; ``Bucketizer`` (binary search)
+   labels each distinct value with its bucket.
+3. A window over (group, bucket) ordered by value gives running counts.
+   Each bucket holds about 1/buckets of all rows, so no window partition is
+   larger than that, however skewed the groups are.
+4. Per-(group, bucket) totals (at most groups x buckets rows) give each
+   bucket's offset inside its group by a second small window.
+5. The rows holding ranks ``floor((n-1)p)`` and ``ceil((n-1)p)`` are picked
+   with ``max(when(...))``, a partial aggregate with no row collection.
+
+Bucket ids are a pure function of the value, so recomputing after a lost
+executor gives the same answer without a lineage cut.
+
+``method="exact_ranked"``: range partitioning with a running count per
+partition (``mapInPandas``), cut by a written Parquet table in the shared
+checkpoint folder. Same results; kept as a cross-check.
 
 ``method="approx"`` uses ``percentile_approx`` (bounded sketch per group).
 """
@@ -61,7 +69,9 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         arr = F.percentile_approx("_v", list(probs), accuracy)
         out = data.groupBy(*by).agg(arr.alias("_q"))
         return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    if method != "exact":
+    if method == "exact":
+        return _exact_bucketed(df.sparkSession, data, probs, names, by, partitions)
+    if method != "exact_ranked":
         raise ValueError(f"unknown quantile method {method!r}")
 
     counted = data.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
@@ -136,6 +146,70 @@ def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     return q.groupBy(*by).agg(*outs)
 
 
+def _pick(ranked: DataFrame, probs: Sequence[float], names: Sequence[str],
+          by: list[str]) -> DataFrame:
+    """From rows (by, _v, _c, _start, _n) pick the values at ranks
+    floor((n-1)p) and ceil((n-1)p) and interpolate (PERCENTILE_CONT)."""
+    start, end = F.col("_start"), F.col("_start") + F.col("_c")
+    aggs = [F.max("_n").alias("_n")]
+    for i, p in enumerate(probs):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        lo, hi = F.floor(pos), F.ceil(pos)
+        aggs.append(F.max(F.when((start <= lo) & (lo < end), F.col("_v"))).alias(f"_lo{i}"))
+        aggs.append(F.max(F.when((start <= hi) & (hi < end), F.col("_v"))).alias(f"_hi{i}"))
+    picked = ranked.groupBy(*by).agg(*aggs)
+    outs = []
+    for i, (p, n) in enumerate(zip(probs, names)):
+        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
+        frac = pos - F.floor(pos)
+        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
+        outs.append(F.when(F.floor(pos) == F.ceil(pos), lo)
+                     .otherwise(lo + (hi - lo) * frac).alias(n))
+    return picked.select(*by, *outs)
+
+
+def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
+                    buckets: int | None) -> DataFrame:
+    """Exact quantiles over value buckets.
+
+    Global equi-depth bucket bounds come from one ``percentile_approx`` job
+    (a bounded sketch; only ``buckets`` numbers reach the driver).  Every
+    bucket then holds about 1/buckets of all rows, so no (group, bucket)
+    is larger than that however skewed the groups are; repeated values are
+    collapsed first.  Bucket ids are a pure function of the value
+    (``Bucketizer``, binary search), so recomputation after a lost executor
+    gives the same answer - no lineage cut needed.
+    """
+    import math
+
+    from pyspark.ml.feature import Bucketizer
+
+    nb = max(2, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    grid = [i / nb for i in range(1, nb)]
+    bounds = data.agg(F.percentile_approx("_v", grid, max(10000, 50 * nb)).alias("b")).collect()[0].b
+    inner = sorted({float(x) for x in (bounds or []) if x is not None and not math.isnan(x)
+                    and not math.isinf(x)})
+    splits = [-math.inf] + (inner or [0.0]) + [math.inf]   # Bucketizer needs >= 3
+    counted = data.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_b",
+                          handleInvalid="keep").transform(counted)
+    w_in = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    local = bucketed.withColumn("_before", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
+    totals = local.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
+    w_grp = Window.partitionBy(*by)
+    w_off = w_grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    bk = {b: f"_bk{i}" for i, b in enumerate(by)}
+    totals = totals.select(*[F.col(b).alias(bk[b]) for b in by], F.col("_b").alias("_tb"),
+                           F.coalesce(F.sum("_bc").over(w_off), F.lit(0)).alias("_off"),
+                           F.sum("_bc").over(w_grp).alias("_n"))
+    cond = F.col("_b") == F.col("_tb")
+    for b in by:
+        cond = cond & F.col(b).eqNullSafe(F.col(bk[b]))
+    ranked = local.join(totals, cond, "inner").select(
+        *by, "_v", "_c", (F.col("_off") + F.col("_before")).alias("_start"), "_n")
+    return _pick(ranked, probs, names, by)
+
+
 def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:
     """Null-safe join of two per-group results (both one row per group).
 

@@ -62,3 +62,12 @@ def test_approx_method_close(spark):
     got = quantiles(df, "v", [0.25, 0.5, 0.75], method="approx").collect()[0]
     for i, p in enumerate([0.25, 0.5, 0.75]):
         assert abs(got[i] - _np(vals, p)) < 0.05
+
+
+def test_both_exact_methods_agree(spark):
+    rng = np.random.default_rng(5)
+    rows = [("a" if i % 3 else "b", float(x)) for i, x in enumerate(rng.gamma(2.0, 3.0, 4000).round(3))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    a = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact").collect())
+    b = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact_ranked").collect())
+    assert a == b
