@@ -234,7 +234,7 @@ requests AS (
   FROM trips),
 validated AS (
   SELECT *, concat_ws('; ',
-      CASE WHEN trip_distance IS NULL OR isnan(trip_distance) OR trip_distance < 0 THEN 'trip_distance must be >= 0' END,
+      CASE WHEN trip_distance IS NULL OR trip_distance < 0 THEN 'trip_distance must be >= 0' END,
       CASE WHEN passenger_count IS NULL OR NOT (passenger_count BETWEEN 1 AND 6) THEN 'passenger_count must be 1-6' END,
       CASE WHEN pickup_hour IS NULL OR NOT (pickup_hour BETWEEN 0 AND 23) THEN 'pickup_hour must be 0-23' END,
       CASE WHEN pickup_day_of_week IS NULL OR NOT (pickup_day_of_week BETWEEN 0 AND 6) THEN 'pickup_day_of_week must be 0-6' END,
