@@ -105,23 +105,7 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         *by, "_v", "_c", (F.col("_pos") - F.col("_first") + F.col("_off")).alias("_start"),
         "_n")
 
-    start, end = F.col("_start"), F.col("_start") + F.col("_c")
-    aggs = [F.max("_n").alias("_n")]
-    for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs.append(F.max(F.when((start <= lo) & (lo < end), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when((start <= hi) & (hi < end), F.col("_v"))).alias(f"_hi{i}"))
-    picked = ranked.groupBy(*by).agg(*aggs)
-
-    outs = []
-    for i, (p, n) in enumerate(zip(probs, names)):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        frac = pos - F.floor(pos)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        outs.append(F.when(F.floor(pos) == F.ceil(pos), lo)
-                     .otherwise(lo + (hi - lo) * frac).alias(n))
-    return picked.select(*by, *outs)
+    return _pick(ranked, probs, names, by)
 
 
 def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
@@ -146,66 +130,98 @@ def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
     return q.groupBy(*by).agg(*outs)
 
 
+def _pos(p: float) -> str:
+    """SQL for the fractional rank (n-1)p (DOUBLE, as PERCENTILE_CONT)."""
+    return f"(CAST(_n - 1 AS DOUBLE) * CAST('{float(p)!r}' AS DOUBLE))"
+
+
 def _pick(ranked: DataFrame, probs: Sequence[float], names: Sequence[str],
           by: list[str]) -> DataFrame:
     """From rows (by, _v, _c, _start, _n) pick the values at ranks
-    floor((n-1)p) and ceil((n-1)p) and interpolate (PERCENTILE_CONT)."""
-    start, end = F.col("_start"), F.col("_start") + F.col("_c")
+    floor((n-1)p) and ceil((n-1)p) and interpolate (PERCENTILE_CONT).
+
+    Expressions are SQL strings: one call each to build, however many
+    probabilities there are."""
     aggs = [F.max("_n").alias("_n")]
     for i, p in enumerate(probs):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        aggs.append(F.max(F.when((start <= lo) & (lo < end), F.col("_v"))).alias(f"_lo{i}"))
-        aggs.append(F.max(F.when((start <= hi) & (hi < end), F.col("_v"))).alias(f"_hi{i}"))
+        for side, fn in (("lo", "floor"), ("hi", "ceil")):
+            r = f"{fn}({_pos(p)})"
+            aggs.append(F.expr(
+                f"max(CASE WHEN _start <= {r} AND {r} < _start + _c THEN _v END) AS _{side}{i}"))
     picked = ranked.groupBy(*by).agg(*aggs)
-    outs = []
-    for i, (p, n) in enumerate(zip(probs, names)):
-        pos = (F.col("_n") - 1).cast("double") * F.lit(float(p))
-        frac = pos - F.floor(pos)
-        lo, hi = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        outs.append(F.when(F.floor(pos) == F.ceil(pos), lo)
-                     .otherwise(lo + (hi - lo) * frac).alias(n))
+    outs = [F.expr(f"CASE WHEN floor({_pos(p)}) = ceil({_pos(p)}) THEN _lo{i} "
+                   f"ELSE _lo{i} + (_hi{i} - _lo{i}) * ({_pos(p)} - floor({_pos(p)})) END "
+                   f"AS `{n}`")
+            for i, (p, n) in enumerate(zip(probs, names))]
     return picked.select(*by, *outs)
 
 
 def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
                     buckets: int | None) -> DataFrame:
-    """Exact quantiles over value buckets.
-
-    Global equi-depth bucket bounds come from one ``percentile_approx`` job
-    (a bounded sketch; only ``buckets`` numbers reach the driver).  Every
-    bucket then holds about 1/buckets of all rows, so no (group, bucket)
-    is larger than that however skewed the groups are; repeated values are
-    collapsed first.  Bucket ids are a pure function of the value
-    (``Bucketizer``, binary search), so recomputation after a lost executor
-    gives the same answer - no lineage cut needed.
+    """Exact quantiles over value buckets, ranking only the buckets that
+    hold a wanted rank.
+
+    1. Global equi-depth bucket bounds come from one ``percentile_approx``
+       job (a bounded sketch; only ``buckets`` numbers reach the driver).
+       Bucket ids are a pure function of the value (``Bucketizer``, binary
+       search), so recomputation after a lost executor gives the same
+       answer - no lineage cut needed.
+    2. Rows per (group, bucket): a partial aggregate, at most
+       groups x buckets rows, whatever the data size.  A window over that
+       small table gives each bucket's offset in its group and the group
+       size, hence the buckets holding ranks ``floor((n-1)p)`` and
+       ``ceil((n-1)p)``: at most 2 x probs buckets per group.
+    3. Only rows in such buckets are ranked (the set of wanted bucket ids,
+       at most ``buckets`` integers, is a scalar subquery): repeated values
+       are collapsed map-side, then a window over (group, bucket) ordered
+       by value gives running counts.  Each bucket holds about
+       1/buckets of all rows, so no window partition is larger than that
+       however skewed the groups are, and the ranking shuffle carries about
+       2 x probs / buckets of the rows.
     """
     import math
 
     from pyspark.ml.feature import Bucketizer
 
-    nb = max(2, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # Enough buckets that the ranked share (about 2 x probs / buckets) is
+    # small, few enough that the bounds sketch stays cheap; the sketch's
+    # rank error 1/accuracy keeps every bucket within ~10 % of 1/buckets.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nb = max(2, buckets or min(1024, max(128, 4 * parts)))
     grid = [i / nb for i in range(1, nb)]
-    bounds = data.agg(F.percentile_approx("_v", grid, max(10000, 50 * nb)).alias("b")).collect()[0].b
+    sketch = f"percentile_approx(_v, array({', '.join(repr(g) + 'D' for g in grid)}), {max(10000, 10 * nb)})"
+    bounds = data.agg(F.expr(sketch).alias("b")).collect()[0].b
     inner = sorted({float(x) for x in (bounds or []) if x is not None and not math.isnan(x)
                     and not math.isinf(x)})
     splits = [-math.inf] + (inner or [0.0]) + [math.inf]   # Bucketizer needs >= 3
-    counted = data.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_b",
-                          handleInvalid="keep").transform(counted)
-    w_in = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    local = bucketed.withColumn("_before", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
-    totals = local.groupBy(*by, "_b").agg(F.sum("_c").alias("_bc"))
+    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_bd",
+                          handleInvalid="keep").transform(data) \
+        .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
+
+    # Step 2: per-(group, bucket) sizes -> offsets, group sizes, wanted buckets.
+    totals = bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bc"))
     w_grp = Window.partitionBy(*by)
     w_off = w_grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    bk = {b: f"_bk{i}" for i, b in enumerate(by)}
-    totals = totals.select(*[F.col(b).alias(bk[b]) for b in by], F.col("_b").alias("_tb"),
+    totals = totals.select(*by, "_b", "_bc",
                            F.coalesce(F.sum("_bc").over(w_off), F.lit(0)).alias("_off"),
                            F.sum("_bc").over(w_grp).alias("_n"))
+    wanted = " OR ".join(f"(_off <= {fn}({_pos(p)}) AND {fn}({_pos(p)}) < _off + _bc)"
+                         for p in probs for fn in ("floor", "ceil"))
+    targets = totals.where(F.expr(wanted)).drop("_bc")
+    wanted_ids = targets.agg(F.coalesce(F.collect_set("_b"), F.array().cast("array<int>"))).scalar()
+
+    # Step 3: rank only inside the wanted buckets.
+    counted = bucketed.where(F.array_contains(wanted_ids, F.col("_b"))) \
+        .groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    w_in = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    local = counted.withColumn("_before", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
+    tk = {b: f"_tk{i}" for i, b in enumerate(by)}
+    targets = targets.select(*[F.col(b).alias(tk[b]) for b in by], F.col("_b").alias("_tb"),
+                             "_off", "_n")
     cond = F.col("_b") == F.col("_tb")
     for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(bk[b]))
-    ranked = local.join(totals, cond, "inner").select(
+        cond = cond & F.col(b).eqNullSafe(F.col(tk[b]))
+    ranked = local.join(targets, cond, "inner").select(
         *by, "_v", "_c", (F.col("_off") + F.col("_before")).alias("_start"), "_n")
     return _pick(ranked, probs, names, by)
 
