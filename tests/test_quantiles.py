@@ -71,3 +71,22 @@ def test_both_exact_methods_agree(spark):
     a = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact").collect())
     b = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact_ranked").collect())
     assert a == b
+
+
+@pytest.mark.parametrize("buckets", [None, 4, 64])
+def test_hot_value_and_wanted_buckets_only(spark, buckets):
+    # One value holds 40 % of the rows of the hot group and of all rows:
+    # wanted ranks fall inside it and on both sides of its bucket edges.
+    rng = np.random.default_rng(17)
+    hot = [7.25] * 4000 + rng.normal(7, 3, 3000).round(4).tolist()
+    cold = rng.uniform(-5, 30, 3000).round(3).tolist()
+    rows = [("h", v) for v in hot] + [("c", v) for v in cold]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = [0.0, 0.02, 0.3, 0.5, 0.61, 0.99, 1.0]
+    got = {r.g: r for r in quantiles(df, "v", probs, by=["g"], partitions=buckets).collect()}
+    for key, vals in (("h", hot), ("c", cold)):
+        for i, p in enumerate(probs):
+            assert got[key][i + 1] == pytest.approx(_np(vals, p), rel=1e-12, abs=1e-12)
+    whole = quantiles(df, "v", probs, partitions=buckets).collect()[0]
+    for i, p in enumerate(probs):
+        assert whole[i] == pytest.approx(_np(hot + cold, p), rel=1e-12, abs=1e-12)
