@@ -57,7 +57,7 @@ def _partition_positions(batches):
 def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
               names: Sequence[str] | None = None, by: Sequence[str] = (),
               method: str = "exact", accuracy: int = 100000,
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None, fan_in: int = 1024) -> DataFrame:
     """One row per group of ``by`` with one column per probability."""
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 1000)):04d}" for p in probs]
@@ -70,7 +70,7 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
         out = data.groupBy(*by).agg(arr.alias("_q"))
         return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     if method == "exact":
-        return _exact_bucketed(df.sparkSession, data, probs, names, by, partitions)
+        return _exact_bucketed(df.sparkSession, data, probs, names, by, partitions, fan_in)
     if method != "exact_ranked":
         raise ValueError(f"unknown quantile method {method!r}")
 
@@ -156,13 +156,46 @@ def _pick(ranked: DataFrame, probs: Sequence[float], names: Sequence[str],
     return picked.select(*by, *outs)
 
 
+def _sketch(col: str, grid: Sequence[float], accuracy: int) -> Column:
+    return F.expr(f"percentile_approx({col}, array({', '.join(repr(g) + 'D' for g in grid)}), "
+                  f"{accuracy})")
+
+
+def bucket_bounds(data: DataFrame, nb: int, accuracy: int, fan_in: int = 1024) -> list[float]:
+    """Approximately equi-depth bounds of column ``_v`` for ``nb`` buckets.
+
+    A global ``percentile_approx`` merges one partial sketch per input
+    partition in a single task.  Up to ``fan_in`` partitions that is cheap;
+    beyond it the rows are salted by input partition (``K`` salts, each
+    merging at most ``fan_in`` sketches), every salt reports ``2 x nb``
+    points of its distribution, and the bounds are quantiles of the pooled
+    points.  The bounds only balance the buckets; results stay exact
+    whatever they are.  At most ``nb - 1`` numbers reach the driver.
+    The partition count is read from the plan (no job for a frame without
+    a shuffle, which is what the operators pass).
+    """
+    grid = [i / nb for i in range(1, nb)]
+    parts = data.rdd.getNumPartitions()
+    if parts <= fan_in:
+        bounds = data.agg(_sketch("_v", grid, accuracy).alias("b")).collect()[0].b
+    else:
+        k = -(-parts // fan_in)
+        fine = [i / (2 * nb) for i in range(1, 2 * nb)]
+        points = data.groupBy((F.spark_partition_id() % k).alias("_s")) \
+            .agg(_sketch("_v", fine, accuracy).alias("_p")) \
+            .select(F.explode("_p").alias("_v"))
+        bounds = points.agg(_sketch("_v", grid, accuracy).alias("b")).collect()[0].b
+    return [float(x) for x in (bounds or []) if x is not None]
+
+
 def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
-                    buckets: int | None) -> DataFrame:
+                    buckets: int | None, fan_in: int = 1024) -> DataFrame:
     """Exact quantiles over value buckets, ranking only the buckets that
     hold a wanted rank.
 
     1. Global equi-depth bucket bounds come from one ``percentile_approx``
-       job (a bounded sketch; only ``buckets`` numbers reach the driver).
+       job (a bounded sketch, salted beyond ``fan_in`` input partitions;
+       only ``buckets`` numbers reach the driver).
        Bucket ids are a pure function of the value (``Bucketizer``, binary
        search), so recomputation after a lost executor gives the same
        answer - no lineage cut needed.
@@ -188,11 +221,8 @@ def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
     # rank error 1/accuracy keeps every bucket within ~10 % of 1/buckets.
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     nb = max(2, buckets or min(1024, max(128, 4 * parts)))
-    grid = [i / nb for i in range(1, nb)]
-    sketch = f"percentile_approx(_v, array({', '.join(repr(g) + 'D' for g in grid)}), {max(10000, 10 * nb)})"
-    bounds = data.agg(F.expr(sketch).alias("b")).collect()[0].b
-    inner = sorted({float(x) for x in (bounds or []) if x is not None and not math.isnan(x)
-                    and not math.isinf(x)})
+    bounds = bucket_bounds(data, nb, max(10000, 10 * nb), fan_in)
+    inner = sorted({x for x in bounds if not math.isnan(x) and not math.isinf(x)})
     splits = [-math.inf] + (inner or [0.0]) + [math.inf]   # Bucketizer needs >= 3
     bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_bd",
                           handleInvalid="keep").transform(data) \

@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from cabmeter.functions.quantiles import multi_quantiles, quantiles
@@ -90,3 +91,18 @@ def test_hot_value_and_wanted_buckets_only(spark, buckets):
     whole = quantiles(df, "v", probs, partitions=buckets).collect()[0]
     for i, p in enumerate(probs):
         assert whole[i] == pytest.approx(_np(hot + cold, p), rel=1e-12, abs=1e-12)
+
+
+def test_salted_bounds_beyond_fan_in(spark):
+    # More input partitions than the fan-in: bounds come from per-salt
+    # sketches; the quantiles stay exact.
+    rng = np.random.default_rng(23)
+    vals = np.concatenate([np.full(1500, 3.5), rng.lognormal(1, 1, 4500).round(4)]).tolist()
+    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(12)
+    probs = [0.01, 0.25, 0.5, 0.9, 0.999]
+    got = quantiles(df, "v", probs, fan_in=2).collect()[0]
+    for i, p in enumerate(probs):
+        assert got[i] == pytest.approx(_np(vals, p), rel=1e-12, abs=1e-12)
+    from cabmeter.functions.quantiles import bucket_bounds
+    b = bucket_bounds(df.select(F.col("v").alias("_v")), 16, 10000, fan_in=2)
+    assert b == sorted(b) and 10 <= len(b) <= 15
