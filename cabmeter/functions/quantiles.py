@@ -57,11 +57,30 @@ def _partition_positions(batches):
 def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
               names: Sequence[str] | None = None, by: Sequence[str] = (),
               method: str = "exact", accuracy: int = 100000,
-              partitions: int | None = None, fan_in: int = 1024) -> DataFrame:
-    """One row per group of ``by`` with one column per probability."""
+              partitions: int | None = None, fan_in: int = 1024,
+              extra: Sequence[tuple[str, str, str | None]] = ()) -> DataFrame:
+    """One row per group of ``by`` with one column per probability.
+
+    ``extra`` adds plain per-group aggregates ``(name, kind, column)`` with
+    kind ``count`` (column ``None`` counts rows), ``avg``, ``min`` or
+    ``max``, over all rows of the group (NULL values of ``value``
+    included).  The exact method computes them in its per-bucket totals
+    pass and rolls them up, so a report needs no separate scan for them.
+    """
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 1000)):04d}" for p in probs]
     v = F.col(value) if isinstance(value, str) else value
+    extra = list(extra)
+    if extra and method == "exact":
+        cols = list(dict.fromkeys(c for _, _, c in extra if c))
+        allrows = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v"),
+                            *[F.col(c).alias(f"_x{i}") for i, c in enumerate(cols)])
+        return _exact_bucketed(df.sparkSession, allrows, probs, names, by, partitions, fan_in,
+                               [(n, k, f"_x{cols.index(c)}" if c else None) for n, k, c in extra])
+    if extra:
+        base = df.groupBy(*by).agg(*[_plain(n, k, c) for n, k, c in extra])
+        q = quantiles(df, value, probs, names, by, method, accuracy, partitions, fan_in)
+        return attach(base, q, by).select(*by, *names, *[n for n, _, _ in extra])
     data = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v")) \
              .where(F.col("_v").isNotNull())
 
@@ -188,8 +207,33 @@ def bucket_bounds(data: DataFrame, nb: int, accuracy: int, fan_in: int = 1024) -
     return [float(x) for x in (bounds or []) if x is not None]
 
 
+def _plain(name: str, kind: str, col: str | None) -> Column:
+    c = F.lit(1) if col is None else F.col(col)
+    return {"count": F.count, "avg": F.avg, "min": F.min, "max": F.max}[kind](c).alias(name)
+
+
+def _partials(extra) -> tuple[list[Column], list[Column]]:
+    """Per-(group, bucket) partial aggregates and their per-group roll-up
+    (a window over the group, which the totals are already partitioned by)."""
+    part, roll = [], []
+    for i, (name, kind, col) in enumerate(extra):
+        c = F.lit(1) if col is None else F.col(col)
+        if kind == "count":
+            part.append(F.count(c).alias(f"_e{i}"))
+            roll.append((f"_e{i}", "sum", name))
+        elif kind in ("min", "max"):
+            part.append(getattr(F, kind)(c).alias(f"_e{i}"))
+            roll.append((f"_e{i}", kind, name))
+        elif kind == "avg":
+            part += [F.sum(c.cast("double")).alias(f"_e{i}"), F.count(c).alias(f"_e{i}n")]
+            roll.append((f"_e{i}", "avg", name))
+        else:
+            raise ValueError(f"unknown aggregate kind {kind!r}")
+    return part, roll
+
+
 def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
-                    buckets: int | None, fan_in: int = 1024) -> DataFrame:
+                    buckets: int | None, fan_in: int = 1024, extra=()) -> DataFrame:
     """Exact quantiles over value buckets, ranking only the buckets that
     hold a wanted rank.
 
@@ -229,19 +273,35 @@ def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
         .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
 
     # Step 2: per-(group, bucket) sizes -> offsets, group sizes, wanted buckets.
-    totals = bucketed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_bc"))
+    # With ``extra`` the frame keeps rows whose value is NULL (bucket NULL,
+    # ``_bc`` 0): they count for the extra aggregates, never for ranks.
+    part, roll = _partials(extra)
+    totals = bucketed.groupBy(*by, "_b").agg(F.count("_v").alias("_bc"), *part)
     w_grp = Window.partitionBy(*by)
     w_off = w_grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    rolled = []
+    for src, kind, name in roll:
+        if kind == "avg":
+            rolled.append(F.try_divide(F.sum(src).over(w_grp),
+                                       F.sum(f"{src}n").over(w_grp)).alias(name))
+        else:
+            rolled.append(getattr(F, kind)(src).over(w_grp).alias(name))
     totals = totals.select(*by, "_b", "_bc",
                            F.coalesce(F.sum("_bc").over(w_off), F.lit(0)).alias("_off"),
-                           F.sum("_bc").over(w_grp).alias("_n"))
+                           F.sum("_bc").over(w_grp).alias("_n"), *rolled)
+    if extra:
+        names_x = [n for n, _, _ in extra]
+        summary = totals.groupBy(*by).agg(*[
+            (F.coalesce(F.max(n), F.lit(0)).cast("long") if k == "count" else F.max(n)).alias(n)
+            for n, k, _ in extra])
+        totals = totals.drop(*names_x)
     wanted = " OR ".join(f"(_off <= {fn}({_pos(p)}) AND {fn}({_pos(p)}) < _off + _bc)"
                          for p in probs for fn in ("floor", "ceil"))
     targets = totals.where(F.expr(wanted)).drop("_bc")
     wanted_ids = targets.agg(F.coalesce(F.collect_set("_b"), F.array().cast("array<int>"))).scalar()
 
     # Step 3: rank only inside the wanted buckets.
-    counted = bucketed.where(F.array_contains(wanted_ids, F.col("_b"))) \
+    counted = bucketed.where(F.array_contains(wanted_ids, F.col("_b")) & F.col("_v").isNotNull()) \
         .groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
     w_in = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
     local = counted.withColumn("_before", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
@@ -253,7 +313,10 @@ def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
         cond = cond & F.col(b).eqNullSafe(F.col(tk[b]))
     ranked = local.join(targets, cond, "inner").select(
         *by, "_v", "_c", (F.col("_off") + F.col("_before")).alias("_start"), "_n")
-    return _pick(ranked, probs, names, by)
+    picked = _pick(ranked, probs, names, by)
+    if not extra:
+        return picked
+    return attach(summary, picked, by).select(*by, *names, *names_x)
 
 
 def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -55,10 +55,10 @@ def numeric_profile(df: DataFrame, value: str, probs: Sequence[float] = PROFILE_
                     method: str = "exact") -> DataFrame:
     """min, quantiles, mean, max (and row count) of one column."""
     by = list(by)
-    base = df.groupBy(*by).agg(F.min(value).alias("min"), F.avg(value).alias("mean"),
-                               F.max(value).alias("max"), F.count(value).alias("n"))
-    q = quantiles(df, value, probs, names, by=by, method=method)
-    return attach(base, q, by).select(*by, "n", "min", *names, "mean", "max")
+    extra = [("min", "min", value), ("mean", "avg", value), ("max", "max", value),
+             ("n", "count", value)]
+    q = quantiles(df, value, probs, names, by=by, method=method, extra=extra)
+    return q.select(*by, "n", "min", *names, "mean", "max")
 
 
 def duration_profile(df: DataFrame, duration: str = S.DURATION, method: str = "exact") -> DataFrame:
@@ -205,10 +205,9 @@ def duration_by_passengers(df: DataFrame, passengers: str = S.PASSENGERS,
 
 def duration_by_vendor(df: DataFrame, vendor: str = S.VENDOR, duration: str = S.DURATION,
                        method: str = "exact") -> DataFrame:
-    base = df.groupBy(vendor).agg(F.avg(duration).alias("avg_dur"),
-                                  F.count(F.lit(1)).alias("trips"))
-    med = quantiles(df, duration, [0.5], ["median_dur"], by=[vendor], method=method)
-    return attach(base, med, [vendor]).select(vendor, "avg_dur", "median_dur", "trips")
+    med = quantiles(df, duration, [0.5], ["median_dur"], by=[vendor], method=method,
+                    extra=[("avg_dur", "avg", duration), ("trips", "count", None)])
+    return med.select(vendor, "avg_dur", "median_dur", "trips")
 
 
 def duration_histogram(df: DataFrame, duration: str = S.DURATION, lo: float = 0.0,
@@ -224,11 +223,9 @@ def monthly_stats(df: DataFrame, year: str = S.YEAR, month: str = S.MONTH,
                   duration: str = S.DURATION, distance: str = S.DISTANCE,
                   method: str = "exact") -> DataFrame:
     by = [year, month]
-    base = df.groupBy(*by).agg(F.count(F.lit(1)).alias("trips"),
-                               F.avg(duration).alias("avg_dur"),
-                               F.avg(distance).alias("avg_dist"))
-    q = quantiles(df, duration, [0.5, 0.95], ["med_dur", "p95_dur"], by=by, method=method)
-    out = attach(base, q, by)
+    out = quantiles(df, duration, [0.5, 0.95], ["med_dur", "p95_dur"], by=by, method=method,
+                    extra=[("trips", "count", None), ("avg_dur", "avg", duration),
+                           ("avg_dist", "avg", distance)])
     return out.select(F.col(year).alias("yr"), F.col(month).alias("mo"), "trips", "avg_dur",
                       "med_dur", "p95_dur", "avg_dist")
 
@@ -240,10 +237,8 @@ def period_consistency(df: DataFrame, year: str = S.YEAR, month: str = S.MONTH,
     half = F.when(F.col(month) <= 6, F.lit("H1")).otherwise(F.lit("H2"))
     labelled = df.select(F.concat_ws(" ", F.col(year).cast("string"), half).alias("period"),
                          duration, distance)
-    base = labelled.groupBy("period").agg(F.count(F.lit(1)).alias("trips"),
-                                          F.avg(duration).alias("avg_dur"),
-                                          F.avg(distance).alias("avg_dist"))
     q = quantiles(labelled, duration, [0.25, 0.5, 0.75, 0.95], ["p25", "p50", "p75", "p95"],
-                  by=["period"], method=method)
-    return attach(base, q, ["period"]).select("period", "trips", "avg_dur", "p25", "p50",
-                                                "p75", "p95", "avg_dist")
+                  by=["period"], method=method,
+                  extra=[("trips", "count", None), ("avg_dur", "avg", duration),
+                         ("avg_dist", "avg", distance)])
+    return q.select("period", "trips", "avg_dur", "p25", "p50", "p75", "p95", "avg_dist")

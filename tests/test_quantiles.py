@@ -106,3 +106,28 @@ def test_salted_bounds_beyond_fan_in(spark):
     from cabmeter.functions.quantiles import bucket_bounds
     b = bucket_bounds(df.select(F.col("v").alias("_v")), 16, 10000, fan_in=2)
     assert b == sorted(b) and 10 <= len(b) <= 15
+
+
+def test_extra_aggregates_match_plain_group_by(spark):
+    # NULL values count for count(*) and other columns' means, never for
+    # ranks; an all-NULL group keeps its row with NULL quantiles.
+    rng = np.random.default_rng(29)
+    rows = [("a", float(v), float(w)) for v, w in zip(rng.normal(10, 2, 900), rng.uniform(0, 5, 900))]
+    rows += [("a", None, 1.0), ("b", None, 2.0), ("b", None, None), (None, 4.0, 3.0)]
+    df = spark.createDataFrame(rows, "g string, v double, w double")
+    extra = [("rows", "count", None), ("nv", "count", "v"), ("mv", "avg", "v"),
+             ("mw", "avg", "w"), ("lo", "min", "v"), ("hi", "max", "w")]
+    got = {r.g: r for r in quantiles(df, "v", [0.5], ["med"], by=["g"], extra=extra).collect()}
+    want = {r.g: r for r in df.groupBy("g").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("v").alias("nv"), F.avg("v").alias("mv"),
+        F.avg("w").alias("mw"), F.min("v").alias("lo"), F.max("w").alias("hi")).collect()}
+    assert set(got) == set(want)
+    for g, w in want.items():
+        for c in ("rows", "nv", "lo", "hi"):
+            assert got[g][c] == w[c]
+        for c in ("mv", "mw"):
+            assert (got[g][c] is None and w[c] is None) or got[g][c] == pytest.approx(w[c], rel=1e-12)
+    assert got["b"].med is None
+    assert got["a"].med == pytest.approx(_np([r[1] for r in rows if r[0] == "a" and r[1] is not None], 0.5))
+    empty = quantiles(df.limit(0), "v", [0.5], ["med"], extra=extra).collect()
+    assert len(empty) == 1 and empty[0].rows == 0 and empty[0].med is None
