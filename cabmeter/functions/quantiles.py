@@ -128,24 +128,36 @@ def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
 
 
 def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
-                    by: Sequence[str] = (), method: str = "exact") -> DataFrame:
+                    by: Sequence[str] = (), method: str = "exact",
+                    extra: Sequence[tuple[str, str, str | None]] = ()) -> DataFrame:
     """Several (column, probability, output name) quantiles in ONE pass:
     the columns are unpivoted into (metric, value) rows and the metric joins
-    the grouping key, so one shuffle and one checkpoint serve all of them."""
+    the grouping key, so one shuffle and one checkpoint serve all of them.
+
+    ``extra`` as in :func:`quantiles`, over the quantile columns (or
+    ``None`` to count rows); they come from the same totals pass."""
     by = list(by)
     cols = list(dict.fromkeys(c for c, _, _ in specs))
     probs = sorted(set(p for _, p, _ in specs))
+    extra = list(extra)
+    if any(c is not None and c not in cols for _, _, c in extra):
+        raise ValueError("extra aggregates must use the quantile columns")
+    names = [f"_p{i}" for i in range(len(probs))]
     if len(cols) == 1:
-        names = [f"_p{i}" for i in range(len(probs))]
-        q = quantiles(df, cols[0], probs, names, by=by, method=method)
-        return q.select(*by, *[F.col(f"_p{probs.index(p)}").alias(out) for _, p, out in specs])
+        q = quantiles(df, cols[0], probs, names, by=by, method=method, extra=extra)
+        return q.select(*by, *[F.col(f"_p{probs.index(p)}").alias(out) for _, p, out in specs],
+                        *[n for n, _, _ in extra])
     pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_x"))
                                 for i, c in enumerate(cols)]))
     long = df.select(*by, pairs.alias("_mx")).select(*by, "_mx._m", "_mx._x")
-    names = [f"_p{i}" for i in range(len(probs))]
-    q = quantiles(long, "_x", probs, names, by=by + ["_m"], method=method)
+    # Per metric: each kind once over _x; rows of a group = rows of metric 0.
+    inner = list(dict.fromkeys((f"_k{k}" if c else "_rows", k, "_x" if c else None)
+                               for _, k, c in extra))
+    q = quantiles(long, "_x", probs, names, by=by + ["_m"], method=method, extra=inner)
     outs = [F.max(F.when(F.col("_m") == cols.index(c), F.col(f"_p{probs.index(p)}"))).alias(out)
             for c, p, out in specs]
+    outs += [F.max(F.when(F.col("_m") == (cols.index(c) if c else 0),
+                          F.col(f"_k{k}" if c else "_rows"))).alias(n) for n, k, c in extra]
     return q.groupBy(*by).agg(*outs)
 
 

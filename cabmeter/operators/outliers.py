@@ -34,15 +34,14 @@ def outlier_profile(df: DataFrame, method: str = "exact") -> DataFrame:
     and distance."""
     tagged = tag_groups(df)
     total = df.agg(F.count(F.lit(1)).alias("_total"))
-    base = tagged.groupBy("group_id").agg(
-        F.count(F.lit(1)).alias("trips"),
-        F.min(S.DURATION).alias("dur_min"), F.avg(S.DURATION).alias("dur_mean"),
-        F.max(S.DURATION).alias("dur_max"),
-        F.min(S.DISTANCE).alias("dist_min"), F.avg(S.DISTANCE).alias("dist_mean"),
-        F.max(S.DISTANCE).alias("dist_max"))
-    med = multi_quantiles(tagged, [(S.DURATION, 0.5, "dur_median"),
-                                   (S.DISTANCE, 0.5, "dist_median")], by=["group_id"], method=method)
-    stats = attach(base, med, ["group_id"])
+    extra = [("trips", "count", None),
+             ("dur_min", "min", S.DURATION), ("dur_mean", "avg", S.DURATION),
+             ("dur_max", "max", S.DURATION),
+             ("dist_min", "min", S.DISTANCE), ("dist_mean", "avg", S.DISTANCE),
+             ("dist_max", "max", S.DISTANCE)]
+    stats = multi_quantiles(tagged, [(S.DURATION, 0.5, "dur_median"),
+                                     (S.DISTANCE, 0.5, "dist_median")], by=["group_id"],
+                            method=method, extra=extra)
     out = attach(attach(F.broadcast(_group_list(df)), stats, ["group_id"]), total, [])
     trips = F.coalesce(F.col("trips"), F.lit(0)).cast("long")
     return out.select("group_id", "label", trips.alias("trips"),

@@ -131,3 +131,22 @@ def test_extra_aggregates_match_plain_group_by(spark):
     assert got["a"].med == pytest.approx(_np([r[1] for r in rows if r[0] == "a" and r[1] is not None], 0.5))
     empty = quantiles(df.limit(0), "v", [0.5], ["med"], extra=extra).collect()
     assert len(empty) == 1 and empty[0].rows == 0 and empty[0].med is None
+
+
+def test_multi_quantiles_extra_per_metric(spark):
+    rows = [("a" if i % 4 else "b", float(i), None if i % 7 == 0 else float(i * i)) for i in range(120)]
+    df = spark.createDataFrame(rows, "g string, x double, y double")
+    extra = [("n", "count", None), ("xmin", "min", "x"), ("ymin", "min", "y"),
+             ("xmean", "avg", "x"), ("ymax", "max", "y")]
+    got = {r.g: r for r in multi_quantiles(df, [("x", 0.5, "mx"), ("y", 0.5, "my")], by=["g"],
+                                           extra=extra).collect()}
+    for r in df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("xmin"),
+                                 F.min("y").alias("ymin"), F.avg("x").alias("xmean"),
+                                 F.max("y").alias("ymax")).collect():
+        g = got[r.g]
+        assert (g.n, g.xmin, g.ymin, g.ymax) == (r.n, r.xmin, r.ymin, r.ymax)
+        assert g.xmean == pytest.approx(r.xmean, rel=1e-12)
+        ys = [y for k, _, y in rows if k == r.g and y is not None]
+        assert g.my == pytest.approx(_np(ys, 0.5))
+    with pytest.raises(ValueError):
+        multi_quantiles(df, [("x", 0.5, "mx"), ("y", 0.5, "my")], extra=[("z", "max", "g")])
