@@ -130,10 +130,8 @@ def split_candidates(df: DataFrame, first_year: int = 2023, second_year: int = 2
                        F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t")) \
                .select("t.candidate", "t.part", S.DURATION, S.DISTANCE)
     by = ["candidate", "part"]
-    base = tagged.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"),
-                                   F.avg(S.DURATION).alias("avg_dur"),
-                                   F.avg(S.DISTANCE).alias("avg_dist"))
-    med = quantiles(tagged, S.DURATION, [0.5], ["med_dur"], by=by, method=method)
-    out = attach(base, med, by)
+    out = quantiles(tagged, S.DURATION, [0.5], ["med_dur"], by=by, method=method,
+                    extra=[("rows", "count", None), ("avg_dur", "avg", S.DURATION),
+                           ("avg_dist", "avg", S.DISTANCE)])
     share = C.pct(F.col("rows"), F.sum("rows").over(Window.partitionBy("candidate")))
     return out.select(*by, "rows", share.alias("share"), "avg_dur", "med_dur", "avg_dist")
