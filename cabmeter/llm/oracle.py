@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), x -> x <> '')"
+WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 ASCII_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = f"""
@@ -18,6 +18,19 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.a = doc_id
 """
 
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+b AS (SELECT page_id, html, h, list_transform(range(0, 160), lambda k:
+        (instr('0123456789abcdef', h[k // 4 + 1]) - 1) >> (3 - k % 4) & 1) AS bits,
+      max(page_id) OVER (PARTITION BY html) AS last FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda g: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + 16 * bits[5 * g + 1]
+           + 8 * bits[5 * g + 2] + 4 * bits[5 * g + 3] + 2 * bits[5 * g + 4] + bits[5 * g + 5]]), '') AS payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < last THEN last END AS refers_to
+FROM b
+"""
+
 OP8 = f"""
 WITH w AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
 v AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
@@ -33,4 +46,4 @@ FROM w LEFT JOIN g USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_superminhash": OP1, "op8_count_min": OP8}
+    return {"op1_superminhash": OP1, "op3_dictionary_warc": OP3, "op8_count_min": OP8}

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmeter.llm.minhash import minhash_components
+from cabmeter.llm.packing import pack_documents
 from cabmeter.llm.substringdedup import substring_dedup
 from cabmeter.llm.suffixdedup import suffix_dedup
 from cabmeter.llm.tables import read_table
+from cabmeter.llm.warc import read_archives, write_archives
 
 
 def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,22 @@ def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op3_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = write_archives(read_table(spark, sf_dir, "pages"))
+    return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return pack_documents(docs, tokenizer_path(), size=2048, end_id=0).withColumnRenamed("id", "doc_id")
+
+
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return suffix_dedup(docs, size=400).select(
