@@ -31,6 +31,40 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes,
 FROM b
 """
 
+PII = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+    "ip": (r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+           "list_bool_and(list_transform(string_split(v, '.'), lambda x: CAST(x AS HUGEINT) <= 255))"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", """len(d) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, len(d) + 1), lambda i:
+        CASE WHEN i % 2 = 1 THEN CAST(d[len(d) - i + 1] AS INT) WHEN CAST(d[len(d) - i + 1] AS INT) > 4
+        THEN CAST(d[len(d) - i + 1] AS INT) * 2 - 9 ELSE CAST(d[len(d) - i + 1] AS INT) * 2 END)) % 10 = 0"""),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "len(d) BETWEEN 9 AND 15"),
+    "iban": (r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", """len(replace(v, ' ', '')) BETWEEN 15 AND 34 AND
+        list_reduce(list_concat([0], list_transform(string_split(substr(replace(v, ' ', ''), 5) || substr(v, 1, 4), ''),
+        lambda c: ascii(c))), lambda r, c: CASE WHEN c < 58 THEN (r * 10 + c - 48) % 97 ELSE (r * 100 + c - 55) % 97 END) = 1"""),
+    "ssn": (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b",
+            "regexp_matches(substr(t, greatest(s - 40, 0) + 1, s - greatest(s - 40, 0)), '(?i)ssn|social security|sozialversicherung')"),
+}
+_FOUND = " UNION ALL ".join(f"""
+SELECT doc_id, {rank} AS rank, '{kind}' AS kind, t, i, m[i] AS v, regexp_replace(m[i], '[^0-9]', '', 'g') AS d,
+       CAST(coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s
+FROM (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{pattern}') AS m,
+             regexp_split_to_array(coalesce(text, ''), '{pattern}') AS g FROM documents), unnest(range(1, len(m) + 1)) AS u(i)
+""" for rank, (kind, (pattern, _)) in enumerate(PII.items()))
+_PASSES = " ".join(f"WHEN kind = '{kind}' THEN {check}" for kind, (_, check) in PII.items())
+OP4 = f"""
+WITH f AS ({_FOUND}),
+k AS (SELECT doc_id, rank, kind, s, kind || ':' || s || ':' || (s + length(v)) AS line FROM f WHERE CASE {_PASSES} END),
+a AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+             count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+             string_agg(line, ',' ORDER BY s, rank) FILTER (rank < 4) AS base, string_agg(line, ',' ORDER BY s, rank) AS spans
+      FROM k GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_ip, 0) AS BIGINT) AS n_ip,
+       CAST(coalesce(n_card, 0) AS BIGINT) AS n_card, CAST(coalesce(n_phone, 0) AS BIGINT) AS n_phone,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN a USING (doc_id)
+"""
+
 OP8 = f"""
 WITH w AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
 v AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
@@ -44,6 +78,27 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(js), 0) AS
 FROM w LEFT JOIN g USING (doc_id)
 """
 
+_BARE = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+OP9 = f"""
+WITH d AS (SELECT doc_id, ws, len(ws) AS size FROM (SELECT doc_id, {_BARE} AS ws FROM documents) WHERE len(ws) > 0),
+b AS (SELECT item_id, ws, len(ws) AS n FROM (SELECT item_id, {_BARE} AS ws FROM benchmark) WHERE len(ws) > 0),
+ds AS (SELECT doc_id, size, p, array_to_string(ws[p + 1:p + 5], ' ') AS h FROM d, unnest(range(0, greatest(size - 4, 1))) AS t(p)),
+bs AS (SELECT item_id, n, array_to_string(ws[p + 1:p + 5], ' ') AS h, count(*) AS c FROM b, unnest(range(0, greatest(n - 4, 1))) AS t(p)
+       GROUP BY ALL),
+w AS (SELECT DISTINCT doc_id, item_id, size, n, start FROM (SELECT doc_id, item_id, size, n, p FROM ds JOIN bs USING (h)),
+      unnest(range(greatest(p - greatest(n - 4, 1) + 1, 0), least(p, greatest(size - n, 0)) + 1)) AS t(start)),
+x AS (SELECT w.doc_id, w.item_id, w.start, w.size, w.n, ds.h, count(*) AS c FROM w JOIN ds ON ds.doc_id = w.doc_id
+      AND ds.p BETWEEN w.start AND w.start + least(greatest(w.n - 4, 1), greatest(w.size - 4, 1)) - 1 GROUP BY ALL),
+i AS (SELECT x.doc_id, x.item_id, x.start, any_value(x.size) AS size, any_value(x.n) AS n, sum(least(x.c, bs.c)) AS i
+      FROM x JOIN bs ON bs.item_id = x.item_id AND bs.h = x.h GROUP BY ALL),
+j AS (SELECT doc_id, item_id, max(i / (greatest(n - 4, 1) + least(greatest(n - 4, 1), greatest(size - 4, 1)) - i)) AS s FROM i GROUP BY ALL),
+g AS (SELECT doc_id, count(*) AS n_items, arg_max(item_id, (s, -item_id)) AS best_item, max(s) AS s FROM j WHERE s >= 0.8 GROUP BY doc_id)
+SELECT doc_id, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, best_item, round(CAST(s AS DOUBLE), 6) AS best_similarity,
+       s IS NOT NULL AS contaminated
+FROM documents LEFT JOIN g USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_superminhash": OP1, "op3_dictionary_warc": OP3, "op8_count_min": OP8}
+    return {"op1_superminhash": OP1, "op3_dictionary_warc": OP3, "op4_pii_checksums": OP4, "op8_count_min": OP8,
+            "op9_simhash_windows": OP9}

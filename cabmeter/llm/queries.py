@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabmeter.llm.decontam import contaminated
 from cabmeter.llm.minhash import minhash_components
 from cabmeter.llm.packing import pack_documents
+from cabmeter.llm.pii import BASE, detect_pii, spans_text
 from cabmeter.llm.substringdedup import substring_dedup
 from cabmeter.llm.suffixdedup import suffix_dedup
 from cabmeter.llm.tables import read_table
@@ -26,6 +28,16 @@ def op3_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = detect_pii(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind):
+        return F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("pii", lambda s: s["rank"] < len(BASE))
+    return docs.select("doc_id", *map(count, BASE), F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"), spans_text(F.col("pii")).alias("spans"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -49,5 +61,9 @@ def op8_count_min(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op9_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
