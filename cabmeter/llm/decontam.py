@@ -25,6 +25,7 @@ SHINGLE = 5
 RADIUS = 15
 BLOCK_BITS = 4
 BROADCAST_ROWS = 500_000
+BROADCAST_WINDOWS = 2_000_000
 LANES = 0x0001000100010001
 
 
@@ -87,9 +88,23 @@ def _shingles(array: Column, size: Column) -> Column:
 
 def _weighted(one: Column, two: Column) -> Column:
     """Weighted Jaccard similarity of two bags of shingles."""
-    both = F.aggregate(F.array_distinct(one), F.lit(0), lambda a, s: a + F.least(
-        F.size(F.filter(one, lambda x: x == s)), F.size(F.filter(two, lambda x: x == s))))
-    return both / (F.size(one) + F.size(two) - both)
+    def least(a, s):
+        return a + F.least(F.size(F.filter(one, lambda x: x == s)), F.size(F.filter(two, lambda x: x == s)))
+
+    plain = (F.size(F.array_distinct(one)) == F.size(one)) & (F.size(F.array_distinct(two)) == F.size(two))
+    both = F.when(plain, F.size(F.array_intersect(one, two))).otherwise(F.aggregate(F.array_distinct(one), F.lit(0), least))
+    return F.transform(F.array(both), lambda i: i / (F.size(one) + F.size(two) - i))[0]
+
+
+def _first_equal_block(xor: Column) -> Column:
+    """The lowest bit of the first block of BLOCK_BITS in which two
+    fingerprints agree, from their difference."""
+    ones = sum(1 << (BLOCK_BITS * b) for b in range(64 // BLOCK_BITS))
+    any_bit = xor
+    for k in range(1, BLOCK_BITS):
+        any_bit = any_bit.bitwiseOR(F.shiftrightunsigned(xor, k))
+    zero = F.bitwise_not(any_bit).bitwiseAND(F.lit(ones))
+    return zero.bitwiseAND(-zero)
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -141,18 +156,25 @@ def contamination(df: DataFrame, benchmark: DataFrame, least: float = 0.8, id_co
                .groupBy("id").agg(F.collect_set("w").alias("windows")))
     windows = written(windows, "windows")
 
-    cut = (texts.join(windows, "id").select("id", F.explode(F.transform("windows", lambda w: F.struct(
-        w["start"].alias("start"), w["n"].alias("n"), F.slice("words", w["start"] + 1, w["n"]).alias("words")))).alias("w"))
-        .select("id", "w.*"))
-    marked = with_simhash(cut, "words").withColumn("key", F.explode(_blocks(F.col("n"), F.col("fingerprint"))))
-    index = items.select("item", F.col("n").alias("item_n"), F.col("fingerprint").alias("item_print"), "item_shingles",
-                         F.explode(_blocks(F.col("n"), F.col("fingerprint"))).alias("key"))
-    index = written(index, "index")
+    amount = windows.agg(F.sum(F.size("windows"))).first()[0] or 0
+    near = F.broadcast(windows) if amount <= BROADCAST_WINDOWS else windows
+    cut = (df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(near, "id")
+           .select("id", words(F.col("text")).alias("words"), "windows")
+           .select("id", F.explode(F.transform("windows", lambda w: F.struct(
+               w["start"].alias("start"), w["n"].alias("n"), F.slice("words", w["start"] + 1, w["n"]).alias("words")))).alias("w"))
+           .select("id", "w.*"))
+    marked = with_simhash(cut, "words")
+    marked = marked.select("id", "start", "n", "words", "fingerprint", F.posexplode(_blocks(F.col("n"), F.col("fingerprint"))).alias("block", "key"))
+    index = written(items.select("item", F.col("fingerprint").alias("item_print"), F.explode(_blocks(F.col("n"), F.col("fingerprint"))).alias("key")), "index")
+    xor = F.col("fingerprint").bitwiseXOR(F.col("item_print"))
+    # A pair that agrees in several blocks is taken at the first of them.
     close = (marked.join(_small(index), "key")
-             .where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("item_print"))) <= RADIUS)
-             .dropDuplicates(["id", "start", "n", "item", "item_print"]))
-    exact = close.withColumn("similarity", _weighted(F.col("item_shingles"), _shingles(F.col("words"), F.size("words"))))
-    return (exact.where(F.col("similarity") >= least).groupBy("id", "item").agg(F.max("similarity").alias("similarity")))
+             .where((F.bit_count(xor) <= RADIUS) & (_first_equal_block(xor) == F.call_function("shiftleft", F.lit(1).cast("long"), F.col("block") * BLOCK_BITS)))
+             .select("id", "item", "item_print", "words"))
+    bags = items.select("item", F.col("fingerprint").alias("item_print"), "item_shingles")
+    exact = (close.join(_small(bags), ["item", "item_print"])
+             .select("id", "item", _weighted(F.col("item_shingles"), _shingles(F.col("words"), F.size("words"))).alias("similarity")))
+    return exact.groupBy("id", "item").agg(F.max("similarity").alias("similarity")).where(F.col("similarity") >= least)
 
 
 def contaminated(df: DataFrame, benchmark: DataFrame, least: float = 0.8, id_col: str = "doc_id", **columns) -> DataFrame:
