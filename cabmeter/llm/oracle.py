@@ -18,6 +18,19 @@ SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, doc_i
 FROM documents LEFT JOIN n USING (doc_id) JOIN c ON c.a = doc_id
 """
 
+OP2 = """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+u AS (SELECT vec_id, e FROM v WHERE len(e) > 0 AND list_bool_and(list_transform(e, lambda x: x IS NOT NULL AND isfinite(x)))
+      AND list_bool_or(list_transform(e, lambda x: x <> 0))),
+l AS (SELECT x.vec_id AS a, y.vec_id AS b FROM u x JOIN u y ON x.vec_id <> y.vec_id AND len(x.e) = len(y.e)
+      WHERE list_cosine_similarity(x.e, y.e) >= 0.9),
+r(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM r GROUP BY a),
+n AS (SELECT a, count(*) AS n_links FROM l GROUP BY a)
+SELECT vec_id, CAST(coalesce(n_links, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM v JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id
+"""
+
 OP3 = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 b AS (SELECT page_id, html, h, list_transform(range(0, 160), lambda k:
@@ -65,6 +78,24 @@ SELECT doc_id, CAST(coalesce(n_email, 0) AS BIGINT) AS n_email, CAST(coalesce(n_
 FROM documents LEFT JOIN a USING (doc_id)
 """
 
+OP5 = r"""
+WITH RECURSIVE o AS (SELECT doc_id, CAST(k AS BIGINT) AS k, ls[k] AS line, lower(regexp_replace(ls[k], '^\s+|\s+$', '', 'g')) AS b
+    FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL), unnest(range(1, len(ls) + 1)) AS t(k)),
+b AS (SELECT row_number() OVER (ORDER BY doc_id, k) AS n, b FROM (SELECT b, min(doc_id) AS doc_id, arg_min(k, (doc_id, k)) AS k
+      FROM o WHERE b <> '' GROUP BY b)),
+s AS (SELECT DISTINCT n, substr(b, i, 8) AS s FROM b, unnest(range(1, greatest(length(b) - 7, 1) + 1)) AS t(i)),
+c AS (SELECT n, count(*) AS c FROM s GROUP BY n),
+p AS (SELECT x.n AS x, y.n AS y, count(*) AS i FROM s x JOIN s y ON x.s = y.s AND x.n <> y.n GROUP BY ALL),
+l AS (SELECT x, y FROM p JOIN c a ON a.n = x JOIN c b ON b.n = y WHERE 100 * i >= 80 * (a.c + b.c - i)),
+r(x, y) AS (SELECT n, n FROM b UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+g AS (SELECT x, min(y) AS g FROM r GROUP BY x),
+f AS (SELECT o.doc_id, o.k, o.line, o.b = '' OR row_number() OVER (PARTITION BY o.b = '', g ORDER BY o.doc_id, o.k) = 1 AS stays
+      FROM o LEFT JOIN b ON b.b = o.b LEFT JOIN g ON g.x = b.n)
+SELECT doc_id, count(f.k) AS n_lines, count(*) FILTER (NOT stays) AS n_removed,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (stays), '')) AS kept_sha256
+FROM documents LEFT JOIN f USING (doc_id) GROUP BY doc_id
+"""
+
 OP8 = f"""
 WITH w AS (SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
 v AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 34], ' ')) AS h
@@ -100,5 +131,5 @@ FROM documents LEFT JOIN g USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_superminhash": OP1, "op3_dictionary_warc": OP3, "op4_pii_checksums": OP4, "op8_count_min": OP8,
+    return {"op1_superminhash": OP1, "op2_projection_forest": OP2, "op3_dictionary_warc": OP3, "op4_pii_checksums": OP4, "op5_fuzzy_lines": OP5, "op8_count_min": OP8,
             "op9_simhash_windows": OP9}

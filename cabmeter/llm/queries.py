@@ -8,12 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmeter.llm.decontam import contaminated
+from cabmeter.llm.linededup import line_dedup
 from cabmeter.llm.minhash import minhash_components
 from cabmeter.llm.packing import pack_documents
 from cabmeter.llm.pii import BASE, detect_pii, spans_text
+from cabmeter.llm.rpforest import embedding_components
 from cabmeter.llm.substringdedup import substring_dedup
 from cabmeter.llm.suffixdedup import suffix_dedup
 from cabmeter.llm.tables import read_table
+from cabmeter.llm.toxicity import fit_toxicity, remainder, score_toxicity
 from cabmeter.llm.warc import read_archives, write_archives
 
 
@@ -23,6 +26,12 @@ def op1_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"), "kept")
 
 
+def op2_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return embedding_components(vectors, least=0.9).select(
+        F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
 def op3_dictionary_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives = write_archives(read_table(spark, sf_dir, "pages"))
     return read_archives(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -38,6 +47,14 @@ def op4_pii_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", *map(count, BASE), F.sha2(spans_text(base).cast("binary"), 256).alias("base_sha256"), spans_text(F.col("pii")).alias("spans"))
 
 
+def op5_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)).cast("long")
+    return line_dedup(docs.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(n_lines))).select(
+        "doc_id", F.col("n_lines").cast("long"), F.col("removed_lines").cast("long").alias("n_removed"),
+        F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -65,5 +82,13 @@ def op9_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
 
 
+def op10_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, read_table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(remainder(F.col("doc_id")) == 2, F.lit(False))
+    return score_toxicity(docs.select("doc_id", "text", "lang"), model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
