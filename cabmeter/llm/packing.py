@@ -18,44 +18,120 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.tables import written
+from cabmeter.llm.textops import byte_values, prefix_sums, row_chunks, scramble, span_hash, utf8
 
-WORDS_KEPT = 300_000
+PIECES_KEPT = 1_000_000
+PIECES_AT_ONCE = 5_000
 PIECES = "id long, piece int, start long, length int, ids_crc32 long, part int, place long"
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes.
+    """Token ids of texts, each distinct piece of text encoded once.
 
-    A byte-level tokenizer never joins what a single space between two other
-    characters separates, so words are encoded once each and looked up after;
-    a text with other runs of white space is encoded whole."""
+    A byte-level tokenizer never joins what a space between two other visible
+    characters separates.  Texts are cut at such spaces; pieces already seen
+    are looked up by a 64-bit hash, new ones encoded many at a time."""
 
     def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = []
-        for text in texts:
-            words = text.split(" ")
-            clean = all(words) and not any(w[0].isspace() or w[-1].isspace() for w in words)
-            split.append([words[0], *(" " + w for w in words[1:])] if clean else None)
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
-        new = list({w for words in split if words for w in words if w not in self.known})
-        for lo in range(0, len(new), 10_000):
-            part = new[lo: lo + 10_000]
-            encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            for word, got in zip(part, encode(part, add_special_tokens=False)):
-                self.known[word] = np.array(got.ids, "<u4").tobytes()
-        find = self.known.__getitem__
-        return [self.whole(text) if words is None else b"".join(map(find, words)) for text, words in zip(texts, split)]
+        vocabulary = self.tokenizer.get_vocab()
+        self.lengths = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():  # a token has a character for each byte
+            self.lengths[i] = len(token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.names = np.zeros(0, np.uint64)  # sorted
+        self.starts = self.counts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _learn(self, names: np.ndarray, raw: bytes, starts: np.ndarray, ends: np.ndarray, joinable: np.ndarray) -> None:
+        """Encode new pieces.  Joinable ones begin with a space and end with a
+        visible character, so they are encoded in a row and told apart by
+        their tokens' lengths."""
+        found, counts = [], np.zeros(len(names), np.int64)
+        order = np.concatenate((np.flatnonzero(joinable), np.flatnonzero(~joinable)))
+        many = int(joinable.sum())
+        for lo in range(0, many, PIECES_AT_ONCE):
+            part = order[lo: min(lo + PIECES_AT_ONCE, many)]
+            pieces = [raw[s:e] for s, e in zip(starts[part].tolist(), ends[part].tolist())]
+            ids = self._encode(b"".join(pieces).decode())
+            stops = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(ends[part] - starts[part])) + 1
+            counts[part] = np.diff(stops, prepend=0)
+            found.append(ids)
+        for k in order[many:]:
+            ids = self._encode(raw[starts[k]: ends[k]].decode())
+            counts[k] = len(ids)
+            found.append(ids)
+        places = np.empty(len(names), np.int64)
+        places[order] = len(self.ids) + np.cumsum(counts[order]) - counts[order]
+        self.ids = np.concatenate([self.ids, *found])
+        all_names = np.concatenate((self.names, names))
+        by = np.argsort(all_names)
+        self.names = all_names[by]
+        self.starts = np.concatenate((self.starts, places))[by]
+        self.counts = np.concatenate((self.counts, counts))[by]
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the rows of a UTF-8 buffer, and where each row's begin."""
+        starts, ends, row, joinable = cut_pieces(data, offsets)
+        if not len(starts):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        names = scramble(span_hash(prefix_sums(byte_values()[data]), starts, ends) + (ends - starts).astype(np.uint64), 61)
+        unique, first, which = np.unique(names, return_index=True, return_inverse=True)
+        if len(self.names) > PIECES_KEPT:
+            self._forget()
+        at = np.minimum(np.searchsorted(self.names, unique), max(len(self.names) - 1, 0))
+        new = first[self.names[at] != unique] if len(self.names) else first
+        if len(new):
+            self._learn(names[new], data.tobytes(), starts[new], ends[new], joinable[new])
+        at = np.searchsorted(self.names, unique)[which]
+        counts = self.counts[at]
+        stops = np.cumsum(counts)
+        ids = self.ids[np.arange(stops[-1]) + np.repeat(self.starts[at] - (stops - counts), counts)]
+        edges = np.concatenate(([0], stops))
+        return ids, edges[np.searchsorted(row, np.arange(len(offsets)))]
+
+
+def cut_pieces(data: np.ndarray, offsets: np.ndarray):
+    """Starts, ends and rows of the pieces between which no token goes, and
+    whether each begins with a space and ends with a visible character.
+
+    A cut is before a space whose neighbours are visible: not ASCII control
+    or white space, nor a character that may be Unicode white space."""
+    n = len(data)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0, bool)
+    visible = (data > 0x20) & (data != 0x7F)
+    opens = np.zeros(n + 3, bool)
+    opens[:n] = (data >= 0xE1) & (data <= 0xE3)  # first bytes of three-byte white space
+    after = visible & (data != 0xC2) & ~opens[:n]
+    before = visible.copy()
+    before[1:] &= data[:-1] != 0xC2
+    before[2:] &= ~opens[: n - 2] if n > 2 else True
+    cut = np.zeros(n, bool)
+    cut[1:-1] = (data[1:-1] == 0x20) & before[:-2] & after[2:]
+    begin = offsets[:-1][np.diff(offsets) > 0]
+    joined = cut.copy()
+    cut[begin] = True
+    joined[begin] = False  # a row's first byte follows another row's text
+    joined[begin[1:] - 1] = False
+    cut[begin[1:] - 1] = np.isin(begin[1:] - 1, begin)
+    starts = np.flatnonzero(cut)
+    ends = np.append(starts[1:], n)
+    row = np.searchsorted(offsets, starts, "right") - 1
+    last = ends - 1
+    return starts, ends, row, joined[starts] & before[last]
 
 
 def cut_lengths(n: int, size: int) -> list[int]:
@@ -146,12 +222,12 @@ def tokenized_pieces(df: DataFrame, tokenizer: str, size: int, end_id: int, id_c
         encoder, part = Encoder(tokenizer), TaskContext.get().partitionId()
         places, end = np.zeros(size + 1, np.int64), np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                ids = batch.column(0)[lo: lo + 256].to_pylist()
-                texts = [t or "" for t in batch.column(1)[lo: lo + 256].to_pylist()]
+            data, offsets = utf8(batch.column(1))
+            for lo, hi in row_chunks(offsets, 2 << 20):
+                ids, edges = encoder.encode(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
                 rows = []
-                for doc, body in zip(ids, encoder.encode(texts)):
-                    body += end
+                for i, doc in enumerate(batch.column(0)[lo:hi].to_pylist()):
+                    body = ids[edges[i]: edges[i + 1]].astype("<u4").tobytes() + end
                     start = 0
                     for piece, n in enumerate(cut_lengths(len(body) // 4, size)):
                         rows.append((doc, piece, start, n, zlib.crc32(body[4 * start: 4 * (start + n)]), part, int(places[n])))
