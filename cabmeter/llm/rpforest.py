@@ -27,7 +27,7 @@ TREES = 10
 LEAF = 256
 SPILL = 0.06
 SAMPLE = 4096
-LEVELS = 7
+LEVELS = 12
 BLOCK = 2048
 
 
@@ -153,14 +153,31 @@ def plant(vectors: DataFrame, trees: int, leaf: int, spill: float, sample: int,
         trees_ = written(chosen.join(vectors, "id").groupBy("leaf").applyInArrow(_grow(leaf, spill, sample, levels), "leaf long, subtree binary"), "subtrees")
         dull = trees_.where("length(subtree) = 0").select("leaf")  # no split divides these
         closed = closed.unionByName(open_.join(dull, "leaf", "left_semi"))
-        moved = (rest.join(trees_.where("length(subtree) > 0"), "leaf").join(vectors, "id").select("id", "leaf", "vec", "subtree")
+        # Vectors first: subtrees are not shuffled with every row, and a task sees a leaf's rows together.
+        moved = (rest.join(vectors, "id").join(trees_.where("length(subtree) > 0"), "leaf").select("id", "leaf", "vec", "subtree")
                  .mapInArrow(_route, "id long, leaf long"))
         open_ = written(moved, "leaves")
     return written(closed.select("id", "leaf").distinct(), "planted")
 
 
+def _earlier_leaves(leaves, leaf: int, rows: np.ndarray) -> np.ndarray:
+    """For the marked rows, which leaves before this one each is in, as a
+    matrix of 0 and 1; the others' rows are 0."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    leaves = pa.concat_arrays(leaves.chunks)
+    names = np.asarray(leaves.flatten())
+    owner = np.repeat(np.arange(len(leaves)), np.asarray(pc.list_value_length(leaves)))
+    keep = (names < leaf) & rows[owner]
+    distinct, which = np.unique(names[keep], return_inverse=True)
+    out = np.zeros((len(leaves), len(distinct)), np.float32)
+    out[owner[keep], which] = 1
+    return out
+
+
 def _compare(least: float):
-    """Of one leaf's two blocks (leaf, i, j, side, id, vec, before): how many
+    """Of one leaf's two blocks (leaf, i, j, side, id, vec, leaves): how many
     links each vector has that no earlier leaf shows, and links that join what
     the block joins."""
     def work(table):
@@ -173,28 +190,26 @@ def _compare(least: float):
         a = np.arange(len(ids)) if same else np.flatnonzero(side == 0)
         b = a if same else np.flatnonzero(side == 1)
         leaf = table["leaf"][0].as_py()
-        earlier = [[x for x in row if x < leaf] for row in table["leaves"].to_pylist()]
-        names = {x: k for k, x in enumerate(sorted({x for row in earlier for x in row}))}
-        seen = np.zeros((len(ids), len(names)), np.float32)
-        for r, row in enumerate(earlier):
-            seen[r, [names[x] for x in row]] = 1
-        links, joined = np.zeros(len(ids), np.int64), []
-        for lo in range(0, len(a), 256):
-            rows = a[lo: lo + 256]
-            near = m[rows] @ m[b].T >= least
-            near[ids[rows][:, None] == ids[b][None, :]] = False
-            if not near.any():
-                continue
-            x, y = np.nonzero(near)
-            keep = ids[rows[x]] < ids[b[y]] if same else np.ones(len(x), bool)
-            joined.append(np.column_stack((rows[x], b[y]))[keep])
-            if len(names):
-                near &= ~((seen[rows] @ seen[b].T) > 0)
-            links[rows] += near.sum(axis=1)
-            if not same:
-                links[b] += near.sum(axis=0)
+        near = m[a] @ m[b].T >= least
+        near &= ids[a][:, None] != ids[b][None, :]
+        x, y = np.nonzero(near)
+        joined = np.column_stack((a[x], b[y]))
+        if same:
+            joined = joined[joined[:, 0] < joined[:, 1]]
+        linked = np.zeros(len(ids), bool)
+        linked[joined.ravel()] = True
+        seen = _earlier_leaves(table["leaves"], leaf, linked)
+        rows, columns = np.flatnonzero(linked[a]), np.flatnonzero(linked[b])
+        if seen.shape[1]:
+            for lo in range(0, len(rows), 256):
+                part = rows[lo: lo + 256]
+                near[np.ix_(part, columns)] &= ~((seen[a[part]] @ seen[b[columns]].T) > 0)
+        links = np.zeros(len(ids), np.int64)
+        links[a] += near.sum(axis=1)
+        if not same:
+            links[b] += near.sum(axis=0)
         root = np.arange(len(ids))
-        pairs = np.concatenate(joined) if joined else np.zeros((0, 2), np.int64)
+        pairs = joined
         while len(pairs):  # smallest-label union of the block's links
             low = np.minimum(root[pairs[:, 0]], root[pairs[:, 1]])
             before = root.copy()
