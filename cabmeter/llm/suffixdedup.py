@@ -28,7 +28,7 @@ from cabmeter.llm.textops import byte_values, longs, prefix_sums, row_chunks, ru
 
 BLOCK_BYTES = 16 << 20
 TASK_TEXT = 2 << 20
-CROWD = 64
+CROWD = 1024  # contexts of one anchor: about half a megabyte of text
 STRETCHES = ("id long, fingerprint long, at int, body binary, "
              "runs array<struct<anchor:long,a:long,b:long,lo:int,hi:int>>")
 
@@ -209,7 +209,10 @@ def repeated_spans(docs: DataFrame, size: int, gram: int, crowd: int) -> DataFra
     single = (bodies.where(F.col("kinds") > crowd).select(*context, "copies", "body")
               .mapInArrow(_single_windows(size), "anchor long, a long, b long, copies long, wa long, wb long, at int"))
     again = single.groupBy("wa", "wb").agg(F.sum("copies").alias("n")).where("n > 1")
-    crowded = (single.join(again, ["wa", "wb"]).groupBy(*context).agg(F.sort_array(F.collect_set("at")).alias("ats")))
+    # A context with copies repeats as a whole; only single ones need an answer for each window.
+    crowded = (single.where("copies = 1").join(again, ["wa", "wb"]).groupBy(*context).agg(F.sort_array(F.collect_set("at")).alias("ats"))
+               .unionByName(kinds.where((F.col("kinds") > crowd) & (F.col("copies") > 1))
+                            .select(*context, F.sequence(F.lit(0), F.col("hi") - F.col("lo")).alias("ats"))))
     found = written(sorted_.select(*context, "spans", F.lit(None).cast("array<int>").alias("ats"))
                     .unionByName(crowded.select(*context, F.lit(None).cast("binary").alias("spans"), "ats")), "spans")
     placed = (runs.join(found, context).select(*key, F.struct((F.col("at") + F.col("lo")).alias("base"), "spans", "ats").alias("s"))
