@@ -122,30 +122,43 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(F.lit(100).cast("long") * F.col("i") >= F.lit(percent) * (F.col("t") - F.col("i"))).select("a", "b"))
 
 
-def _cross_pairs(slots: int, percent: int):
-    """Pairs of one bucket's two blocks (key, i, j, id, comp, n, sketch, side)
-    in different components whose sizes and signatures allow the threshold:
-    agreement not 5.5 standard deviations under it."""
+def _cross_links(slots: int, percent: int):
+    """Links between members of one bucket's two blocks (key, i, j, side, id,
+    comp, n, sketch, bands, members) that are in different components.
+
+    Full sets confirm the pairs whose sizes and signatures allow the threshold:
+    agreement not 5.5 standard deviations under it.  A pair that shares several
+    bands is looked at in the first."""
     share = percent / 100
     least = math.floor(slots * share - 5.5 * math.sqrt(slots * share * (1 - share)))
 
     def work(table):
         import pyarrow as pa
 
-        ids, comp, n = (np.asarray(table[c]) for c in ("id", "comp", "n"))
-        side = np.asarray(table["side"])
+        ids, comp, n, side = (np.asarray(table[c]) for c in ("id", "comp", "n", "side"))
         sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(len(ids), slots)
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        left, right = (np.arange(len(ids)),) * 2 if i == j else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
+        bands = np.asarray(pa.concat_arrays(table["bands"].chunks).flatten()).reshape(len(ids), -1)
+        band = int(np.flatnonzero(bands[0] == table["key"][0].as_py())[0])
+        members = np.asarray(pa.concat_arrays(table["members"].chunks).flatten())
+        cuts = np.concatenate(([0], np.cumsum(n)))
+        same = table["i"][0].as_py() == table["j"][0].as_py()
+        left, right = (np.arange(len(ids)),) * 2 if same else (np.flatnonzero(side == 0), np.flatnonzero(side == 1))
         a, b = [], []
         for x in left:
             y = right[(comp[right] != comp[x]) & (100 * np.minimum(n[right], n[x]) >= percent * np.maximum(n[right], n[x]))]
-            if i == j:
+            if same:
                 y = y[y > x]
-            if len(y):
-                y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
-                a.append(np.minimum(ids[x], ids[y]))
-                b.append(np.maximum(ids[x], ids[y]))
+            y = y[(sketch[y] == sketch[x]).sum(axis=1) >= least]
+            y = y[~(bands[y, :band] == bands[x, :band]).any(axis=1)]
+            if not len(y):
+                continue
+            own = members[cuts[x]: cuts[x + 1]]
+            others = np.concatenate([members[cuts[k]: cuts[k + 1]] for k in y])
+            at = np.minimum(np.searchsorted(own, others), len(own) - 1)
+            both = np.add.reduceat((own[at] == others).astype(np.int64), np.concatenate(([0], np.cumsum(n[y])[:-1])))
+            y = y[100 * both >= percent * (n[x] + n[y] - both)]
+            a.append(np.full(len(y), ids[x]))
+            b.append(ids[y])
         none = [np.zeros(0, np.int64)]
         return pa.table({"a": np.concatenate(a or none), "b": np.concatenate(b or none)})
 
@@ -192,18 +205,17 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
     split = label.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1 and c0 is not null").select("key")
     blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
     own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    whole = signed.select("id", "n", "sketch", "bands").dropDuplicates(["id"]).join(
+        sets.select("id", F.array_sort("members").alias("members")), "id").where(F.col("n") == F.size("members"))
     rest = (label.where("size > 2").join(split, "key")
-            .join(signed.select("id", "n", "sketch").dropDuplicates(["id"]), "id")
-            .select("key", "id", "comp", "n", "sketch", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-            .select("key", "id", "comp", "n", "sketch", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"),
-                    (F.col("own") > F.col("o")).cast("int").alias("side")))
-    cross = rest.groupBy("key", "i", "j").applyInArrow(_cross_pairs(bands * rows, percent), "a long, b long").distinct()
-    cross = written(cross.join(pairs, ["a", "b"], "left_anti"), "cross")
-    more = written(_confirmed(cross, sets, percent), "links")
+            .select("key", "id", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+            .select("key", "id", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side"))
+            .join(whole, "id"))
+    more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross_links(bands * rows, percent), "a long, b long").distinct(), "links")
     if not more.isEmpty():
         drop_written(roots)
         roots = written(components(links.unionByName(more)), "roots")
-    drop_written(shared, pairs, sets, links, cross, more)
+    drop_written(shared, pairs, sets, links, more)
     place = (classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select(*same, F.coalesce("root", "rep").alias("component")))
     return (signed.select("id", *same).join(place, same, "left")
