@@ -87,41 +87,18 @@ def outlier_top_zones(df: DataFrame, n: int = 10) -> DataFrame:
     return ranked.where(F.col("rank") <= n)
 
 
-def _local_top_n(group: str, n: int, tie: list[str]):
-    """Per input partition keep, for each group, the n rows with the
-    smallest ``_o`` (then ``tie``): memory is n rows per group plus one
-    Arrow batch, whatever the group sizes."""
-    keys = ["_o"] + tie
-
-    def run(batches):
-        import pandas as pd
-
-        kept = None
-        for pdf in batches:
-            both = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-            both = both.sort_values(keys, kind="mergesort", na_position="first")
-            kept = both.groupby(group, dropna=False, sort=False).head(n)
-        if kept is not None and len(kept):
-            yield kept
-    return run
-
-
 def top_n_per_group(df: DataFrame, group: str, order, n: int,
                     tie: list[str] | None = None) -> DataFrame:
     """Exact top-n rows per group by ``order`` (then ``tie`` columns).
 
-    Stage 1 runs inside each input partition (``mapInPandas``, no shuffle)
-    and keeps at most n rows per group; stage 2 ranks the survivors - at
-    most n x partitions rows per group - with a window.  A group holding a
-    third of all rows never lands in one task.
+    Spark plans a partial window group limit before the shuffle: each input
+    partition keeps at most n rows of a group, so a group holding a third of
+    all rows never lands in one task.
     """
-    tie = list(tie or [])
-    ordered = df.withColumn("_o", order)
-    survivors = ordered.mapInPandas(_local_top_n(group, n, tie), ordered.schema)
     w = Window.partitionBy(group).orderBy(
-        F.col("_o").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tie])
-    return survivors.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n) \
-                    .drop("_o")
+        F.col("_o").asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tie or []])
+    return df.withColumn("_o", order).withColumn("rank", F.row_number().over(w)) \
+             .where(F.col("rank") <= n).drop("_o")
 
 
 def outlier_samples(df: DataFrame, n: int = 10, seed: int = 42) -> DataFrame:

@@ -49,9 +49,15 @@ def clean_and_write(trips: DataFrame, path: str, rules=None):
     return back, obs.get
 
 
-def write_splits(split_df: DataFrame, path: str, split: str = "split") -> DataFrame:
+def write_splits(split_df: DataFrame, path: str, split: str = "split",
+                 strict: bool = False) -> DataFrame:
     """One folder per split (``split=train`` ...); reading a single split
-    later prunes the other folders.  Rows outside every split are not written."""
+    later prunes the other folders.  Rows outside every split are not
+    written; with ``strict`` they raise ``ValueError`` before anything is."""
+    if strict:
+        lost = split_df.where(F.col(split).isNull()).count()
+        if lost:
+            raise ValueError(f"{lost} rows are in no split")
     back = write_parquet(split_df.where(F.col(split).isNotNull()), path, [split])
     return back.select(*split_df.columns)
 

@@ -17,25 +17,37 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema as S
+from ..functions.columns import half_even_int
 
 
-def _cast_to(df: DataFrame, target: T.StructType) -> DataFrame:
+def _cast_to(df: DataFrame, target: T.StructType, optional: Sequence[str]) -> DataFrame:
+    absent = [f.name for f in target.fields if f.name not in df.columns]
+    required = [name for name in absent if name not in optional]
+    if required:
+        raise ValueError(f"missing columns: {', '.join(required)}")
     cols = []
     for field in target.fields:
-        if field.name in df.columns:
-            cols.append(F.col(field.name).cast(field.dataType).alias(field.name))
+        if field.name in absent:
+            value = F.lit(None).cast(field.dataType)
+        elif isinstance(field.dataType, T.IntegerType) and isinstance(df.schema[field.name].dataType, (T.FloatType, T.DoubleType)):
+            value = half_even_int(field.name)
         else:
-            cols.append(F.lit(None).cast(field.dataType).alias(field.name))
+            value = F.col(field.name).cast(field.dataType)
+        cols.append(value.alias(field.name))
     return df.select(*cols)
 
 
 def scan_trips(spark: SparkSession, paths: str | Sequence[str],
-               schema: T.StructType | None = S.RAW_SCHEMA) -> DataFrame:
+               schema: T.StructType | None = S.RAW_SCHEMA,
+               optional: Sequence[str] = ()) -> DataFrame:
     """Union of Parquet files as one trip table.
 
     A missing path raises Spark's ``PATH_NOT_FOUND`` at call time (the read is
     resolved eagerly).  With ``schema`` each file is cast to it first, so a
-    BIGINT file and a DOUBLE file of the same column union cleanly.
+    BIGINT file and a DOUBLE file of the same column union cleanly; fractions
+    round half-to-even where an integer is declared.  A file that lacks a
+    declared column raises ``ValueError``, unless the column is in
+    ``optional``: then it is NULL.
     """
     if isinstance(paths, str):
         paths = [paths]
@@ -44,7 +56,7 @@ def scan_trips(spark: SparkSession, paths: str | Sequence[str],
     frames = []
     for p in paths:
         df = spark.read.parquet(p)
-        frames.append(_cast_to(df, schema) if schema is not None else df)
+        frames.append(_cast_to(df, schema, optional) if schema is not None else df)
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -19,7 +19,7 @@ def test_scan_trips_type_drift(spark):
         .write.parquet(a)
     spark.createDataFrame([(2, 2.6, 3.0)], "VendorID int, passenger_count double, trip_distance double") \
         .write.parquet(b)
-    df = TR.scan_trips(spark, [a, b])
+    df = TR.scan_trips(spark, [a, b], optional=S.RAW_COLUMNS)
     assert df.schema == S.RAW_SCHEMA
     assert sorted(r.passenger_count for r in df.collect()) == [2.0, 2.6]
 
@@ -59,3 +59,23 @@ def test_requests_from_trips_monday_based(spark):
     import datetime as dt
     df = frame(spark, [trip(5.0, 1.0, when=dt.datetime(2023, 3, 6, 9))])   # a Monday
     assert TR.requests_from_trips(df).collect()[0][S.DOW] == 0
+
+
+def test_scan_trips_missing_column(spark):
+    path = tempfile.mkdtemp(prefix="cabmeter-absent-") + "/t"
+    spark.createDataFrame([(1, 2.5)], "VendorID int, RatecodeID double").write.parquet(path)
+    schema = "VendorID int, RatecodeID int, trip_distance double"
+    target = spark.createDataFrame([], schema).schema
+    with pytest.raises(ValueError, match="trip_distance"):
+        TR.scan_trips(spark, path, target)
+    assert TR.scan_trips(spark, path, target, ["trip_distance"]).collect() == [(1, 2, None)]
+
+
+def test_write_splits_strict(spark):
+    from cabmeter.sources.sinks import write_splits
+
+    df = spark.createDataFrame([(1, "train"), (2, None)], "v int, split string")
+    path = tempfile.mkdtemp(prefix="cabmeter-strict-") + "/t"
+    with pytest.raises(ValueError, match="1 rows"):
+        write_splits(df, path, strict=True)
+    assert write_splits(df, path).count() == 1
