@@ -29,6 +29,7 @@ SPILL = 0.06
 SAMPLE = 4096
 LEVELS = 12
 BLOCK = 2048
+PART = 4096
 
 
 def direction(seed: int, node: int, dims: int) -> np.ndarray:
@@ -110,23 +111,18 @@ def _grow(leaf: int, spill: float, sample: int, levels: int):
     return work
 
 
-def _route(batches):
-    """From vectors with their leaf's subtree: their new leaves."""
+def _route(rows, trees):
+    """From vectors of one part of a leaf (id, leaf, part, vec) and the leaf's
+    subtree: their new leaves."""
     import pyarrow as pa
 
-    for batch in batches:
-        leaf = np.asarray(batch.column(1))
-        out_id, out_leaf = [], []
-        for name in np.unique(leaf):
-            at = np.flatnonzero(leaf == name)
-            tree = batch.column(3)[int(at[0])].as_py()
-            m = unit_vectors(batch.column(2).take(pa.array(at)))
-            ids = np.asarray(batch.column(0))[at]
-            for node, rows in descend(int(name), tree, m):
-                out_id.append(ids[rows])
-                out_leaf.append(np.full(len(rows), _name(int(name), node)))
-        none = [np.zeros(0, np.int64)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_id or none)), pa.array(np.concatenate(out_leaf or none))], ["id", "leaf"])
+    out_id, out_leaf = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    if rows.num_rows and trees.num_rows:
+        name, ids, m = rows["leaf"][0].as_py(), np.asarray(rows["id"]), unit_vectors(rows["vec"])
+        for node, at in descend(name, trees["subtree"][0].as_py(), m):
+            out_id.append(ids[at])
+            out_leaf.append(np.full(len(at), _name(name, node)))
+    return pa.table({"id": np.concatenate(out_id), "leaf": np.concatenate(out_leaf)})
 
 
 def plant(vectors: DataFrame, trees: int, leaf: int, spill: float, sample: int, levels: int) -> DataFrame:
@@ -153,9 +149,13 @@ def plant(vectors: DataFrame, trees: int, leaf: int, spill: float, sample: int,
         trees_ = written(chosen.join(vectors, "id").groupBy("leaf").applyInArrow(_grow(leaf, spill, sample, levels), "leaf long, subtree binary"), "subtrees")
         dull = trees_.where("length(subtree) = 0").select("leaf")  # no split divides these
         closed = closed.unionByName(open_.join(dull, "leaf", "left_semi"))
-        # Vectors first: subtrees are not shuffled with every row, and a task sees a leaf's rows together.
-        moved = (rest.join(vectors, "id").join(trees_.where("length(subtree) > 0"), "leaf").select("id", "leaf", "vec", "subtree")
-                 .mapInArrow(_route, "id long, leaf long"))
+        # A leaf goes down its subtree in parts of bounded size, each with one copy of the subtree.
+        parts = F.ceil(F.col("n") / PART).cast("int")
+        pieces = (trees_.where("length(subtree) > 0").join(big, "leaf")
+                  .select("leaf", "subtree", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part")))
+        moved = (rest.withColumn("part", F.pmod(F.xxhash64("id", F.lit(3)), parts).cast("int"))
+                 .join(vectors, "id").select("id", "leaf", "part", "vec")
+                 .groupBy("leaf", "part").cogroup(pieces.groupBy("leaf", "part")).applyInArrow(_route, "id long, leaf long"))
         open_ = written(moved, "leaves")
     return written(closed.select("id", "leaf").distinct(), "planted")
 
@@ -243,7 +243,9 @@ def embedding_components(df: DataFrame, least: float = 0.9, trees: int = TREES,
     Splits are fitted on at most ``sample`` vectors of a leaf; every vector
     is indexed.
     """
-    vec = F.col(vector_col).cast("array<double>")
+    # Floats travel as they are; tasks make doubles of them.
+    kept = df.schema[vector_col].dataType.simpleString() == "array<float>"
+    vec = F.col(vector_col) if kept else F.col(vector_col).cast("array<double>")
     rows = df.select(F.col(id_col).cast("long").alias("id"), vec.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     sound = F.coalesce((F.size("vec") > 0) & finite & F.exists("vec", lambda x: x != 0), F.lit(False))
