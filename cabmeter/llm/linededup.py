@@ -249,9 +249,9 @@ def line_dedup(df: DataFrame, percent: int = 80, size: int = SHINGLE, bands: int
     held = df.withColumn("__print", fingerprint).withColumn("__key", F.col(id_col).cast("long"))
     held = held.join(found, (F.col("__key") == F.col("__id")) & (F.col("__print") == F.col("__fingerprint")), "left")
 
-    @F.pandas_udf("string")
+    @F.arrow_udf("string")
     def without(texts, gone):
-        import pandas as pd
+        import pyarrow as pa
 
         def cut(text, numbers):
             if text is None or numbers is None:
@@ -259,7 +259,7 @@ def line_dedup(df: DataFrame, percent: int = 80, size: int = SHINGLE, bands: int
             drop = set(numbers)
             return "\n".join(line for k, line in enumerate(text.split("\n")) if k not in drop)
 
-        return pd.Series([cut(t, g) for t, g in zip(texts, gone)], dtype=object)
+        return pa.array([cut(t.as_py(), g.as_py()) for t, g in zip(texts, gone)], pa.string())
 
     return (held.withColumn(out, F.coalesce(F.size("__gone"), F.lit(0)))
             .withColumn(text_col, without(F.col(text_col).cast("string"), F.col("__gone")))
