@@ -23,15 +23,29 @@ from ..functions.quantiles import attach, quantiles
 
 def fit_ols(train: DataFrame, features: Sequence[str] = S.OLS_FEATURES,
             target: str = S.DURATION) -> PipelineModel:
-    """Ordinary least squares with intercept, no regularisation."""
+    """Ordinary least squares with intercept, no regularisation.
+
+    Rows with a missing feature or target are left out of the fit
+    (``missing_values`` counts them); scoring keeps every row, with a NaN
+    prediction where a feature is missing."""
     assembler = VectorAssembler(inputCols=list(features), outputCol="features",
-                                handleInvalid="skip")
+                                handleInvalid="keep")
     lr = LinearRegression(featuresCol="features", labelCol=target, predictionCol="prediction",
                           solver="normal", regParam=0.0, elasticNetParam=0.0,
                           standardization=False, fitIntercept=True)
     data = train.select(*[F.col(c).cast("double") for c in features],
                         F.col(target).cast("double"))
-    return Pipeline(stages=[assembler, lr]).fit(data)
+    return Pipeline(stages=[assembler, lr]).fit(data.na.drop())
+
+
+def missing_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: all rows, rows with a NULL or NaN in any of the columns, and
+    the number of such rows for each column."""
+    gone = [F.coalesce(F.isnan(F.col(c).cast("double")), F.lit(False)) | F.col(c).isNull()
+            for c in columns]
+    return df.agg(F.count(F.lit(1)).alias("rows"),
+                  F.count_if(F.array_contains(F.array(*gone), True)).alias("unusable"),
+                  *[F.count_if(g).alias(c) for g, c in zip(gone, columns)])
 
 
 def ols_coefficients(model: PipelineModel, features: Sequence[str] = S.OLS_FEATURES) -> DataFrame:
@@ -50,10 +64,11 @@ def fit_boosted(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
                 target: str = S.DURATION, max_iter: int = S.BOOST_ITERATIONS,
                 max_depth: int = S.BOOST_DEPTH, min_leaf: int = S.BOOST_MIN_LEAF,
                 step: float = S.BOOST_RATE, max_bins: int = S.BOOST_BINS,
-                seed: int = S.BOOST_SEED, max_categories: int = 32,
-                persist: bool = True, zones_categorical: bool = False) -> PipelineModel:
+                seed: int = S.BOOST_SEED, persist: bool = True,
+                zones_categorical: bool = False) -> PipelineModel:
     """Boosted regression trees; the listed categorical columns are marked
     categorical (``VectorIndexer`` on their own vector), the rest numeric.
+    A categorical column with more than ``max_bins`` values is an error.
 
     ``zones_categorical`` moves the pickup/dropoff zones to the categorical
     side (Spark has no 255-category ceiling; ``maxBins`` is raised to cover
@@ -62,15 +77,18 @@ def fit_boosted(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
         zones = [S.PU_ZONE, S.DO_ZONE]
         numeric = [c for c in numeric if c not in zones]
         categorical = list(categorical) + [z for z in zones if z not in categorical]
-        max_categories = max(max_categories, S.ZONE_RANGE[1] + 1)
         max_bins = max(max_bins, S.ZONE_RANGE[1] + 1)
     stages = []
     cat_vec = []
     if categorical:
+        counts = train.agg(*[F.count_distinct(F.col(c)).alias(c) for c in categorical]).first()
+        wide = {c: counts[c] for c in categorical if counts[c] > max_bins}
+        if wide:
+            raise ValueError(f"categorical columns with more than {max_bins} values: {wide}")
         stages.append(VectorAssembler(inputCols=list(categorical), outputCol="_cat_raw",
                                       handleInvalid="keep"))
         stages.append(VectorIndexer(inputCol="_cat_raw", outputCol="_cat",
-                                    maxCategories=max_categories, handleInvalid="keep"))
+                                    maxCategories=max(2, *counts), handleInvalid="keep"))
         cat_vec = ["_cat"]
     stages.append(VectorAssembler(inputCols=list(numeric) + cat_vec, outputCol="features",
                                   handleInvalid="keep"))
@@ -156,14 +174,16 @@ def metric_comparison(metrics: DataFrame, reference: Mapping[str, float]) -> Dat
 
 def batch_score(model: PipelineModel, requests: DataFrame, valid_col: str = "is_valid",
                 features: Sequence[str] | None = None) -> DataFrame:
-    """Score validated requests; prediction clamped at 0 (NULL stays NULL).
-    Requests must carry the model's feature columns."""
+    """Score validated requests: one row per valid request, the prediction
+    clamped at 0, NULL where the model gives none because a feature is
+    missing.  Requests must carry the model's feature columns."""
     rows = requests.where(F.col(valid_col)) if valid_col in requests.columns else requests
     if features:
         rows = rows.withColumns({c: F.col(c).cast("double") for c in features})
     scored = model.transform(rows)
     p = F.col("prediction")
-    return scored.withColumn("prediction", F.when(p.isNotNull(), F.greatest(p, F.lit(0.0))))
+    return scored.withColumn("prediction", F.when(p.isNotNull() & ~F.isnan(p),
+                                                  F.greatest(p, F.lit(0.0))))
 
 
 def overall_mae(scored: DataFrame, label: str = S.DURATION,
@@ -181,7 +201,7 @@ def mae_by_distance(scored: DataFrame, label: str = S.DURATION, prediction: str
                 .agg(F.avg(err).alias("mae"), F.count(F.lit(1)).alias("trips"))
     buckets = spark.createDataFrame(list(enumerate(S.ERROR_BUCKET_LABELS)),
                                     "bucket_id INT, bucket STRING")
-    out = F.broadcast(buckets).join(agg, "bucket_id", "left")
+    out = agg.join(F.broadcast(buckets), "bucket_id", "right")
     return out.select("bucket_id", "bucket", "mae",
                       F.coalesce(F.col("trips"), F.lit(0)).cast("long").alias("trips"))
 
@@ -194,6 +214,6 @@ def mae_by_hour(scored: DataFrame, label: str = S.DURATION, prediction: str = "p
     agg = scored.groupBy(F.col(hour).cast("int").alias("hour")) \
                 .agg(F.avg(err).alias("mae"), F.count(F.lit(1)).alias("trips"))
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))
-    out = F.broadcast(hours).join(agg, "hour", "left")
+    out = agg.join(F.broadcast(hours), "hour", "right")
     return out.select("hour", C.time_band("hour").alias("band"), "mae",
                       F.coalesce(F.col("trips"), F.lit(0)).cast("long").alias("trips"))

@@ -79,10 +79,15 @@ def _check(i: int, text: str, earlier: str, later: str) -> Column:
                     F.coalesce(F.col(earlier) < F.col(later), F.lit(False)).alias("ok"))
 
 
-def split_integrity(df: DataFrame, split: str = "split", strict: bool = False) -> DataFrame:
-    """Checks: split rows sum to the input rows; train ends before validation
-    starts; validation ends before test starts.  An empty split fails its
-    order check.  ``strict`` turns a failed check into a job error."""
+def split_integrity(df: DataFrame, split: str = "split", strict: bool = False,
+                    source: DataFrame | None = None) -> DataFrame:
+    """Checks: split rows sum to the rows of ``source`` (``df`` itself if not
+    given); train ends before validation starts; validation ends before test
+    starts.  An empty split fails its order check.  ``strict`` turns a failed
+    check into a job error.
+
+    With the written splits as ``df`` and the frame they were cut from as
+    ``source``, the first check sees rows lost on the way."""
     hs = C.pickup_hour_start(S.YEAR, S.MONTH, S.DAY, S.HOUR)
     he = C.pickup_hour_end(S.YEAR, S.MONTH, S.DAY, S.HOUR)
     s = F.col(split)
@@ -93,6 +98,8 @@ def split_integrity(df: DataFrame, split: str = "split", strict: bool = False) -
         F.min(F.when(s == "validation", hs)).alias("val_min"),
         F.max(F.when(s == "validation", he)).alias("val_max"),
         F.min(F.when(s == "test", hs)).alias("test_min"))
+    if source is not None:
+        a = attach(a.drop("total"), source.agg(F.count(F.lit(1)).alias("total")), [])
     checks = F.array(
         F.struct(F.lit(1).alias("check_id"), F.lit("split rows sum to total").alias("check"),
                  F.col("in_splits").cast("string").alias("left_value"),

@@ -118,6 +118,11 @@ def q_write_splits(spark, sf):
     return back.groupBy("split").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def q_split_integrity(spark, sf):
+    back = sinks.write_splits(split_frame(spark, sf), scratch_path(spark, "splits_checked"))
+    return SP.split_integrity(back, source=cleaned(spark, sf))
+
+
 def q_write_scored(spark, sf):
     return sinks.write_scored(ols_scored(spark, sf, "test"), scratch_path(spark, "scored"))
 
@@ -324,7 +329,7 @@ QUERIES: dict[str, Query] = {
     # 2.7 temporal splits
     "temporal_split": split_frame,
     "split_report": _q(SP.split_report, split_frame),
-    "split_integrity": _q(SP.split_integrity, split_frame),
+    "split_integrity": q_split_integrity,
     "split_candidates": q_split_candidates,
     # 2.8 modelling and evaluation
     "fit_ols": lambda spark, sf: M.regression_metrics(ols_scored(spark, sf, "validation")),

@@ -23,14 +23,15 @@ from ..sources.trips import requests_from_trips, trips_from_lineitem
 
 
 def lineitem_stream(spark: SparkSession, source_dir: str, pattern: str = "lineitem.parquet",
-                    max_files_per_trigger: int = 1) -> DataFrame:
+                    max_files_per_trigger: int | None = None) -> DataFrame:
     """New ``lineitem`` files in ``source_dir`` as a stream (schema taken
-    from the files present now, as a file stream needs one up front)."""
+    from the files present now, as a file stream needs one up front).  A
+    micro-batch takes all new files unless a number is given."""
     schema = spark.read.parquet(f"{source_dir.rstrip('/')}/{pattern}").schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", pattern)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
-            .parquet(source_dir))
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(source_dir)
 
 
 def clean_stream(trips: DataFrame) -> DataFrame:
@@ -66,5 +67,7 @@ def run_available(stream: DataFrame, out_path: str, checkpoint: str) -> DataFram
     return stream.sparkSession.read.parquet(out_path)
 
 
-def trips_stream(spark: SparkSession, source_dir: str) -> DataFrame:
-    return trips_from_lineitem(lineitem_stream(spark, source_dir))
+def trips_stream(spark: SparkSession, source_dir: str,
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    return trips_from_lineitem(
+        lineitem_stream(spark, source_dir, max_files_per_trigger=max_files_per_trigger))

@@ -67,6 +67,26 @@ def test_batch_score_clamps_at_zero(spark):
     assert preds and min(preds) == 0.0
 
 
+def test_missing_features_keep_their_rows(spark):
+    df, _ = _frame(spark, n=300)
+    holes = df.withColumn(S.DISTANCE, F.when(F.col(S.PASSENGERS) == 1, float("nan"))
+                          .when(F.col(S.PASSENGERS) != 2, F.col(S.DISTANCE)))
+    n, gone = holes.count(), holes.where(F.col(S.PASSENGERS) <= 2).count()
+    counts = M.missing_values(holes, S.OLS_FEATURES).first()
+    assert (counts.rows, counts.unusable, counts[S.DISTANCE], counts[S.HOUR]) == (n, gone, gone, 0)
+    scored = M.batch_score(M.fit_ols(holes), holes, features=S.OLS_FEATURES)
+    assert scored.count() == n and scored.where("prediction is null").count() == gone
+
+
+def test_wide_categorical_is_an_error(spark):
+    df, _ = _frame(spark, n=600)
+    wide = df.withColumn("code", F.monotonically_increasing_id() % 40)
+    with pytest.raises(ValueError, match="code"):
+        M.fit_boosted(wide, numeric=[S.DISTANCE], categorical=["code"], max_iter=2, max_bins=32)
+    model = M.fit_boosted(wide, numeric=[S.DISTANCE], categorical=["code"], max_iter=2)
+    assert len(model.stages[1].categoryMaps[0]) == 40
+
+
 def test_error_reports_fill_empty(spark):
     df = spark.createDataFrame([(10.0, 8.0, 1.5, 7)], "trip_duration_minutes double, prediction double, "
                                                       "trip_distance double, pickup_hour int")

@@ -63,6 +63,14 @@ def test_integrity_fails_on_empty_split(spark):
     assert checks[2] is False and checks[3] is False
 
 
+def test_integrity_sees_rows_lost_since_the_source(spark):
+    source = _cleaned(spark)
+    kept = SP.temporal_split(source.where(F.col("pickup_month") != 3))
+    checks = {r.check_id: r for r in SP.split_integrity(kept, source=source).collect()}
+    assert checks[1].ok is False and checks[2].ok and checks[3].ok
+    assert (checks[1].left_value, checks[1].right_value) == ("22", "24")
+
+
 def test_split_candidates(spark):
     out = {(r.candidate, r.part): r.rows for r in SP.split_candidates(_cleaned(spark)).collect()}
     assert out[("A", "train")] == 12 and out[("B", "validation")] == 3 and out[("C", "test")] == 3
