@@ -186,8 +186,9 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
     signed = written(docs.mapInArrow(_signatures(shingle, bands, rows), SIGNATURES), "signatures")
     same = ["n", "fa", "fb"]
     classes = written(signed.where("n > 0 and id is not null").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
-    reps = signed.join(classes.select(F.col("rep").alias("id"), *same), ["id", *same])
-    keys = reps.select("id", F.explode("bands").alias("key")).distinct()
+    # Rows that repeat id and set are dropped where the join has put them: band keys are shuffled once less.
+    reps = signed.join(classes.select(F.col("rep").alias("id"), *same), ["id", *same]).dropDuplicates(["id", *same])
+    keys = reps.select("id", F.explode("bands").alias("key"))
     crowds = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     shared = written(keys.join(crowds, "key"), "shared")
     degree = shared.groupBy("id").agg(F.sum("size").alias("degree"))
@@ -203,19 +204,23 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
 
     label = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "size", F.coalesce("root", "id").alias("comp"))
     split = label.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1 and c0 is not null").select("key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-    whole = signed.select("id", "n", "sketch", "bands").dropDuplicates(["id"]).join(
-        sets.select("id", F.array_sort("members").alias("members")), "id").where(F.col("n") == F.size("members"))
-    rest = (label.where("size > 2").join(split, "key")
-            .select("key", "id", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-            .select("key", "id", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side"))
-            .join(whole, "id"))
-    more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross_links(bands * rows, percent), "a long, b long").distinct(), "links")
-    if not more.isEmpty():
-        drop_written(roots)
-        roots = written(components(links.unionByName(more)), "roots")
-    drop_written(shared, pairs, sets, links, more)
+    open_ = written(label.where("size > 2").join(split, "key").distinct(), "open")
+    if not open_.isEmpty():
+        blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+        own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+        asked = open_.select("id").distinct()
+        whole = (signed.select("id", "n", "sketch", "bands").join(asked, "id", "left_semi").dropDuplicates(["id"])
+                 .join(sets.select("id", F.array_sort("members").alias("members")), "id").where(F.col("n") == F.size("members")))
+        rest = (open_.select("key", "id", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+                .select("key", "id", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side"))
+                .join(whole, "id"))
+        more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross_links(bands * rows, percent), "a long, b long").distinct(), "links")
+        if not more.isEmpty():
+            # The components so far are stars, so only the new links need rounds.
+            old, roots = roots, written(components(roots.toDF("a", "b").unionByName(more)), "roots")
+            drop_written(old)
+        drop_written(more)
+    drop_written(shared, pairs, sets, links, open_)
     place = (classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select(*same, F.coalesce("root", "rep").alias("component")))
     return (signed.select("id", *same).join(place, same, "left")
