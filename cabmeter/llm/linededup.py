@@ -205,14 +205,18 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
 
     label = shared.join(roots.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "size", F.coalesce("root", "name").alias("comp"))
     split = label.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
-    blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-    rest = (label.where("size > 2").join(split, "key").join(bodies, "name")
-            .withColumn("own", F.pmod(F.xxhash64("name"), blocks).cast("int"))
-            .select("key", "name", "comp", "body", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-            .select("key", "name", "comp", "body", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side")))
-    more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross(size, percent), "a long, b long").distinct(), "links")
-    if not more.isEmpty():
-        roots = components(links.unionByName(more))
+    open_ = written(label.where("size > 2").join(split, "key"), "open")
+    if not open_.isEmpty():
+        blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
+        rest = (open_.join(bodies, "name")
+                .withColumn("own", F.pmod(F.xxhash64("name"), blocks).cast("int"))
+                .select("key", "name", "comp", "body", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+                .select("key", "name", "comp", "body", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side")))
+        more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross(size, percent), "a long, b long").distinct(), "links")
+        if not more.isEmpty():
+            # The components so far are stars, so only the new links need rounds.
+            roots = components(roots.toDF("a", "b").unionByName(more))
+        drop_written(more)
 
     first = lines.groupBy("name").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n"))
     member = first.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
@@ -220,7 +224,7 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     stays = member.join(best, "root").select("name", "keep")
     gone = written(lines.select(*key, "line", "name").join(stays, "name").where("struct(id, line) != keep")
                    .groupBy(*key).agg(F.collect_set("line").alias("gone")), "gone")
-    drop_written(lines, shared, bodies, links, more)
+    drop_written(lines, shared, bodies, links, open_)
     return gone
 
 
