@@ -111,6 +111,23 @@ def test_projection_forest(spark):
     assert got[n + 7].component == n + 6 and all(got[n + k].n_links == 0 for k in (1, 2, 3, 4, 5))
 
 
+def test_projection_forest_crowd(spark):
+    """A crowd of near copies much larger than a leaf, with equal ones in it, keeps all its links."""
+    from cabmeter.llm.rpforest import embedding_components
+
+    rng = np.random.default_rng(5)
+    crowd = rng.standard_normal(64) + 0.12 * rng.standard_normal((1500, 64))
+    vectors = np.concatenate((crowd, crowd[:40], np.repeat(crowd[:1], 300, axis=0), rng.standard_normal((1500, 64))))
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {r.id: r for r in embedding_components(df, least=0.98).collect()}
+    links = near.sum(axis=1) - 1
+    assert len(got) == len(vectors) and all(r.n_links <= links[i] for i, r in got.items())
+    assert sum(r.n_links for r in got.values()) >= 0.999 * links.sum()
+    assert all(got[i].component == got[i - 1500].component for i in range(1500, 1540))
+
+
 def test_warc_round_trip(spark):
     from cabmeter.llm.warc import iterate_archive, payload_digest, read_archives, write_archives
 
