@@ -32,7 +32,6 @@ TRAIN_END = (2000, 1)
 VALIDATION_END = (2001, 1)
 FIRST_YEAR, SECOND_YEAR = 2000, 2001
 ZONE_MIN_TRIPS = 100
-BOOST_QUERY_ITERATIONS = 20     # 300 stays the operator default
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -226,8 +225,7 @@ def q_split_candidates(spark, sf):
 
 def q_fit_boosted(categorical):
     def run(spark, sf):
-        model = M.fit_boosted(part(spark, sf, "train"), S.BOOSTED_NUMERIC, categorical,
-                              max_iter=BOOST_QUERY_ITERATIONS)
+        model = M.fit_boosted(part(spark, sf, "train"), S.BOOSTED_NUMERIC, categorical)
         return M.regression_metrics(model.transform(part(spark, sf, "validation")))
     return run
 

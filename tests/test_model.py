@@ -121,3 +121,24 @@ def test_split_requests_and_zone_switch(spark):
     model = M.fit_boosted(df, numeric=[S.DISTANCE, S.PU_ZONE, S.DO_ZONE], categorical=[S.MONTH],
                           max_iter=3, zones_categorical=True)
     assert model.transform(df).count() == 400
+
+
+@pytest.mark.parametrize("name, categorical", [("fit_boosted_11", S.BOOSTED_CATEGORICAL_11), ("fit_boosted_12", S.BOOSTED_CATEGORICAL_12)])
+def test_registered_boosting_trains_all_rounds(monkeypatch, name, categorical):
+    import inspect
+
+    from cabmeter.plans import registry
+
+    fit, seen = inspect.signature(M.fit_boosted), {}
+
+    def stop(*args, **kw):
+        call = fit.bind(*args, **kw)
+        call.apply_defaults()
+        seen.update(call.arguments)
+        raise InterruptedError
+
+    monkeypatch.setattr(registry, "part", lambda *_: None)
+    monkeypatch.setattr(registry.M, "fit_boosted", stop)
+    with pytest.raises(InterruptedError):
+        registry.QUERIES[name](None, "")
+    assert seen["max_iter"] == S.BOOST_ITERATIONS == 300 and list(seen["categorical"]) == list(categorical)
