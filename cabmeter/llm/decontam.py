@@ -143,7 +143,21 @@ def contamination(df: DataFrame, benchmark: DataFrame, least: float = 0.8, id_co
                   F.sequence(F.lit(0), F.greatest(F.col("size") - SHINGLE, F.lit(0)), F.lit(stride)),
                   lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("words", i + 1, SHINGLE)).alias("h")))).alias("s"))
               .select("id", "size", "s.at", "s.h"))
+    # Items shorter than a shingle: slices of their sizes are looked up too, at
+    # every place; the first is enough, since only equal ones pass.
+    short = [r.n for r in items.where(F.col("n") < SHINGLE).select("n").distinct().collect()]
+    if short:
+        slices = F.flatten(F.array(*(F.when(F.col("size") > n, F.transform(
+            F.sequence(F.lit(0), F.greatest(F.col("size") - n, F.lit(0))),
+            lambda i: F.struct(i.alias("at"), F.xxhash64(F.slice("words", i + 1, n)).alias("h"), F.lit(n).alias("k"))))
+            .otherwise(F.array().cast("array<struct<at:int,h:bigint,k:int>>")) for n in sorted(short))))
+        within = (texts.where("size(words) > 0").withColumn("size", F.size("words"))
+                  .select("id", "size", F.explode(slices).alias("s")).select("id", "size", "s.at", "s.h", "s.k"))
     hits = looked.join(_small(known), "h").groupBy("id", "size", "item", "n", "m").agg(F.collect_set("at").alias("ats"))
+    if short:
+        whole = within.join(_small(known.where(F.col("n") < SHINGLE).withColumnRenamed("n", "k")), ["h", "k"])
+        hits = hits.unionByName(whole.select("id", "size", "item", F.col("k").alias("n"), "m", "at")
+                                .groupBy("id", "size", "item", "n", "m").agg(F.array(F.min("at")).alias("ats")))
     here = F.least("m", shingle_count(F.col("size")))  # shingles of a window
     lack = here - F.ceil(F.round(here * F.lit(share), 9)).cast("int")
     need = F.greatest(F.lit(1), F.floor(here / stride).cast("int") - lack)

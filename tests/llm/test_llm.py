@@ -263,6 +263,22 @@ def test_decontamination(spark, docs):
     assert contaminated(docs, items.limit(0)).where("contaminated").count() == 0
 
 
+def test_decontamination_by_short_items(spark):
+    """Items of one to four words are found inside longer documents, as whole runs of words only."""
+    from cabmeter.llm.decontam import contaminated
+
+    texts = ["a b c d e f g one two h", "one two", "x one two", "one. TWO", "two one a b c d e f", "one x two y z a b c", "p q r s t u lone", "lone", None, "a b c d e f g h"]
+    items = [(1, "One two"), (2, "lone"), (3, "p q r s"), (4, "d e f g one two h"), (5, "e f g")]
+    expected = []
+    for text in texts:
+        w = (text or "").lower().replace(".", "").split()
+        found = [i for i, t in items for k in [t.lower().split()] if len(k) < 5 and any(w[p:p + len(k)] == k for p in range(len(w)))]
+        expected.append(len(found) + (text == texts[0]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.id: r.n_items for r in contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [got[i] for i in range(len(texts))] == expected
+
+
 def test_toxicity(spark):
     from cabmeter.llm.toxicity import fit_toxicity, score_toxicity
 
