@@ -1,8 +1,9 @@
 """Repeated word windows removed, with a count-min prefilter.
 
-Pass 1: every map task sketches the windows of its documents; the sketches
-are merged by section of the hash space, where estimates (never below the
-true count) say which windows may repeat.  Pass 2: only those windows are
+Pass 1: every map task sends four bytes of hash for each window of its
+documents to a section of the hash space.  The section's task counts them in a
+count-min sketch, whose estimates (never below the true count) say which
+windows may repeat; no partition makes a sketch of its own to be merged.  Pass 2: only those windows are
 grouped exactly, by 96 bits of two independent hashes.  None is lost.
 """
 
