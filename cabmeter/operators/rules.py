@@ -164,6 +164,11 @@ def unusual_values(df: DataFrame, **cols) -> DataFrame:
                       (F.col("rows_matched") > 0).alias("flagged"))
 
 
+def unusual_values_found(df: DataFrame, **cols) -> DataFrame:
+    """The checks of ``unusual_values`` that any row meets, the rarest first."""
+    return unusual_values(df, **cols).where("flagged").orderBy("rows_matched", "check_id")
+
+
 def outlier_conditions(duration: str = S.DURATION, distance: str = S.DISTANCE,
                        passengers: str = S.PASSENGERS) -> list[tuple[int, str, Column]]:
     d, x, p = F.col(duration), F.col(distance), F.col(passengers)

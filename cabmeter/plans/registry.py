@@ -281,6 +281,7 @@ QUERIES: dict[str, Query] = {
     "cleaning_reconcile": _q(R.cleaning_reconcile, trips),
     "documented_rules": _q(R.documented_rules, trips),
     "unusual_values": _q(R.unusual_values, trips),
+    "unusual_values_found": _q(R.unusual_values_found, trips),
     "outlier_summary": _q(R.outlier_summary, trips),
     "validate_requests": q_validate_requests,
     # 2.4 aggregations

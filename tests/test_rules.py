@@ -45,6 +45,13 @@ def test_unusual_and_outlier_reports(spark):
     assert len(o) == 6 and o[6] == 1
 
 
+def test_unusual_values_found_ascending(spark):
+    df = frame(spark).where("trip_distance <= 50")     # check 4 matches nothing
+    every, found = R.unusual_values(df).collect(), R.unusual_values_found(df).collect()
+    assert 0 < len(found) < len(every)
+    assert found == sorted((r for r in every if r.rows_matched > 0), key=lambda r: (r.rows_matched, r.check_id))
+
+
 def test_validate_requests_all_violations(spark):
     rows = [(1.0, 2, 10, 0, 6, 100, 200, 1, 1),
             (-1.0, 9, 24, 7, 13, 0, 266, 7, 3),
