@@ -74,6 +74,16 @@ def test_both_exact_methods_agree(spark):
     assert a == b
 
 
+def test_exact_equals_builtin_percentile(spark):
+    rng = np.random.default_rng(6)
+    rows = [("a" if i % 3 else "b", float(x)) for i, x in enumerate(rng.gamma(2.0, 3.0, 4000).round(3))] + [("a", None)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"]).collect())
+    expected = sorted(df.groupBy("g").agg(*[F.percentile("v", p) for p in (0.1, 0.5, 0.9)]).collect())
+    assert [r[0] for r in got] == [r[0] for r in expected]
+    assert np.allclose([r[1:] for r in got], [r[1:] for r in expected], rtol=0, atol=1e-9)
+
+
 @pytest.mark.parametrize("buckets", [None, 4, 64])
 def test_hot_value_and_wanted_buckets_only(spark, buckets):
     # One value holds 40 % of the rows of the hot group and of all rows:
