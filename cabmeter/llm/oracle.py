@@ -129,7 +129,32 @@ SELECT doc_id, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, best_item, round
 FROM documents LEFT JOIN g USING (doc_id)
 """
 
+OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+w AS (SELECT r, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS ln FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+lt AS (SELECT lang, count(*) AS v, sum(ln) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY lang, source, term),
+gt AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY lang, source),
+f AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+      1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(gt.total, 0) + 5 * lt.v) AS p,
+      1 + (1000000000::HUGEINT * (k.ln + 5)) // (lt.total + 5 * lt.v) AS q
+      FROM g JOIN k USING (lang) JOIN lt USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+      LEFT JOIN gt ON gt.lang = g.lang AND gt.source = g.source),
+s AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+      FROM f x JOIN f y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY 1, 2, 3),
+u AS (SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(s.value, 0) AS value
+      FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+      LEFT JOIN s ON s.lang = x.lang AND s.source = x.source AND s.item = y.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM f WHERE n > 0 AND p > q)
+SELECT * FROM (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+      CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM u)
+WHERE part = 'pair' OR rank <= 50
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_superminhash": OP1, "op2_projection_forest": OP2, "op3_dictionary_warc": OP3, "op4_pii_checksums": OP4, "op5_fuzzy_lines": OP5, "op8_count_min": OP8,
-            "op9_simhash_windows": OP9}
+            "op9_simhash_windows": OP9, "op13_dominance_skyband": OP13}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabmeter.llm.decontam import contaminated
+from cabmeter.llm.divergence import source_divergence
 from cabmeter.llm.linededup import line_dedup
 from cabmeter.llm.minhash import minhash_components
 from cabmeter.llm.packing import pack_documents
@@ -90,5 +91,9 @@ def op10_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected")
 
 
+def op13_dominance_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(read_table(spark, sf_dir, "documents"), least_docs=30, top=50)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
