@@ -154,7 +154,33 @@ SELECT * FROM (SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
 WHERE part = 'pair' OR rank <= 50
 """
 
+# CRC-32 by its table, made from the polynomial; words as one ASCII byte a code point, since levenshtein() counts bytes.
+OP11 = r"""
+WITH RECURSIVE tr(step, i, v) AS (SELECT 0, i, i::BIGINT FROM range(0, 256) AS t(i) UNION ALL
+      SELECT step + 1, i, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM tr WHERE step < 8),
+tb AS (SELECT list(v ORDER BY i) AS tb FROM tr WHERE step = 8),
+ab AS (SELECT string_agg(chr(i::INTEGER), '' ORDER BY i) AS wide, string_agg(chr((i - 160)::INTEGER), '' ORDER BY i) AS slim FROM range(192, 256) AS t(i)),
+r AS (SELECT id, run, count(*) AS times FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+      unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) AS run
+      FROM documents) GROUP BY id, run),
+h AS (SELECT run, times, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(id || ':' || run, ''),
+      lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END))),
+      lambda c, b: xor(c >> 8, tb[(xor(c, b) & 255) + 1])), 4294967295) AS h FROM r, tb),
+w AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, times FROM h),
+v AS (SELECT word, sum(times)::BIGINT AS n FROM w WHERE length(word) >= 5 GROUP BY word HAVING sum(times) >= 3),
+x AS (SELECT word, n, translate(word, wide, slim) AS slim FROM v, ab),
+k AS (SELECT word, n, slim, slim AS k FROM x UNION SELECT word, n, slim, substr(slim, 1, i - 1) || substr(slim, i + 1) FROM x, unnest(range(1, length(slim) + 1)) AS t(i)),
+p AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS near_n FROM k a JOIN k b ON a.k = b.k AND a.word <> b.word WHERE levenshtein(a.slim, b.slim) = 1),
+b AS (SELECT word, n, count(*) AS n_near, max(near_n) AS best FROM p GROUP BY word, n),
+f AS (SELECT p.word, min(p.near) AS form, any_value(p.near_n) AS form_n FROM p JOIN b ON p.word = b.word AND p.near_n = b.best
+      WHERE p.near_n >= 2 * p.n GROUP BY p.word),
+c(word, last) AS (SELECT word, word FROM v UNION ALL SELECT c.word, f.form FROM c JOIN f ON c.last = f.word)
+SELECT v.word, form, last AS root, v.n, coalesce(n_near, 0) AS n_near, form_n
+FROM v LEFT JOIN f USING (word) LEFT JOIN b USING (word) JOIN c USING (word)
+WHERE last NOT IN (SELECT word FROM f)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_superminhash": OP1, "op2_projection_forest": OP2, "op3_dictionary_warc": OP3, "op4_pii_checksums": OP4, "op5_fuzzy_lines": OP5, "op8_count_min": OP8,
-            "op9_simhash_windows": OP9, "op13_dominance_skyband": OP13}
+            "op9_simhash_windows": OP9, "op11_reduced_alphabet": OP11, "op13_dominance_skyband": OP13}

@@ -14,6 +14,7 @@ from cabmeter.llm.minhash import minhash_components
 from cabmeter.llm.packing import pack_documents
 from cabmeter.llm.pii import BASE, detect_pii, spans_text
 from cabmeter.llm.rpforest import embedding_components
+from cabmeter.llm.spelling import spelling_variants
 from cabmeter.llm.substringdedup import substring_dedup
 from cabmeter.llm.suffixdedup import suffix_dedup
 from cabmeter.llm.tables import read_table
@@ -91,6 +92,10 @@ def op10_text_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), "rejected")
 
 
+def op11_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"), least=5, times=3, every=97, factor=2)
+
+
 def op13_dominance_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(read_table(spark, sf_dir, "documents"), least_docs=30, top=50)
 
