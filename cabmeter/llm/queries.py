@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cabmeter.llm.decontam import contaminated
 from cabmeter.llm.divergence import source_divergence
 from cabmeter.llm.linededup import line_dedup
+from cabmeter.llm.lzprint import neighbour_prints
 from cabmeter.llm.minhash import minhash_components
 from cabmeter.llm.packing import pack_documents
 from cabmeter.llm.pii import BASE, detect_pii, spans_text
@@ -96,6 +97,10 @@ def op11_reduced_alphabet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(read_table(spark, sf_dir, "documents"), least=5, times=3, every=97, factor=2)
 
 
+def op12_lz_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbour_prints(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_dominance_skyband(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(read_table(spark, sf_dir, "documents"), least_docs=30, top=50)
 
