@@ -1,11 +1,16 @@
 """Spelling variants: words of a corpus that one edit makes another word.
 
 Letters are hashed to a few symbols, which turns words into reduced words.
-One edit of a word is at most one edit of its reduced word, so the full
-one-edit neighbourhood of the reduced word (itself, every deletion, insertion
-and replacement by a symbol) holds the reduced form of every near word.  With
-so few symbols the neighbourhood can be written out; it is joined with the
+One edit of a word is at most one edit of its reduced word, so the one-edit
+neighbourhood of the reduced word (itself, every deletion, insertion and
+replacement by a symbol) holds the reduced form of every near word.  With so
+few symbols the neighbourhood can be written out; it is joined with the
 reduced vocabulary, and the original strings confirm each candidate.
+
+An edit can be undone, so one word of a pair need list the other, not both:
+the longer one lists the shorter as a deletion, and of two reduced words with
+one other symbol that with the lesser one lists the replacement.  Together the
+lists are the full neighbourhoods, with a quarter of the keys.
 """
 
 from __future__ import annotations
@@ -17,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.tables import drop_written, written
-from cabmeter.llm.textops import BASES, longs, lower_ascii, prefix_sums, row_chunks, scramble, span_hash, utf8, word_spans
+from cabmeter.llm.textops import longs, lower_ascii, prefix_sums, row_chunks, scramble, span_hash, utf8, word_spans
 from cabmeter.llm.textops import _powers as powers
 
 CHUNK_BYTES = 4 << 20
@@ -124,42 +129,44 @@ def _symbols(words: list[str], symbols: int) -> tuple[np.ndarray, np.ndarray]:
     return (scramble(points, 71) % np.uint64(symbols)).astype(np.int64), np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
 
 
-def neighbourhoods(words: list[str], symbols: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Key of each word's reduced word, and the distinct keys of its one-edit
-    neighbourhood with the word of each.  A key is the hash of a reduced word,
-    so a collision makes one candidate more."""
+def _reduced_keys(words: list[str], symbols: int):
     reduced, edge = _symbols(words, symbols)
     value = scramble(np.arange(1, symbols + 1, dtype=np.uint64), 72)
     sums = prefix_sums(value[reduced])
+    own = span_hash(sums, edge[:-1], edge[1:])
+    return reduced, edge, value, sums, own, scramble(own + np.diff(edge).astype(np.uint64), 73)
+
+
+def neighbourhoods(words: list[str], symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of each word's part of the one-edit neighbourhoods,
+    with the word of each: its reduced word, the deletions of it and the
+    replacements by a greater symbol.  A key is the hash of a reduced word, so
+    a collision makes one candidate more."""
+    reduced, edge, value, sums, own, same = _reduced_keys(words, symbols)
     power, inverse = powers(len(sums), 0)
-    base, back = np.uint64(BASES[0]), inverse[1]
     length = np.diff(edge)
-    own = span_hash(sums, edge[:-1], edge[1:])
     who = np.repeat(np.arange(len(words)), length)
     at = np.arange(edge[-1])
-    start = edge[who]
+    start, end = edge[who], edge[who + 1]
     head = (sums[at] - sums[start]) * inverse[start]
-    # The rest from the place on, and from the place after it, both as if in place.
-    rest = (sums[edge[who + 1]] - sums[at]) * inverse[start]
-    after = (sums[edge[who + 1]] - sums[at + 1]) * inverse[start]
-    here = power[at - start]
-    owners, keys = [np.arange(len(words)), who], [own, head + after * back]
-    sizes = [length, length[who] - 1]
-    for v in value:
-        owners += [who, np.arange(len(words)), who]
-        keys += [head + v * here + rest * base, own + v * power[length], head + v * here + after]
-        sizes += [length[who] + 1, length + 1, length[who]]
-    owner = np.concatenate(owners)
-    key = scramble(np.concatenate(keys) + np.concatenate(sizes).astype(np.uint64), 73)
+    # What comes after the place, as it stands in the word.
+    rest = (sums[end] - sums[at + 1]) * inverse[start]
+    owners, keys = [np.arange(len(words)), who], [same, scramble(head + rest * inverse[1] + (length[who] - 1).astype(np.uint64), 73)]
+    for k in range(1, symbols):
+        less = np.flatnonzero(reduced < k)
+        owners.append(who[less])
+        keys.append(scramble(head[less] + value[k] * power[at[less] - start[less]] + rest[less] + length[who[less]].astype(np.uint64), 73))
+    owner, key = np.concatenate(owners), np.concatenate(keys)
     order = np.lexsort((key, owner))
     owner, key = owner[order], key[order]
-    fresh = np.concatenate(([True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1]))) if len(owner) else np.zeros(0, bool)
-    return scramble(own + length.astype(np.uint64), 73), owner[fresh], key[fresh]
+    fresh = np.ones(len(owner), bool)
+    fresh[1:] = (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+    return owner[fresh], key[fresh]
 
 
 def _keyed(symbols: int, around: bool):
     """From batches (node, word): (key, node), the reduced word of each or,
-    with ``around``, all of its neighbourhood."""
+    with ``around``, its part of the neighbourhoods."""
     def work(batches):
         import pyarrow as pa
 
@@ -170,12 +177,9 @@ def _keyed(symbols: int, around: bool):
             while lo < len(words):
                 hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHUNK_LETTERS, "right")))
                 if around:
-                    _, owner, key = neighbourhoods(words[lo:hi], symbols)
+                    owner, key = neighbourhoods(words[lo:hi], symbols)
                 else:
-                    reduced, edge = _symbols(words[lo:hi], symbols)
-                    sums = prefix_sums(scramble(np.arange(1, symbols + 1, dtype=np.uint64), 72)[reduced])
-                    key = scramble(span_hash(sums, edge[:-1], edge[1:]) + np.diff(edge).astype(np.uint64), 73)
-                    owner = np.arange(hi - lo)
+                    owner, key = np.arange(hi - lo), _reduced_keys(words[lo:hi], symbols)[-1]
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(nodes[lo:hi][owner])], ["key", "node"])
                 lo = hi
 
@@ -183,14 +187,15 @@ def _keyed(symbols: int, around: bool):
 
 
 def near_words(words: DataFrame, symbols: int) -> DataFrame:
-    """``(a, b)``, both ways: the nodes of a written frame (node, word, n)
+    """``(a, b)``, each pair once: the nodes of a written frame (node, word, n)
     whose words differ by one insertion, deletion or replacement."""
     listed = words.select("node", "word")
     around = listed.mapInArrow(_keyed(symbols, True), "key long, a long")
     reduced = listed.mapInArrow(_keyed(symbols, False), "key long, b long")
-    pairs = around.join(reduced, "key").where("a != b").select("a", "b")
-    one, two = (words.select(F.col("node").alias(x), F.col("word").alias(f"word_{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").where(F.levenshtein("word_a", "word_b", 1) == 1).select("a", "b")
+    pairs = around.join(reduced, "key").where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    one, two = (listed.select(F.col("node").alias(x), F.col("word").alias(f"word_{x}")) for x in "ab")
+    return (pairs.join(one, "a").join(two, "b").where(F.levenshtein("word_a", "word_b", 1) == 1).select("a", "b")
+            .distinct())  # words with the same reduced word list each other
 
 
 def spelling_variants(df: DataFrame, least: int = 5, times: int = 3, every: int = 97, factor: int = 2, symbols: int | None = None,
@@ -208,8 +213,8 @@ def spelling_variants(df: DataFrame, least: int = 5, times: int = 3, every: int
     has none.
 
     ``symbols``: how many symbols letters are hashed to.  By default the least
-    number, 4 or more, whose fifth power is the size of the vocabulary, so
-    that a reduced word of five letters stands for few words at any size.
+    number, 4 or more, whose fifth power is a tenth of the vocabulary, so that
+    a reduced word of five letters stands for few words at any size.
 
     A null text has no words.  A null id is written as an empty one.  A row
     that repeats another counts again.  Other columns are ignored.  An empty
@@ -223,10 +228,11 @@ def spelling_variants(df: DataFrame, least: int = 5, times: int = 3, every: int
     size, most = words.agg(F.count("*"), F.max("n")).first()
     if symbols is None:
         symbols = 4
-        while symbols**5 < size:
+        while 10 * symbols**5 < size:
             symbols += 1
     pairs = written(near_words(words, symbols), "near")
-    near = (pairs.join(words.select(F.col("node").alias("b"), F.col("word").alias("near_word"), F.col("n").alias("near_n")), "b")
+    both = pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select("p.a", "p.b")
+    near = (both.join(words.select(F.col("node").alias("b"), F.col("word").alias("near_word"), F.col("n").alias("near_n")), "b")
             .groupBy("a").agg(F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("less"), "near_word", F.col("b").alias("to"))).alias("best")))
     formed = words.join(near.withColumnRenamed("a", "node"), "node", "left").withColumn("near_n", -F.col("best.less"))
     has = F.col("near_n") >= factor * F.col("n")
