@@ -157,7 +157,7 @@ def _ranges(docs: DataFrame, most: int) -> tuple[DataFrame, int]:
     from pyspark.ml.feature import Bucketizer
 
     n = min(partitions(docs), most)
-    points = docs.select(F.percentile_approx("id", [k / n for k in range(1, n)] or [0.5], 8 * n)).first()[0] or []
+    points = docs.select(F.percentile_approx("id", [k / n for k in range(1, n)] or [0.5], 8 * n)).first()[0] or [0]
     cuts = [float("-inf"), *sorted({float(p) for p in points}), float("inf")]
     # As doubles ids keep their order, so a range may join neighbours but never parts equal ids.
     place = Bucketizer(splits=cuts, inputCol="__id", outputCol="__place", handleInvalid="keep")
