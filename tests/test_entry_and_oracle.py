@@ -4,6 +4,8 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF001
 
+TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
+          "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 # Every query that has oracle SQL, on the smallest tables.
 SMALL = sorted(E.oracle_sql())
 
@@ -28,7 +30,7 @@ def _norm(v):
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
-    for t in ("lineitem", "events"):
+    for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF001}/{t}.parquet')")
     return con
 
