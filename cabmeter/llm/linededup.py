@@ -22,9 +22,13 @@ from cabmeter.llm.tables import drop_written, partitions, written
 from cabmeter.llm.textops import longs, prefix_sums, scramble, span_hash
 
 SHINGLE = 8
-BANDS, ROWS = 16, 5
+BANDS, ROWS = 20, 5
 BLOCK_CHARS = 8 << 20
 BLOCK = 256
+#: Bits of the bit maps that lines are compared by before their shingles are.
+LEAST_BITS, MOST_BITS = 1 << 9, 1 << 17
+#: Shingle hashes of a block's lines that are held at once.
+SET_HASHES = 1 << 22
 LINES = "id long, fingerprint long, line int, name long, keys array<long>, body string"
 
 
@@ -37,9 +41,13 @@ def char_shingles(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray,
     """Hashes of the character runs of ``size`` of lines that are not empty
     (a shorter line is one run), the line of each, and a name for each line."""
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
+    common = scramble(np.arange(1 << 12, dtype=np.uint64), 51)
+    values = common[np.minimum(points, len(common) - 1)]
+    rare = np.flatnonzero(points >= len(common))
+    values[rare] = scramble(points[rare].astype(np.uint64), 51)
     length = np.array([len(line) for line in lines])
     edge = np.concatenate(([0], np.cumsum(length)))
-    sums = prefix_sums(scramble(points.astype(np.uint64), 51))
+    sums = prefix_sums(values)
     runs = np.maximum(length - size + 1, 1)
     total = np.concatenate(([0], np.cumsum(runs)))
     at = np.arange(total[-1]) + np.repeat(edge[:-1] - total[:-1], runs)
@@ -53,8 +61,9 @@ def minhash(shingles: np.ndarray, owner: np.ndarray, sets: int, bins: int) -> np
     least hash in each bin; an empty bin takes another's by a fixed order."""
     none = np.iinfo(np.uint64).max
     least = np.full(sets * bins, none, np.uint64)
-    place = ((shingles >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-    np.minimum.at(least, owner * bins + place, scramble(shingles, 54))
+    high = shingles >> np.uint64(32)
+    place = (high * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    np.minimum.at(least, owner * bins + place, shingles << np.uint64(32) | high)
     least = least.reshape(sets, bins)
     full = least != none
     filled = least.copy()
@@ -99,7 +108,9 @@ def _key_blocks(size: int, bands: int, rows: int):
                     counts.append(len(own) * bands)
                     held += len(texts[hi] or "")
                     hi += 1
-                yield names[lo:hi], np.array(counts), _band_keys(lines, size, bands, rows)[1].ravel(), None
+                place = {line: k for k, line in enumerate(dict.fromkeys(lines))}
+                keys = _band_keys(list(place), size, bands, rows)[1][[place[line] for line in lines]] if lines else np.zeros(0, np.uint64)
+                yield names[lo:hi], np.array(counts), keys.ravel(), None
                 lo = hi
 
     return blocks
@@ -142,13 +153,99 @@ def _shared_lines(size: int, bands: int, rows: int):
     return work
 
 
-def line_set(line: str, size: int) -> set[str]:
-    return {line[i: i + size] for i in range(max(len(line) - size + 1, 1))}
+def bit_maps(lines: list[str], size: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each line a bit map of its shingles (uint64; a power of two of bits,
+    four or more for each shingle up to MOST_BITS) and how many shingles it
+    has, repeats counted.
+
+    Each bit that two maps differ in stands for at least one shingle that only
+    one of the lines has, so lines whose maps differ in more bits than their
+    sizes allow at the threshold are not similar (``near_maps``)."""
+    maps, sizes, lo = [], np.zeros(len(lines), np.int64), 0
+    ends = np.cumsum([len(line) for line in lines])
+    while lo < len(lines):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 18), "right")))
+        shingles, owner, _ = char_shingles(lines[lo:hi], size)
+        n = np.bincount(owner, minlength=hi - lo)
+        bits = np.array([min(max(1 << (4 * int(k) - 1).bit_length(), LEAST_BITS), MOST_BITS) for k in n])
+        edge = np.concatenate(([0], np.cumsum(bits)))
+        flat = np.zeros(edge[-1], bool)
+        flat[edge[owner] + (shingles & (bits[owner] - 1).astype(np.uint64)).astype(np.int64)] = True
+        packed = np.packbits(flat).view(np.uint64)
+        maps += [packed[x: y] for x, y in zip(edge[:-1] // 64, edge[1:] // 64)]
+        sizes[lo:hi] = n
+        lo = hi
+    return maps, sizes
 
 
-def alike(one: set, two: set, percent: int) -> bool:
-    both = len(one & two)
-    return 100 * both >= percent * (len(one) + len(two) - both)
+def folded(maps: np.ndarray, words: int) -> np.ndarray:
+    """Maps (rows x words) as they would be with fewer bits."""
+    return maps if maps.shape[1] == words else np.bitwise_or.reduce(maps.reshape(len(maps), -1, words), axis=1)
+
+
+def near_maps(one: np.ndarray, two: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether lines with these maps (rows x words, or one row) and so many
+    shingles together can be similar: 100 (T - D) >= percent (T + D) holds for
+    T shingles of which D are in one line only."""
+    words = min(one.shape[1], two.shape[1])
+    differing = np.bitwise_count(folded(one, words) ^ folded(two, words)).sum(axis=1, dtype=np.int64)
+    return differing * (100 + percent) <= sizes * (100 - percent)
+
+
+def _mapped(size: int):
+    """From batches (name, body): (name, n, map)."""
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            maps, sizes = bit_maps(batch.column(1).to_pylist(), size)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes), pa.array([m.tobytes() for m in maps], pa.binary())], ["name", "n", "map"])
+
+    return work
+
+
+def _map(body: bytes) -> np.ndarray:
+    return np.frombuffer(body, np.uint64)
+
+
+def _near(percent: int):
+    """Of batches (a, b, sizes, map_a, map_b): the pairs that can be similar."""
+    def work(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            rows = zip(np.asarray(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist())
+            keep = [bool(near_maps(_map(x)[None], _map(y)[None], total, percent)[0]) for total, x, y in rows]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return work
+
+
+def shingle_sets(lines: list[str], size: int) -> list[np.ndarray]:
+    """The sorted distinct shingle hashes of each line."""
+    shingles, owner, _ = char_shingles(lines, size)
+    edge = np.searchsorted(owner, np.arange(len(lines) + 1))
+    ranked = [np.sort(shingles[x:y]) for x, y in zip(edge[:-1], edge[1:])]
+    return [r[np.concatenate(([True], r[1:] != r[:-1]))] for r in ranked]
+
+
+def alike(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    few, many = (one, two) if len(one) < len(two) else (two, one)
+    both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+    return 100 * both >= percent * (len(few) + len(many) - both)
+
+
+def similar(one: list[str], two: list[str], size: int, percent: int) -> list[bool]:
+    """Whether the lines at the same place have similar sets of shingles."""
+    out, lo = [], 0
+    ends = np.cumsum([len(x) + len(y) for x, y in zip(one, two)])
+    while lo < len(one):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + (1 << 20), "right")))
+        unique = list(dict.fromkeys(one[lo:hi] + two[lo:hi]))
+        sets = dict(zip(unique, shingle_sets(unique, size)))
+        out += [alike(sets[x], sets[y], percent) for x, y in zip(one[lo:hi], two[lo:hi])]
+        lo = hi
+    return out
 
 
 def _confirm(size: int, percent: int):
@@ -157,27 +254,98 @@ def _confirm(size: int, percent: int):
         import pyarrow as pa
 
         for batch in batches:
-            one, two = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            keep = [alike(line_set(x, size), line_set(y, size), percent) for x, y in zip(one, two)]
+            keep = similar(batch.column(2).to_pylist(), batch.column(3).to_pylist(), size, percent)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return work
 
 
+def near_pairs(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of lines that can be similar by their maps."""
+    one, two = (maps.select(F.col("name").alias(x), F.col("n").alias(f"n_{x}"), F.col("map").alias(f"map_{x}")) for x in "ab")
+    return (pairs.join(one, "a").join(two, "b").select("a", "b", (F.col("n_a") + F.col("n_b")).alias("sizes"), "map_a", "map_b")
+            .mapInArrow(_near(percent), "a long, b long"))
+
+
+def confirmed(pairs: DataFrame, bodies: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose whole lines are similar."""
+    return (pairs.join(bodies.select(F.col("name").alias("a"), F.col("body").alias("one")), "a")
+            .join(bodies.select(F.col("name").alias("b"), F.col("body").alias("two")), "b")
+            .select("a", "b", "one", "two").mapInArrow(_confirm(size, percent), "a long, b long"))
+
+
+def _cross_block(comp, side, bodies: list[str], size: int, percent: int) -> list[tuple[int, int]]:
+    """Links between the components of one bucket's two blocks, as rows: as
+    many as it takes to join what is similar, so fewer than there are
+    components.  Pairs that maps allow are looked at until they are joined."""
+    maps, n = bit_maps(bodies, size)
+    comp, words = comp.copy(), np.array([len(m) for m in maps])
+    widths = [(w, np.flatnonzero(words == w)) for w in np.unique(words)]
+    stacks = [np.stack([maps[r] for r in rows]) for _, rows in widths]
+    sets: dict[int, np.ndarray] = {}
+    held, links = 0, []
+
+    def set_of(row):
+        nonlocal held
+        if row not in sets:
+            if held > SET_HASHES:
+                sets.clear()
+                held = 0
+            sets[row] = shingle_sets([bodies[row]], size)[0]
+            held += len(sets[row])
+        return sets[row]
+
+    for k, (w, rows) in enumerate(widths):
+        for (w2, rows2), stack in zip(widths[k:], stacks[k:]):
+            wide = folded(stack, w)
+            for at, x in enumerate(rows):
+                y = (comp[rows2] != comp[x]) & (side[rows2] != side[x])
+                if w == w2:
+                    y &= rows2 > x
+                y = np.flatnonzero(y)
+                other = rows2[y[near_maps(wide[y], stacks[k][at: at + 1], n[rows2[y]] + n[x], percent)]] if len(y) else y
+                while len(other):
+                    first, other = int(other[0]), other[1:]
+                    if alike(set_of(int(x)), set_of(first), percent):
+                        links.append((int(x), first))
+                        comp[comp == comp[first]] = comp[x]
+                        other = other[comp[other] != comp[x]]
+    return links
+
+
 def _cross(size: int, percent: int):
-    """Similar lines of one bucket's two blocks (key, i, j, side, name, comp,
-    body) that are in different components."""
-    def work(table):
+    """From batches (key, i, j, side, name, comp, body), sorted by the first
+    three: the links of each block pair.  A block paired with itself has a side
+    of its own for each row."""
+    def work(batches):
         import pyarrow as pa
 
-        names, comp, side = (np.asarray(table[c]) for c in ("name", "comp", "side"))
-        sets = [line_set(b, size) for b in table["body"].to_pylist()]
-        same = table["i"][0].as_py() == table["j"][0].as_py()
-        left = range(len(names)) if same else np.flatnonzero(side == 0).tolist()
-        right = range(len(names)) if same else np.flatnonzero(side == 1).tolist()
-        out = [(names[x], names[y]) for x in left for y in right if (x < y or not same) and comp[x] != comp[y]
-               and 100 * min(len(sets[x]), len(sets[y])) >= percent * max(len(sets[x]), len(sets[y])) and alike(sets[x], sets[y], percent)]
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
+        def found(table):
+            key, i, j, sides, name, comp = (np.asarray(table[c]) for c in ("key", "i", "j", "side", "name", "comp"))
+            bodies = table["body"].to_pylist()
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            a, b = [], []
+            for lo, hi in zip([0, *cuts], [*cuts, len(key)]):
+                side = sides[lo:hi] if i[lo] != j[lo] else np.arange(hi - lo)
+                for x, y in _cross_block(comp[lo:hi], side, bodies[lo:hi], size, percent):
+                    a.append(name[lo + x])
+                    b.append(name[lo + y])
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+        held = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            held = pa.concat_tables([held, table]) if held is not None else table
+            if not held.num_rows:
+                continue
+            last = [np.asarray(held[c]) for c in ("key", "i", "j")]
+            open_ = np.logical_and.reduce([c == c[-1] for c in last])
+            start = int(np.flatnonzero(~open_)[-1]) + 1 if not open_.all() else 0
+            if start:
+                yield found(held.slice(0, start))
+                held = held.slice(start)
+        if held is not None and held.num_rows:
+            yield found(held)
 
     return work
 
@@ -198,9 +366,8 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     pairs = (shared.select("key", "name").join(pivots, "key").select("name", F.explode(F.array("p1", "p2")).alias("p")).where("name != p")
              .select(F.least("name", "p").alias("a"), F.greatest("name", "p").alias("b")).distinct())
     bodies = written(lines.where("body is not null").select("name", "body").join(shared.select("name").distinct(), "name").dropDuplicates(["name"]), "bodies")
-    links = written(pairs.join(bodies.select(F.col("name").alias("a"), F.col("body").alias("one")), "a")
-                    .join(bodies.select(F.col("name").alias("b"), F.col("body").alias("two")), "b")
-                    .select("a", "b", "one", "two").mapInArrow(_confirm(size, percent), "a long, b long"), "links")
+    maps = written(bodies.mapInArrow(_mapped(size), "name long, n long, map binary"), "maps")
+    links = written(confirmed(near_pairs(pairs, maps, percent), bodies, size, percent), "links")
     roots = components(links)
 
     label = shared.join(roots.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "size", F.coalesce("root", "name").alias("comp"))
@@ -208,11 +375,12 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     open_ = written(label.where("size > 2").join(split, "key"), "open")
     if not open_.isEmpty():
         blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-        rest = (open_.join(bodies, "name")
-                .withColumn("own", F.pmod(F.xxhash64("name"), blocks).cast("int"))
-                .select("key", "name", "comp", "body", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-                .select("key", "name", "comp", "body", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side")))
-        more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross(size, percent), "a long, b long").distinct(), "links")
+        own = F.pmod(F.xxhash64("name"), blocks).cast("int")
+        rest = (open_.select("key", "name", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
+                .select("key", "name", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side"))
+                .join(bodies, "name"))
+        dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+        more = written(dealt.select("key", "i", "j", "side", "name", "comp", "body").mapInArrow(_cross(size, percent), "a long, b long").distinct(), "links")
         if not more.isEmpty():
             # The components so far are stars, so only the new links need rounds.
             roots = components(roots.toDF("a", "b").unionByName(more))
@@ -224,7 +392,7 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     stays = member.join(best, "root").select("name", "keep")
     gone = written(lines.select(*key, "line", "name").join(stays, "name").where("struct(id, line) != keep")
                    .groupBy(*key).agg(F.collect_set("line").alias("gone")), "gone")
-    drop_written(lines, shared, bodies, links, open_)
+    drop_written(lines, shared, bodies, maps, links, open_)
     return gone
 
 
@@ -243,12 +411,13 @@ def line_dedup(df: DataFrame, percent: int = 80, size: int = SHINGLE, bands: int
     named ``out`` is replaced; all others stay.  An empty table gives an empty
     result.
 
-    Two lines at exactly 0.8 share none of the 16 bands of 5 rows with a
-    probability of 0.002; above it, with less.
+    Two lines at exactly 0.8 share none of the 20 bands of 5 rows with a
+    probability of 0.0004; above it, with less.
     """
     docs = named_texts(df, id_col, text_col)
     gone = repeated_lines(docs, size, percent, bands, rows)
-    fingerprint = F.xxhash64(F.col(text_col).cast("string"))
+    text = F.col(text_col).cast("string")
+    fingerprint = F.xxhash64(text)
     found = gone.select(F.col("id").alias("__id"), F.col("fingerprint").alias("__fingerprint"), F.col("gone").alias("__gone"))
     held = df.withColumn("__print", fingerprint).withColumn("__key", F.col(id_col).cast("long"))
     held = held.join(found, (F.col("__key") == F.col("__id")) & (F.col("__print") == F.col("__fingerprint")), "left")
@@ -266,5 +435,5 @@ def line_dedup(df: DataFrame, percent: int = 80, size: int = SHINGLE, bands: int
         return pa.array([cut(t.as_py(), g.as_py()) for t, g in zip(texts, gone)], pa.string())
 
     return (held.withColumn(out, F.coalesce(F.size("__gone"), F.lit(0)))
-            .withColumn(text_col, without(F.col(text_col).cast("string"), F.col("__gone")))
+            .withColumn(text_col, F.when(F.col("__gone").isNull(), text).otherwise(without(F.when(F.col("__gone").isNotNull(), text), F.col("__gone"))))
             .drop("__print", "__key", "__id", "__fingerprint", "__gone"))
