@@ -33,14 +33,15 @@ PRINTS = "id long, n_chars long, edited_sha256 string, fingerprint string, edite
 
 def lz_phrases(data: bytes, trie: dict[int, int], cuts: list[int], node: int, at: int) -> int:
     """Parse ``data`` further: new phrases go into ``trie``, their ends (counted
-    from ``at``) into ``cuts``.  Returns the node reached in an open phrase."""
-    known, add = trie.get, cuts.append
-    for c in data:
-        at += 1
-        step = node << 8 | c
+    from ``at``) into ``cuts``.  Returns the node reached in an open phrase.
+    Nodes are multiples of 256, so that node and byte make a key."""
+    known, add, fresh = trie.get, cuts.append, len(trie) << 8
+    for at, c in enumerate(data, at + 1):
+        step = node | c
         node = known(step, 0)
         if not node:
-            trie[step] = len(trie) + 1
+            fresh += 256
+            trie[step] = fresh
             add(at)
     return node
 
@@ -51,9 +52,9 @@ def phrase_ends(text: bytes, half: int, tail: bytes) -> tuple[list[int], list[in
     trie: dict[int, int] = {}
     cuts: list[int] = []
     node = lz_phrases(text[:half], trie, cuts, 0, 0)
-    mark, common = len(trie), list(cuts)
+    common = list(cuts)
     lz_phrases(text[half:], trie, cuts, node, half)
-    for _ in range(len(trie) - mark):
+    for _ in range(len(cuts) - len(common)):
         trie.popitem()
     lz_phrases(tail, trie, common, node, half)
     return cuts, common
@@ -65,14 +66,15 @@ def signatures(texts: list[bytes], ends: list[list[int]], keep: int) -> list[np.
     offset = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
     counts = np.array([len(e) for e in ends])
     owner = np.repeat(np.arange(len(texts)), counts)
-    stop = np.array([e for own in ends for e in own], np.int64)
+    stop = np.concatenate([np.array(e, np.int64) for e in ends])
     first = np.ones(len(stop), bool)
     first[1:] = owner[1:] != owner[:-1]
     start = np.concatenate(([0], stop[:-1]))[: len(stop)]
     start[first] = 0
     sums = prefix_sums(byte_values(1)[data], 1)
     hashes = scramble(span_hash(sums, start + offset[owner], stop + offset[owner], 1) + (stop - start).astype(np.uint64), 81) >> np.uint64(32)
-    both = np.unique(owner.astype(np.uint64) << np.uint64(32) | hashes)
+    both = np.sort(owner.astype(np.uint64) << np.uint64(32) | hashes)
+    both = both[np.concatenate(([True], both[1:] != both[:-1]))] if len(both) else both
     edge = np.searchsorted(both, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
     low = (both & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     return [low[a: min(b, a + keep)] for a, b in zip(edge[:-1], edge[1:])]
