@@ -305,13 +305,15 @@ def score_toxicity(df: DataFrame, model: Model, text_col: str = "text", lang_col
     texts without words.  Columns with the names of the new ones are
     replaced; all others stay.  An empty table gives an empty result.
     """
-    shared = df.sparkSession.sparkContext.broadcast(model)
+    # Plain arrays and numbers: executors need not be able to import this package to read them.
+    shared = df.sparkSession.sparkContext.broadcast(vars(model))
 
     @F.arrow_udf("double")
     def score(texts):
         import pyarrow as pa
 
-        return pa.array(probability(shared.value, raw_scores(shared.value, texts)))
+        model = Model(**shared.value)
+        return pa.array(probability(model, raw_scores(model, texts)))
 
     limits = F.create_map(*(x for k, v in sorted(model.thresholds.items()) for x in (F.lit(k), F.lit(v)))) if model.thresholds else None
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in df.columns else F.lit("")
