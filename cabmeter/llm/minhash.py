@@ -176,11 +176,15 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
     per input row: component is the smallest id reachable, kept marks it.  A
     null or blank text has an empty set and is linked with nothing.  A row
     with a null id is linked with nothing, has a null component and is kept.
-    Rows that repeat an id are one document.  Further columns are ignored.
+    Rows that repeat an id are one document, linked with whatever any of them
+    is linked with.  Further columns are ignored.
     An empty table gives an empty result.
 
     A pair at exactly the threshold shares none of the 40 bands of 6 rows
-    with a probability of 5e-6; above it, with less.
+    with a probability of 5e-6; above it, with less.  In buckets that are not
+    one component after a comparison with their best-connected members, pairs
+    whose signatures agree in 5.5 standard deviations less than the threshold
+    asks for are not compared: 2e-8 of the pairs at the threshold.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     signed = written(docs.mapInArrow(_signatures(shingle, bands, rows), SIGNATURES), "signatures")
@@ -199,7 +203,14 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
     pairs = written(pairs, "pairs")
     wanted = shared.select("id").distinct()
     sets = written(docs.join(wanted, "id").mapInArrow(_sets(shingle), "id long, members array<long>"), "sets")
-    links = written(_confirmed(pairs, sets, percent), "links")
+    # Sets that share an id are one document's.
+    several = signed.where("n > 0 and id is not null").groupBy("id").agg(F.min(F.struct(*same)).alias("one"), F.max(F.struct(*same)).alias("two")).where("one != two")
+    several = written(several.select("id"), "several")
+    found = _confirmed(pairs, sets, percent)
+    if not several.isEmpty():
+        held = signed.join(several, "id").join(classes, same).select("id", "rep")
+        found = found.unionByName(held.join(held.groupBy("id").agg(F.min("rep").alias("a")), "id").select("a", F.col("rep").alias("b")))
+    links = written(found, "links")
     roots = written(components(links), "roots")
 
     label = shared.join(roots.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "size", F.coalesce("root", "id").alias("comp"))
@@ -209,18 +220,18 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
         blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
         own = F.pmod(F.xxhash64("id"), blocks).cast("int")
         asked = open_.select("id").distinct()
-        whole = (signed.select("id", "n", "sketch", "bands").join(asked, "id", "left_semi").dropDuplicates(["id"])
+        whole = (signed.select("id", "n", "sketch", "bands").join(asked, "id", "left_semi").dropDuplicates(["id", "bands"])
                  .join(sets.select("id", F.array_sort("members").alias("members")), "id").where(F.col("n") == F.size("members")))
         rest = (open_.select("key", "id", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
                 .select("key", "id", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side"))
-                .join(whole, "id"))
+                .join(whole, "id").where(F.array_contains("bands", F.col("key"))))
         more = written(rest.groupBy("key", "i", "j").applyInArrow(_cross_links(bands * rows, percent), "a long, b long").distinct(), "links")
         if not more.isEmpty():
             # The components so far are stars, so only the new links need rounds.
             old, roots = roots, written(components(roots.toDF("a", "b").unionByName(more)), "roots")
             drop_written(old)
         drop_written(more)
-    drop_written(shared, pairs, sets, links, open_)
+    drop_written(shared, pairs, sets, links, open_, several)
     place = (classes.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
              .select(*same, F.coalesce("root", "rep").alias("component")))
     return (signed.select("id", *same).join(place, same, "left")

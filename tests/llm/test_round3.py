@@ -249,3 +249,47 @@ def test_prints_of_few(spark):
     # Rows that repeat an id, or everything, each get a row.
     again = neighbour_prints(_docs(spark, [(5, "abc", None, None), (5, "abc", None, None), (5, "xyz", None, None), (None, "abc", None, None)])).collect()
     assert sorted((r.id or 0, r.n_chars) for r in again) == [(0, 3), (5, 3), (5, 3), (5, 3)]
+
+
+# Repeated ids, deployment ---------------------------------------------------
+
+def test_minhash_of_ids_with_two_texts(spark):
+    """Texts that share an id are one document, and link what each is like."""
+    from cabmeter.llm.minhash import minhash_components
+
+    rng = random.Random(6)
+    a, b, c = (" ".join(f"w{rng.randrange(999)}" for _ in range(60)) for _ in range(3))
+    rows = [(0, a, None, None), (1, a, None, None), (1, b, None, None), (2, b, None, None), (3, c, None, None), (3, c + " more", None, None), (4, "one", None, None)]
+    got = minhash_components(_docs(spark, rows), shingle=2).collect()
+    assert {(r.id, r.component) for r in got} == {(0, 0), (1, 0), (2, 0), (3, 3), (4, 4)}
+    assert len(got) == len(rows)
+
+
+DEPLOYED = """
+import sys
+sys.path.insert(0, {repo!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[4]").config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", {folder!r}).getOrCreate())
+spark.sparkContext.setLogLevel("ERROR")
+import __spark_entry__ as entry
+for name, query in entry.queries().items():
+    if name.startswith("op"):
+        print("RAN", name, query(spark, {tables!r}).count(), flush=True)
+"""
+
+
+def test_all_operators_run_where_executors_lack_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+
+    import __spark_entry__ as entry
+    from conftest import SF001
+
+    repo = os.path.dirname(os.path.abspath(entry.__file__))
+    script = DEPLOYED.format(repo=repo, folder=str(tmp_path / "shared"), tables=SF001)
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    names = {line.split()[1] for line in done.stdout.splitlines() if line.startswith("RAN")}
+    assert names == {n for n in entry.queries() if n.startswith("op")}, done.stderr[-3000:]
