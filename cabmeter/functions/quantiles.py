@@ -1,28 +1,26 @@
 """Exact, linearly interpolated quantiles (``PERCENTILE_CONT``) that never
 hold a whole group in one task.
 
-``method="exact"`` (default), JVM only:
-
-1. One ``percentile_approx`` job over all rows gives global equi-depth
-   bucket bounds (a bounded sketch; only ``buckets`` numbers reach the
-   driver).
-2. ``groupBy(by, value).count()`` collapses repeated values on the map
-   side, so a hot value costs one row; ``Bucketizer`` (binary search)
-   labels each distinct value with its bucket.
-3. A window over (group, bucket) ordered by value gives running counts.
-   Each bucket holds about 1/buckets of all rows, so no window partition is
-   larger than that, however skewed the groups are.
-4. Per-(group, bucket) totals (at most groups x buckets rows) give each
-   bucket's offset inside its group by a second small window.
-5. The rows holding ranks ``floor((n-1)p)`` and ``ceil((n-1)p)`` are picked
-   with ``max(when(...))``, a partial aggregate with no row collection.
-
-Bucket ids are a pure function of the value, so recomputing after a lost
-executor gives the same answer without a lineage cut.
-
-``method="exact_ranked"``: range partitioning with a running count per
-partition (``mapInPandas``), cut by a written Parquet table in the shared
-checkpoint folder. Same results; kept as a cross-check.
+``method="exact"`` (default) selects by buckets, in the JVM only:
+
+1. Every value has a bucket that is a monotone function of it (steps of its
+   logarithm), so nothing has to be sketched first.  One scan gives rows, least
+   and greatest value for each (group, bucket), with any plain aggregates the
+   report needs besides: at most groups x buckets rows, written once.
+2. Running counts over that small table give the buckets that hold the ranks
+   ``floor((n-1)p)`` and ``ceil((n-1)p)`` of each group.
+3. If such a bucket has more rows than a task should rank, the buckets wanted
+   are cut into equal steps of their own range and counted again, over their
+   rows only, until none is too large or holds more than one value.
+4. Only rows of the wanted (group, bucket) pairs are ranked: a join with the
+   pairs drops all others before the shuffle, repeated values collapse on the
+   map side, and a window over the pair gives running counts.
+
+Groups may overlap (``groups``): rows are counted by disjoint *atoms* only,
+and the counts of atoms are added up into the groups they belong to.
+
+Buckets depend on values alone, so a recomputation after a lost executor
+gives the same answer.
 
 ``method="approx"`` uses ``percentile_approx`` (bounded sketch per group).
 """
@@ -31,134 +29,93 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..session import write_through
 
-
-def _partition_positions(batches):
-    from pyspark import TaskContext
-
-    pid = TaskContext.get().partitionId()
-    running = 0
-    for pdf in batches:
-        counts = pdf["_c"].to_numpy(dtype=np.int64)
-        cum = np.cumsum(counts)
-        pdf["_pos"] = running + cum - counts
-        pdf["_pid"] = np.int32(pid)
-        if len(counts):
-            running += int(cum[-1])
-        yield pdf
+#: Buckets for each doubling of a value, pieces that a bucket is cut into, how
+#: often (all steps of a double are then told apart), and the rows of one
+#: (group, bucket) that a task may rank without a further cut.
+STEPS, PIECES, CUTS = 64, 1024, 4
+RANKED_ROWS = 1 << 20
 
 
 def quantiles(df: DataFrame, value: str | Column, probs: Sequence[float],
               names: Sequence[str] | None = None, by: Sequence[str] = (),
-              method: str = "exact", accuracy: int = 100000,
-              partitions: int | None = None, fan_in: int = 1024,
-              extra: Sequence[tuple[str, str, str | None]] = ()) -> DataFrame:
+              method: str = "exact", accuracy: int = 100000, steps: int | None = None,
+              extra: Sequence[tuple[str, str, str | None]] = (),
+              groups: DataFrame | None = None, ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     ``extra`` adds plain per-group aggregates ``(name, kind, column)`` with
-    kind ``count`` (column ``None`` counts rows), ``avg``, ``min`` or
-    ``max``, over all rows of the group (NULL values of ``value``
-    included).  The exact method computes them in its per-bucket totals
-    pass and rolls them up, so a report needs no separate scan for them.
+    kind ``count`` (column ``None`` counts rows), ``sum``, ``avg``, ``min`` or
+    ``max``, over all rows of the group (NULL values of ``value`` included).
+    The exact method computes them in its first scan.
+
+    ``groups`` makes groups of atoms: a small frame with the columns ``by``
+    and further ones, which become the keys of the result.  An atom may be in
+    several groups or none.
     """
     by = list(by)
     names = list(names) if names else [f"q{int(round(p * 1000)):04d}" for p in probs]
     v = F.col(value) if isinstance(value, str) else value
     extra = list(extra)
-    if extra and method == "exact":
-        cols = list(dict.fromkeys(c for _, _, c in extra if c))
-        allrows = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v"),
-                            *[F.col(c).alias(f"_x{i}") for i, c in enumerate(cols)])
-        return _exact_bucketed(df.sparkSession, allrows, probs, names, by, partitions, fan_in,
-                               [(n, k, f"_x{cols.index(c)}" if c else None) for n, k, c in extra])
-    if extra:
-        base = df.groupBy(*by).agg(*[_plain(n, k, c) for n, k, c in extra])
-        q = quantiles(df, value, probs, names, by, method, accuracy, partitions, fan_in)
-        return attach(base, q, by).select(*by, *names, *[n for n, _, _ in extra])
-    data = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v")) \
-             .where(F.col("_v").isNotNull())
-
-    if method == "approx":
-        arr = F.percentile_approx("_v", list(probs), accuracy)
-        out = data.groupBy(*by).agg(arr.alias("_q"))
-        return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+    cols = list(dict.fromkeys(c for _, _, c in extra if c))
+    data = df.select(*[F.col(b) for b in by], v.cast("double").alias("_v"),
+                     *[F.col(c).alias(f"_x{i}") for i, c in enumerate(cols)])
+    extra = [(n, k, f"_x{cols.index(c)}" if c else None) for n, k, c in extra]
     if method == "exact":
-        return _exact_bucketed(df.sparkSession, data, probs, names, by, partitions, fan_in)
-    if method != "exact_ranked":
+        return _exact(data, probs, names, by, extra, groups, steps or STEPS, ranked_rows)
+    if method != "approx":
         raise ValueError(f"unknown quantile method {method!r}")
-
-    counted = data.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-    # Without an explicit count AQE may merge adjacent ranges; a merged
-    # partition still covers one contiguous, ordered value range.
-    ranged = (counted.repartitionByRange(partitions, *by, "_v") if partitions
-              else counted.repartitionByRange(*by, "_v")).sortWithinPartitions(*by, "_v")
-    out_schema = T.StructType(
-        [f for f in counted.schema.fields]
-        + [T.StructField("_pos", T.LongType()), T.StructField("_pid", T.IntegerType())])
-    positioned = write_through(ranged.mapInPandas(_partition_positions, out_schema), "quantile-ranks")
-
-    # Per (partition, group): rows and first position - small.
-    part = positioned.groupBy("_pid", *by).agg(
-        F.sum("_c").alias("_pc"), F.min("_pos").alias("_first"))
-    w_group = Window.partitionBy(*by)
-    w_before = w_group.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    part = part.select(
-        "_pid", *by, "_first",
-        F.coalesce(F.sum("_pc").over(w_before), F.lit(0)).alias("_off"),
-        F.sum("_pc").over(w_group).alias("_n"))
-
-    # Rename the small side's keys so the join is not an ambiguous self-join.
-    pk = {b: f"_pk{i}" for i, b in enumerate(by)}
-    part = part.select(F.col("_pid").alias("_ppid"),
-                       *[F.col(b).alias(pk[b]) for b in by], "_first", "_off", "_n")
-    cond = F.col("_pid") == F.col("_ppid")
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(pk[b]))
-    ranked = positioned.join(part, cond, "inner").select(
-        *by, "_v", "_c", (F.col("_pos") - F.col("_first") + F.col("_off")).alias("_start"),
-        "_n")
-
-    return _pick(ranked, probs, names, by)
+    if groups is not None:
+        data = _join_null_safe(data, groups, by).drop(*by)
+        by = [c for c in groups.columns if c not in by]
+    arr = F.percentile_approx("_v", list(probs), accuracy)
+    out = data.groupBy(*by).agg(arr.alias("_q"), *[_plain(n, k, c) for n, k, c in extra])
+    return out.select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], *[n for n, _, _ in extra])
 
 
 def multi_quantiles(df: DataFrame, specs: Sequence[tuple[str, float, str]],
                     by: Sequence[str] = (), method: str = "exact",
-                    extra: Sequence[tuple[str, str, str | None]] = ()) -> DataFrame:
+                    extra: Sequence[tuple[str, str, str | None]] = (),
+                    groups: DataFrame | None = None) -> DataFrame:
     """Several (column, probability, output name) quantiles in ONE pass:
     the columns are unpivoted into (metric, value) rows and the metric joins
-    the grouping key, so one shuffle and one checkpoint serve all of them.
-
-    ``extra`` as in :func:`quantiles`, over the quantile columns (or
-    ``None`` to count rows); they come from the same totals pass."""
+    the grouping key.  ``extra`` and ``groups`` as in :func:`quantiles`;
+    columns of ``extra`` that are no quantile columns ride on the rows of the
+    first metric."""
     by = list(by)
     cols = list(dict.fromkeys(c for c, _, _ in specs))
     probs = sorted(set(p for _, p, _ in specs))
     extra = list(extra)
-    if any(c is not None and c not in cols for _, _, c in extra):
-        raise ValueError("extra aggregates must use the quantile columns")
     names = [f"_p{i}" for i in range(len(probs))]
     if len(cols) == 1:
-        q = quantiles(df, cols[0], probs, names, by=by, method=method, extra=extra)
-        return q.select(*by, *[F.col(f"_p{probs.index(p)}").alias(out) for _, p, out in specs],
+        q = quantiles(df, cols[0], probs, names, by=by, method=method, extra=extra, groups=groups)
+        keys = by if groups is None else [c for c in groups.columns if c not in by]
+        return q.select(*keys, *[F.col(f"_p{probs.index(p)}").alias(out) for _, p, out in specs],
                         *[n for n, _, _ in extra])
-    pairs = F.explode(F.array(*[F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_x"))
-                                for i, c in enumerate(cols)]))
-    long = df.select(*by, pairs.alias("_mx")).select(*by, "_mx._m", "_mx._x")
-    # Per metric: each kind once over _x; rows of a group = rows of metric 0.
-    inner = list(dict.fromkeys((f"_k{k}" if c else "_rows", k, "_x" if c else None)
-                               for _, k, c in extra))
-    q = quantiles(long, "_x", probs, names, by=by + ["_m"], method=method, extra=inner)
-    outs = [F.max(F.when(F.col("_m") == cols.index(c), F.col(f"_p{probs.index(p)}"))).alias(out)
+    riders = list(dict.fromkeys(c for _, _, c in extra if c and c not in cols))
+    pairs = F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_m"), F.col(c).cast("double").alias("_x"),
+                 *[(F.col(r) if i == 0 else F.lit(None).cast(df.schema[r].dataType)).alias(f"_r{k}") for k, r in enumerate(riders)])
+        for i, c in enumerate(cols)]))
+    long = df.select(*by, pairs.alias("_mx")).select(*by, "_mx.*")
+    # Per metric: each kind once over _x, riders once; rows of a group = rows of metric 0.
+    inner = {}
+    for n, k, c in extra:
+        inner[n] = (f"_k{k}", k, "_x") if c in cols else (f"_k{k}_{riders.index(c)}", k, f"_r{riders.index(c)}") if c else ("_rows", k, None)
+    if groups is not None:
+        metrics = F.explode(F.array(*[F.lit(i) for i in range(len(cols))]))
+        groups = groups.select(*by, metrics.alias("_m"), *[c for c in groups.columns if c not in by], F.col("_m").alias("_gm"))
+    q = quantiles(long, "_x", probs, names, by=by + ["_m"], method=method, extra=list(dict.fromkeys(inner.values())), groups=groups)
+    metric = "_m" if groups is None else "_gm"
+    keys = by if groups is None else [c for c in groups.columns if c not in (*by, "_m", "_gm")]
+    outs = [F.max(F.when(F.col(metric) == cols.index(c), F.col(f"_p{probs.index(p)}"))).alias(out)
             for c, p, out in specs]
-    outs += [F.max(F.when(F.col("_m") == (cols.index(c) if c else 0),
-                          F.col(f"_k{k}" if c else "_rows"))).alias(n) for n, k, c in extra]
-    return q.groupBy(*by).agg(*outs)
+    outs += [F.max(F.when(F.col(metric) == (cols.index(c) if c in cols else 0), F.col(inner[n][0]))).alias(n) for n, k, c in extra]
+    return q.groupBy(*keys).agg(*outs)
 
 
 def _pos(p: float) -> str:
@@ -187,148 +144,118 @@ def _pick(ranked: DataFrame, probs: Sequence[float], names: Sequence[str],
     return picked.select(*by, *outs)
 
 
-def _sketch(col: str, grid: Sequence[float], accuracy: int) -> Column:
-    return F.expr(f"percentile_approx({col}, array({', '.join(repr(g) + 'D' for g in grid)}), "
-                  f"{accuracy})")
-
-
-def bucket_bounds(data: DataFrame, nb: int, accuracy: int, fan_in: int = 1024) -> list[float]:
-    """Approximately equi-depth bounds of column ``_v`` for ``nb`` buckets.
-
-    A global ``percentile_approx`` merges one partial sketch per input
-    partition in a single task.  Up to ``fan_in`` partitions that is cheap;
-    beyond it the rows are salted by input partition (``K`` salts, each
-    merging at most ``fan_in`` sketches), every salt reports ``2 x nb``
-    points of its distribution, and the bounds are quantiles of the pooled
-    points.  The bounds only balance the buckets; results stay exact
-    whatever they are.  At most ``nb - 1`` numbers reach the driver.
-    The partition count is read from the plan (no job for a frame without
-    a shuffle, which is what the operators pass).
-    """
-    grid = [i / nb for i in range(1, nb)]
-    parts = data.rdd.getNumPartitions()
-    if parts <= fan_in:
-        bounds = data.agg(_sketch("_v", grid, accuracy).alias("b")).collect()[0].b
-    else:
-        k = -(-parts // fan_in)
-        fine = [i / (2 * nb) for i in range(1, 2 * nb)]
-        points = data.groupBy((F.spark_partition_id() % k).alias("_s")) \
-            .agg(_sketch("_v", fine, accuracy).alias("_p")) \
-            .select(F.explode("_p").alias("_v"))
-        bounds = points.agg(_sketch("_v", grid, accuracy).alias("b")).collect()[0].b
-    return [float(x) for x in (bounds or []) if x is not None]
-
-
 def _plain(name: str, kind: str, col: str | None) -> Column:
     c = F.lit(1) if col is None else F.col(col)
-    return {"count": F.count, "avg": F.avg, "min": F.min, "max": F.max}[kind](c).alias(name)
+    return {"count": F.count, "sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max}[kind](c).alias(name)
 
 
 def _partials(extra) -> tuple[list[Column], list[Column]]:
-    """Per-(group, bucket) partial aggregates and their per-group roll-up
-    (a window over the group, which the totals are already partitioned by)."""
+    """Partial aggregates of each (group, bucket), and what adds them up."""
     part, roll = [], []
     for i, (name, kind, col) in enumerate(extra):
         c = F.lit(1) if col is None else F.col(col)
         if kind == "count":
             part.append(F.count(c).alias(f"_e{i}"))
-            roll.append((f"_e{i}", "sum", name))
-        elif kind in ("min", "max"):
+            roll.append(F.coalesce(F.sum(f"_e{i}"), F.lit(0)).cast("long").alias(name))
+        elif kind in ("min", "max", "sum"):
             part.append(getattr(F, kind)(c).alias(f"_e{i}"))
-            roll.append((f"_e{i}", kind, name))
+            roll.append(getattr(F, kind)(f"_e{i}").alias(name))
         elif kind == "avg":
             part += [F.sum(c.cast("double")).alias(f"_e{i}"), F.count(c).alias(f"_e{i}n")]
-            roll.append((f"_e{i}", "avg", name))
+            roll.append(F.try_divide(F.sum(f"_e{i}"), F.sum(f"_e{i}n")).alias(name))
         else:
             raise ValueError(f"unknown aggregate kind {kind!r}")
     return part, roll
 
 
-def _exact_bucketed(spark, data: DataFrame, probs, names, by: list[str],
-                    buckets: int | None, fan_in: int = 1024, extra=()) -> DataFrame:
-    """Exact quantiles over value buckets, ranking only the buckets that
-    hold a wanted rank.
-
-    1. Global equi-depth bucket bounds come from one ``percentile_approx``
-       job (a bounded sketch, salted beyond ``fan_in`` input partitions;
-       only ``buckets`` numbers reach the driver).
-       Bucket ids are a pure function of the value (``Bucketizer``, binary
-       search), so recomputation after a lost executor gives the same
-       answer - no lineage cut needed.
-    2. Rows per (group, bucket): a partial aggregate, at most
-       groups x buckets rows, whatever the data size.  A window over that
-       small table gives each bucket's offset in its group and the group
-       size, hence the buckets holding ranks ``floor((n-1)p)`` and
-       ``ceil((n-1)p)``: at most 2 x probs buckets per group.
-    3. Only rows in such buckets are ranked (the set of wanted bucket ids,
-       at most ``buckets`` integers, is a scalar subquery): repeated values
-       are collapsed map-side, then a window over (group, bucket) ordered
-       by value gives running counts.  Each bucket holds about
-       1/buckets of all rows, so no window partition is larger than that
-       however skewed the groups are, and the ranking shuffle carries about
-       2 x probs / buckets of the rows.
-    """
-    import math
-
-    from pyspark.ml.feature import Bucketizer
-
-    # Enough buckets that the ranked share (about 2 x probs / buckets) is
-    # small, few enough that the bounds sketch stays cheap; the sketch's
-    # rank error 1/accuracy keeps every bucket within ~10 % of 1/buckets.
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    nb = max(2, buckets or min(1024, max(128, 4 * parts)))
-    bounds = bucket_bounds(data, nb, max(10000, 10 * nb), fan_in)
-    inner = sorted({x for x in bounds if not math.isnan(x) and not math.isinf(x)})
-    splits = [-math.inf] + (inner or [0.0]) + [math.inf]   # Bucketizer needs >= 3
-    bucketed = Bucketizer(splits=splits, inputCol="_v", outputCol="_bd",
-                          handleInvalid="keep").transform(data) \
-        .withColumn("_b", F.col("_bd").cast("int")).drop("_bd")
-
-    # Step 2: per-(group, bucket) sizes -> offsets, group sizes, wanted buckets.
-    # With ``extra`` the frame keeps rows whose value is NULL (bucket NULL,
-    # ``_bc`` 0): they count for the extra aggregates, never for ranks.
+def _join_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, NULL equal to NULL; the left side's keys stay."""
+    on = list(on)
+    names = {c: f"_jk{i}" for i, c in enumerate(on)}
+    right = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & F.col(c).eqNullSafe(F.col(names[c]))
+    return left.join(right, cond, how).drop(*names.values())
+
+
+def first_bucket(steps: int) -> Column:
+    """The bucket of ``_v``, rising with it: ``steps`` for each doubling of
+    1 + |v|, then infinity, then NaN (which sorts last)."""
+    top = 1025 * steps
+    size = F.expr(f"CAST(floor(log2(1 + abs(_v)) * {steps}) AS BIGINT)")
+    return (F.when(F.isnan("_v"), top + 2)
+            .when(F.abs("_v") == float("inf"), F.signum("_v").cast("long") * (top + 1))
+            .otherwise(F.signum("_v").cast("long") * size))
+
+
+def cut_bucket() -> Column:
+    """The piece of ``_b`` (with the range ``_mn`` to ``_mx``) that holds ``_v``."""
+    share = (F.col("_v") - F.col("_mn")) / (F.col("_mx") - F.col("_mn")) * PIECES
+    return F.col("_b") * PIECES + F.when(F.col("_mx") > F.col("_mn"), F.least(F.floor(share), F.lit(PIECES - 1))).otherwise(0)
+
+
+def _wanted(counts: DataFrame, probs) -> DataFrame:
+    """Of buckets with their rows ``_bc``, offset ``_off`` and group's size
+    ``_n``: those that hold a wanted rank."""
+    holds = " OR ".join(f"(_off <= {fn}({_pos(p)}) AND {fn}({_pos(p)}) < _off + _bc)"
+                        for p in probs for fn in ("floor", "ceil"))
+    return counts.where(F.expr(holds))
+
+
+def _exact(data: DataFrame, probs, names, by: list[str], extra, groups: DataFrame | None,
+           steps: int, ranked_rows: int) -> DataFrame:
+    keys = by if groups is None else [c for c in groups.columns if c not in by]
     part, roll = _partials(extra)
-    totals = bucketed.groupBy(*by, "_b").agg(F.count("_v").alias("_bc"), *part)
-    w_grp = Window.partitionBy(*by)
-    w_off = w_grp.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    rolled = []
-    for src, kind, name in roll:
-        if kind == "avg":
-            rolled.append(F.try_divide(F.sum(src).over(w_grp),
-                                       F.sum(f"{src}n").over(w_grp)).alias(name))
-        else:
-            rolled.append(getattr(F, kind)(src).over(w_grp).alias(name))
-    totals = totals.select(*by, "_b", "_bc",
-                           F.coalesce(F.sum("_bc").over(w_off), F.lit(0)).alias("_off"),
-                           F.sum("_bc").over(w_grp).alias("_n"), *rolled)
-    if extra:
-        names_x = [n for n, _, _ in extra]
-        summary = totals.groupBy(*by).agg(*[
-            (F.coalesce(F.max(n), F.lit(0)).cast("long") if k == "count" else F.max(n)).alias(n)
-            for n, k, _ in extra])
-        totals = totals.drop(*names_x)
-    wanted = " OR ".join(f"(_off <= {fn}({_pos(p)}) AND {fn}({_pos(p)}) < _off + _bc)"
-                         for p in probs for fn in ("floor", "ceil"))
-    targets = totals.where(F.expr(wanted)).drop("_bc")
-    wanted_ids = targets.agg(F.coalesce(F.collect_set("_b"), F.array().cast("array<int>"))).scalar()
-
-    # Step 3: rank only inside the wanted buckets.
-    counted = bucketed.where(F.array_contains(wanted_ids, F.col("_b")) & F.col("_v").isNotNull()) \
-        .groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
-    w_in = Window.partitionBy(*by, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    local = counted.withColumn("_before", F.coalesce(F.sum("_c").over(w_in), F.lit(0)))
-    tk = {b: f"_tk{i}" for i, b in enumerate(by)}
-    targets = targets.select(*[F.col(b).alias(tk[b]) for b in by], F.col("_b").alias("_tb"),
-                             "_off", "_n")
-    cond = F.col("_b") == F.col("_tb")
-    for b in by:
-        cond = cond & F.col(b).eqNullSafe(F.col(tk[b]))
-    ranked = local.join(targets, cond, "inner").select(
-        *by, "_v", "_c", (F.col("_off") + F.col("_before")).alias("_start"), "_n")
-    picked = _pick(ranked, probs, names, by)
+    whole = [F.count("_v").alias("_bc"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")]
+    added = [F.sum("_bc").alias("_bc"), F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx")]
+
+    def grouped(counts: DataFrame, aggs) -> DataFrame:
+        """Counts of atoms as counts of groups."""
+        if groups is None:
+            return counts
+        return _join_null_safe(counts, groups, by).groupBy(*keys, "_b").agg(*aggs)
+
+    bucketed = data.withColumn("_b", F.when(F.col("_v").isNotNull(), first_bucket(steps)))
+    atoms = write_through(bucketed.groupBy(*by, "_b").agg(*whole, *part), "quantile-counts")
+    summary = (atoms if groups is None else _join_null_safe(atoms, groups, by)).groupBy(*keys).agg(*roll) if extra else None
+
+    group, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    counts = grouped(atoms.where("_b is not null"), added)
+    counts = counts.select(*keys, "_b", "_bc", "_mn", "_mx", F.coalesce(F.sum("_bc").over(before), F.lit(0)).alias("_off"), F.sum("_bc").over(group).alias("_n"))
+    wanted = _wanted(counts, probs)
+    rows = bucketed.where("_v is not null").select(*by, "_v", "_b")
+
+    def of_wanted(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+        """The rows of wanted (atom, bucket) pairs."""
+        pairs = wanted.select(*keys, "_b") if groups is None else _join_null_safe(groups, wanted.select(*keys, "_b"), keys).select(*by, "_b").distinct()
+        return _join_null_safe(rows, pairs, [*by, "_b"])
+
+    for cut in range(CUTS):
+        large = wanted.where("_mn < _mx").agg(F.max("_bc")).first()[0] or 0
+        if large <= ranked_rows:
+            break
+        # The range of a bucket over all groups, so that its pieces mean the same in each.
+        ranges = wanted.groupBy("_b").agg(F.min("_mn").alias("_mn"), F.max("_mx").alias("_mx"))
+        rows = _join_null_safe(of_wanted(rows, wanted), ranges, ["_b"]).withColumn("_up", F.col("_b")).withColumn("_b", cut_bucket())
+        pieces = write_through(rows.groupBy(*by, "_up", "_b").agg(*whole), "quantile-counts")
+        inner = grouped(pieces, [F.first("_up").alias("_up"), *added])
+        inside = Window.partitionBy(*keys, "_up").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        parents = wanted.select(*keys, F.col("_b").alias("_up"), "_off", "_n")
+        inner = _join_null_safe(inner.withColumn("_in", F.coalesce(F.sum("_bc").over(inside), F.lit(0))), parents, [*keys, "_up"])
+        wanted = _wanted(inner.select(*keys, "_b", "_bc", "_mn", "_mx", (F.col("_off") + F.col("_in")).alias("_off"), "_n"), probs)
+        rows = rows.select(*by, "_v", "_b")
+
+    counted = of_wanted(rows, wanted).groupBy(*by, "_b", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    if groups is not None:
+        counted = _join_null_safe(counted, groups, by).groupBy(*keys, "_b", "_v").agg(F.sum("_c").alias("_c"))
+    inside = Window.partitionBy(*keys, "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    local = counted.withColumn("_before", F.coalesce(F.sum("_c").over(inside), F.lit(0)))
+    ranked = _join_null_safe(local, wanted.select(*keys, "_b", "_off", "_n"), [*keys, "_b"])
+    picked = _pick(ranked.select(*keys, "_v", "_c", (F.col("_off") + F.col("_before")).alias("_start"), "_n"), probs, names, keys)
     if not extra:
         return picked
-    return attach(summary, picked, by).select(*by, *names, *names_x)
+    return attach(summary, picked, keys).select(*keys, *names, *[n for n, _, _ in extra])
 
 
 def attach(left: DataFrame, right: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -31,17 +31,24 @@ def tag_groups(df: DataFrame, **cols) -> DataFrame:
 
 def outlier_profile(df: DataFrame, method: str = "exact") -> DataFrame:
     """Per group: rows, percent of all rows, min/median/mean/max of duration
-    and distance."""
-    tagged = tag_groups(df)
+    and distance.
+
+    Groups overlap, so rows are counted once, by the set of groups they are
+    in (a bit mask), and the counts of the masks are added up into groups."""
+    ids = [gid for gid, _, _ in S.OUTLIER_GROUPS]
+    bits = [F.when(cond, F.lit(1 << ids.index(gid))).otherwise(F.lit(0)) for gid, _, cond in outlier_conditions()]
+    masked = df.withColumn("_mask", sum(bits[1:], bits[0]))
+    members = df.sparkSession.createDataFrame(
+        [(mask, gid) for mask in range(1 << len(ids)) for k, gid in enumerate(ids) if mask >> k & 1], "_mask INT, group_id INT")
     total = df.agg(F.count(F.lit(1)).alias("_total"))
     extra = [("trips", "count", None),
              ("dur_min", "min", S.DURATION), ("dur_mean", "avg", S.DURATION),
              ("dur_max", "max", S.DURATION),
              ("dist_min", "min", S.DISTANCE), ("dist_mean", "avg", S.DISTANCE),
              ("dist_max", "max", S.DISTANCE)]
-    stats = multi_quantiles(tagged, [(S.DURATION, 0.5, "dur_median"),
-                                     (S.DISTANCE, 0.5, "dist_median")], by=["group_id"],
-                            method=method, extra=extra)
+    stats = multi_quantiles(masked.where("_mask > 0"), [(S.DURATION, 0.5, "dur_median"),
+                                                        (S.DISTANCE, 0.5, "dist_median")], by=["_mask"],
+                            method=method, extra=extra, groups=F.broadcast(members))
     out = attach(attach(F.broadcast(_group_list(df)), stats, ["group_id"]), total, [])
     trips = F.coalesce(F.col("trips"), F.lit(0)).cast("long")
     return out.select("group_id", "label", trips.alias("trips"),

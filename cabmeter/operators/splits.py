@@ -49,22 +49,21 @@ def split_report(df: DataFrame, split: str = "split", method: str = "exact") ->
     data_cols = [c for c in df.columns if c != split]
     nulls = None
     for c in data_cols:
-        n = F.count_if(F.col(f"`{c}`").isNull())
+        n = F.when(F.col(f"`{c}`").isNull(), 1).otherwise(0)
         nulls = n if nulls is None else nulls + n
-    base = df.groupBy(split).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(C.pickup_hour_start(S.YEAR, S.MONTH, S.DAY, S.HOUR)).alias("first_hour"),
-        F.max(C.pickup_hour_end(S.YEAR, S.MONTH, S.DAY, S.HOUR)).alias("last_hour"),
-        F.min(S.DURATION).alias("dur_min"), F.avg(S.DURATION).alias("dur_mean"),
-        F.max(S.DURATION).alias("dur_max"),
-        F.min(S.DISTANCE).alias("dist_min"), F.avg(S.DISTANCE).alias("dist_mean"),
-        F.max(S.DISTANCE).alias("dist_max"),
-        nulls.alias("nulls"))
-    med = multi_quantiles(df, [(S.DURATION, 0.5, "dur_median"), (S.DISTANCE, 0.5, "dist_median")],
-                          by=[split], method=method)
+    rows = df.select(split, S.DURATION, S.DISTANCE, nulls.cast("long").alias("_nulls"),
+                     C.pickup_hour_start(S.YEAR, S.MONTH, S.DAY, S.HOUR).alias("_first"),
+                     C.pickup_hour_end(S.YEAR, S.MONTH, S.DAY, S.HOUR).alias("_last"))
+    # All figures but the duplicates come from the first scan of the quantiles.
+    base = multi_quantiles(rows, [(S.DURATION, 0.5, "dur_median"), (S.DISTANCE, 0.5, "dist_median")],
+                           by=[split], method=method, extra=[
+                               ("rows", "count", None), ("first_hour", "min", "_first"), ("last_hour", "max", "_last"),
+                               ("dur_min", "min", S.DURATION), ("dur_mean", "avg", S.DURATION), ("dur_max", "max", S.DURATION),
+                               ("dist_min", "min", S.DISTANCE), ("dist_mean", "avg", S.DISTANCE), ("dist_max", "max", S.DISTANCE),
+                               ("nulls", "sum", "_nulls")])
     dups = duplicate_count(df, data_cols, by=[split]).select(split, "duplicate_rows")
-    out = attach(attach(base, med, [split]), dups, [split])
-    out = attach(out, df.agg(F.count(F.lit(1)).alias("_total")), [])
+    out = attach(base, dups, [split])
+    out = attach(out, base.agg(F.sum("rows").alias("_total")), [])
     share = C.pct(F.col("rows"), F.col("_total"))
     return out.select(split, "rows", share.alias("share"), "first_hour", "last_hour",
                       "dur_min", "dur_median", "dur_mean", "dur_max",
@@ -130,15 +129,19 @@ def candidate_tags(first_year: int, second_year: int, year: str = S.YEAR,
 def split_candidates(df: DataFrame, first_year: int = 2023, second_year: int = 2024,
                      method: str = "exact") -> DataFrame:
     """Three candidate splits compared in one scan: rows, share inside the
-    candidate, mean/median duration and mean distance per part."""
+    candidate, mean/median duration and mean distance per part.
+
+    Rows are counted once, by month; months are added up into the parts of
+    each candidate."""
+    months = df.sparkSession.createDataFrame(
+        [(y * 100 + m, y, m) for y in (first_year, second_year) for m in range(1, 13)], f"_ym INT, {S.YEAR} INT, {S.MONTH} INT")
     tags = F.array(*[F.when(cond, F.struct(F.lit(c).alias("candidate"), F.lit(p).alias("part")))
                      for c, p, cond in candidate_tags(first_year, second_year)])
-    tagged = df.select(S.DURATION, S.DISTANCE,
-                       F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t")) \
-               .select("t.candidate", "t.part", S.DURATION, S.DISTANCE)
-    by = ["candidate", "part"]
-    out = quantiles(tagged, S.DURATION, [0.5], ["med_dur"], by=by, method=method,
+    members = months.select("_ym", F.explode(F.filter(tags, lambda t: t.isNotNull())).alias("t")).select("_ym", "t.candidate", "t.part")
+    rows = (df.where(F.col(S.YEAR).isin(first_year, second_year))
+            .select(_ym(S.YEAR, S.MONTH).cast("int").alias("_ym"), S.DURATION, S.DISTANCE))
+    out = quantiles(rows, S.DURATION, [0.5], ["med_dur"], by=["_ym"], method=method, groups=F.broadcast(members),
                     extra=[("rows", "count", None), ("avg_dur", "avg", S.DURATION),
                            ("avg_dist", "avg", S.DISTANCE)])
     share = C.pct(F.col("rows"), F.sum("rows").over(Window.partitionBy("candidate")))
-    return out.select(*by, "rows", share.alias("share"), "avg_dur", "med_dur", "avg_dist")
+    return out.select("candidate", "part", "rows", share.alias("share"), "avg_dur", "med_dur", "avg_dist")

@@ -52,7 +52,7 @@ def test_empty_input_gives_null(spark):
 @given(st.lists(st.integers(-1000, 1000), min_size=1, max_size=200), st.sampled_from([0.05, 0.5, 0.93]))
 def test_property_exact(spark, values, p):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    got = quantiles(df, "v", [p], partitions=3).collect()[0][0]
+    got = quantiles(df, "v", [p], steps=3).collect()[0][0]
     assert got == pytest.approx(_np(values, p))
 
 
@@ -65,15 +65,6 @@ def test_approx_method_close(spark):
         assert abs(got[i] - _np(vals, p)) < 0.05
 
 
-def test_both_exact_methods_agree(spark):
-    rng = np.random.default_rng(5)
-    rows = [("a" if i % 3 else "b", float(x)) for i, x in enumerate(rng.gamma(2.0, 3.0, 4000).round(3))]
-    df = spark.createDataFrame(rows, "g string, v double")
-    a = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact").collect())
-    b = sorted(quantiles(df, "v", [0.1, 0.5, 0.9], by=["g"], method="exact_ranked").collect())
-    assert a == b
-
-
 def test_exact_equals_builtin_percentile(spark):
     rng = np.random.default_rng(6)
     rows = [("a" if i % 3 else "b", float(x)) for i, x in enumerate(rng.gamma(2.0, 3.0, 4000).round(3))] + [("a", None)]
@@ -94,28 +85,61 @@ def test_hot_value_and_wanted_buckets_only(spark, buckets):
     rows = [("h", v) for v in hot] + [("c", v) for v in cold]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.02, 0.3, 0.5, 0.61, 0.99, 1.0]
-    got = {r.g: r for r in quantiles(df, "v", probs, by=["g"], partitions=buckets).collect()}
+    got = {r.g: r for r in quantiles(df, "v", probs, by=["g"], steps=buckets).collect()}
     for key, vals in (("h", hot), ("c", cold)):
         for i, p in enumerate(probs):
             assert got[key][i + 1] == pytest.approx(_np(vals, p), rel=1e-12, abs=1e-12)
-    whole = quantiles(df, "v", probs, partitions=buckets).collect()[0]
+    whole = quantiles(df, "v", probs, steps=buckets).collect()[0]
     for i, p in enumerate(probs):
         assert whole[i] == pytest.approx(_np(hot + cold, p), rel=1e-12, abs=1e-12)
 
 
-def test_salted_bounds_beyond_fan_in(spark):
-    # More input partitions than the fan-in: bounds come from per-salt
-    # sketches; the quantiles stay exact.
+@pytest.mark.parametrize("ranked_rows", [1, 40])
+def test_buckets_are_cut_until_they_are_small(spark, ranked_rows):
+    # One step for each doubling, and hardly any rows for a task: several cuts.
     rng = np.random.default_rng(23)
-    vals = np.concatenate([np.full(1500, 3.5), rng.lognormal(1, 1, 4500).round(4)]).tolist()
-    df = spark.createDataFrame([(v,) for v in vals], "v double").repartition(12)
-    probs = [0.01, 0.25, 0.5, 0.9, 0.999]
-    got = quantiles(df, "v", probs, fan_in=2).collect()[0]
-    for i, p in enumerate(probs):
-        assert got[i] == pytest.approx(_np(vals, p), rel=1e-12, abs=1e-12)
-    from cabmeter.functions.quantiles import bucket_bounds
-    b = bucket_bounds(df.select(F.col("v").alias("_v")), 16, 10000, fan_in=2)
-    assert b == sorted(b) and 10 <= len(b) <= 15
+    vals = np.concatenate([np.full(1500, 3.5), 4 + rng.random(3000) / 1e6, rng.normal(0, 1e-9, 900), rng.normal(-5, 90, 600),
+                           [np.inf, -np.inf, 5e-324, 1.7e308]]).tolist()
+    rows = [("a" if k % 3 else None, v) for k, v in enumerate(vals)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(12)
+    probs = [0.01, 0.25, 0.5, 0.77, 0.9]
+    got = {r.g: r for r in quantiles(df, "v", probs, by=["g"], steps=1, ranked_rows=ranked_rows).collect()}
+    for key in ("a", None):
+        own = [v for g, v in rows if g == key]
+        for i, p in enumerate(probs):
+            assert got[key][i + 1] == pytest.approx(_np(own, p), rel=1e-12, abs=1e-300)
+
+
+def test_overlapping_groups_of_atoms(spark):
+    rng = np.random.default_rng(31)
+    rows = [(int(a), float(x), float(y)) for a, x, y in zip(rng.integers(0, 5, 3000), rng.normal(3, 9, 3000).round(2), rng.random(3000))]
+    df = spark.createDataFrame(rows + [(None, 1.0, 2.0)], "atom int, x double, y double").withColumn("z", F.col("y") * 2)
+    members = [(1, "odd"), (3, "odd"), (0, "low"), (1, "low"), (None, "low"), (9, "none")]
+    groups = spark.createDataFrame(members, "atom int, name string")
+    extra = [("n", "count", None), ("lo", "min", "x"), ("my", "avg", "y"), ("z", "max", "z"), ("s", "sum", "z")]
+    got = {r.name: r for r in multi_quantiles(df, [("x", 0.5, "mx"), ("y", 0.9, "qy")], by=["atom"], extra=extra, groups=groups).collect()}
+    assert set(got) == {"odd", "low"}
+    for name, r in got.items():
+        own = [t for t in [*rows, (None, 1.0, 2.0)] if (t[0], name) in members]
+        xs, ys = [t[1] for t in own], [t[2] for t in own]
+        assert (r.n, r.lo, r.z) == (len(own), min(xs), 2 * max(ys))
+        assert (r.mx, r.qy, r.my, r.s) == pytest.approx((_np(xs, 0.5), _np(ys, 0.9), sum(ys) / len(ys), 2 * sum(ys)))
+
+
+def test_only_wanted_pairs_are_ranked(spark):
+    """With 265 groups, rows of a bucket that another group wants stay out."""
+    df = spark.range(60_000).select((F.col("id") % 265).alias("g"), F.rand(5).alias("u")).select("g", (F.col("u") * 90 + F.col("g")).alias("v"))
+    from cabmeter.functions import quantiles as Q
+
+    seen = []
+    original = Q._pick
+    try:
+        Q._pick = lambda ranked, *rest: seen.append(ranked) or original(ranked, *rest)
+        quantiles(df, "v", [0.5], by=["g"]).collect()
+    finally:
+        Q._pick = original
+    ranked = seen[0].agg(F.sum("_c")).first()[0]
+    assert ranked < 60_000 * 0.1
 
 
 def test_extra_aggregates_match_plain_group_by(spark):
@@ -158,5 +182,3 @@ def test_multi_quantiles_extra_per_metric(spark):
         assert g.xmean == pytest.approx(r.xmean, rel=1e-12)
         ys = [y for k, _, y in rows if k == r.g and y is not None]
         assert g.my == pytest.approx(_np(ys, 0.5))
-    with pytest.raises(ValueError):
-        multi_quantiles(df, [("x", 0.5, "mx"), ("y", 0.5, "my")], extra=[("z", "max", "g")])
