@@ -29,7 +29,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import write_through
@@ -217,7 +217,8 @@ def _exact(data: DataFrame, probs, names, by: list[str], extra, groups: DataFram
         return _join_null_safe(counts, groups, by).groupBy(*keys, "_b").agg(*aggs)
 
     bucketed = data.withColumn("_b", F.when(F.col("_v").isNotNull(), first_bucket(steps)))
-    atoms = write_through(bucketed.groupBy(*by, "_b").agg(*whole, *part), "quantile-counts")
+    seen = Observation()
+    atoms = write_through(bucketed.groupBy(*by, "_b").agg(*whole, *part).observe(seen, F.max("_bc").alias("most")), "quantile-counts")
     summary = (atoms if groups is None else _join_null_safe(atoms, groups, by)).groupBy(*keys).agg(*roll) if extra else None
 
     group, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
@@ -231,7 +232,9 @@ def _exact(data: DataFrame, probs, names, by: list[str], extra, groups: DataFram
         pairs = wanted.select(*keys, "_b") if groups is None else _join_null_safe(groups, wanted.select(*keys, "_b"), keys).select(*by, "_b").distinct()
         return _join_null_safe(rows, pairs, [*by, "_b"])
 
-    for cut in range(CUTS):
+    # What the write has seen tells cheaply whether any bucket can be large; a group holds at most all atoms.
+    most = (seen.get["most"] or 0) * (1 if groups is None else groups.select(*by).distinct().count())
+    for _ in range(CUTS if most > ranked_rows else 0):
         large = wanted.where("_mn < _mx").agg(F.max("_bc")).first()[0] or 0
         if large <= ranked_rows:
             break
