@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import columns as C
 from ..functions.quantiles import attach, quantiles
+from ..session import checkpoint_dir
 
 
 def fit_ols(train: DataFrame, features: Sequence[str] = S.OLS_FEATURES,
@@ -99,6 +100,7 @@ def fit_boosted(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
                                lossType="squared"))
     data = train.select(*[F.col(c).cast("double") for c in list(numeric) + list(categorical)],
                         F.col(target).cast("double"))
+    checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there every ten rounds
     if persist:
         data = data.persist()     # boosting re-reads the frame every iteration
     try:
@@ -172,6 +174,25 @@ def metric_comparison(metrics: DataFrame, reference: Mapping[str, float]) -> Dat
                       F.try_divide(delta * 100.0, F.abs(F.col("reference"))).alias("pct_change"))
 
 
+def compare_parts(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Metrics of one model on two parts of the data: metric, reference (the
+    first part), value (the second), delta and percent change."""
+    left = metrics_long(before).withColumnRenamed("value", "reference")
+    out = metrics_long(after).join(left, "metric")
+    delta = F.col("value") - F.col("reference")
+    return out.select("metric", "reference", "value", delta.alias("delta"),
+                      F.try_divide(delta * 100.0, F.abs(F.col("reference"))).alias("pct_change"))
+
+
+def request_features(validated: DataFrame) -> DataFrame:
+    """Validated requests with the columns that models were trained on: the
+    weekday with Sunday = 0, the weekend and the long-haul flag."""
+    dow = F.col("dow_sunday0")
+    return validated.withColumns({
+        S.DOW: dow, S.WEEKEND: dow.isin(0, 6).cast("int"),
+        S.LONG_HAUL: (F.col(S.DISTANCE) > S.LONG_HAUL_MILES).cast("int")})
+
+
 def batch_score(model: PipelineModel, requests: DataFrame, valid_col: str = "is_valid",
                 features: Sequence[str] | None = None) -> DataFrame:
     """Score validated requests: one row per valid request, the prediction

@@ -117,6 +117,34 @@ def cleaning_reconcile(df: DataFrame, rules: Sequence[Rule] | None = None) -> Da
     return agg.select(o, r, (o - r).alias("predicted_kept"), k, (o - r - k).alias("null_gap"))
 
 
+def rule_overlap(df: DataFrame, rules: Sequence[Rule] | None = None) -> DataFrame:
+    """For every two rules (and each with itself): rows that match both, share
+    of the rows of the first, and rows that match these and no other rule.
+
+    Rows are counted once by the set of rules they match (a bit mask); the
+    pairs add up the counts of at most 2^rules masks.  An unknown condition
+    (NULL) is no match."""
+    rules = rules or default_rules()
+    bits = [F.when(r.condition(), F.lit(1 << k)).otherwise(F.lit(0)) for k, r in enumerate(rules)]
+    masks = df.groupBy(sum(bits[1:], bits[0]).alias("mask")).agg(F.count(F.lit(1)).alias("cnt"))
+    pairs = [(a.rule_id, b.rule_id, 1 << i | 1 << k, 1 << i) for i, a in enumerate(rules) for k, b in enumerate(rules) if i <= k]
+    aggs = [expr for n, (_, _, both, one) in enumerate(pairs) for expr in (
+        F.sum(F.when(F.col("mask").bitwiseAND(both) == both, F.col("cnt"))).alias(f"j{n}"),
+        F.sum(F.when(F.col("mask") == both, F.col("cnt"))).alias(f"o{n}"),
+        F.sum(F.when(F.col("mask").bitwiseAND(one) == one, F.col("cnt"))).alias(f"t{n}"))]
+    long = _stack(masks.agg(*aggs), len(pairs), [f"{a}, {b}, coalesce(j{n}, 0L), coalesce(o{n}, 0L), t{n}" for n, (a, b, _, _) in enumerate(pairs)],
+                  "rule_a, rule_b, both, no_other, total")
+    return long.select("rule_a", "rule_b", "both", "no_other", C.pct(F.col("both"), F.col("total")).alias("pct_of_a"))
+
+
+def cap_at_quantile(df: DataFrame, column: str = S.DISTANCE, prob: float = 0.999, method: str = "exact") -> DataFrame:
+    """Rows whose ``column`` is at most its exact quantile; NULL and NaN rows
+    go.  The threshold is a scalar subquery, so the filter reaches the scan."""
+    from ..functions.quantiles import quantiles
+
+    return df.where(F.col(column) <= quantiles(df, column, [prob], ["cap"], method=method).scalar())
+
+
 def documented_rules(df: DataFrame, duration: str = S.DURATION, distance: str = S.DISTANCE,
                      passengers: str = S.PASSENGERS, ratecode: str = S.RATECODE,
                      vendor: str = S.VENDOR, max_minutes: float = 180.0,

@@ -708,6 +708,34 @@ FROM (SELECT CAST(range AS INTEGER) AS hour FROM range(24)) h LEFT JOIN (
 }
 
 
+_RULES = ["trip_duration_minutes < 1", "trip_distance < 0.1", "trip_duration_minutes > 120 AND trip_distance < 2", "trip_distance > 50",
+          "trip_duration_minutes >= 1 AND trip_duration_minutes < 2 AND trip_distance >= 0.1", "passenger_count > 6"]
+_FLAGS = ", ".join(f"coalesce({r}, false) AS f{k}" for k, r in enumerate(_RULES, 1))
+_MATCHED = " + ".join(f"f{k}::INTEGER" for k in range(1, len(_RULES) + 1))
+ORACLE["rule_overlap"] = q(TRIPS + f", flags AS (SELECT {_FLAGS} FROM trips), counted AS (SELECT *, {_MATCHED} AS matched FROM flags)", " UNION ALL ".join(
+    f"""SELECT {a} AS rule_a, {b} AS rule_b, COUNT(*) FILTER (f{a} AND f{b}) AS both,
+    COUNT(*) FILTER (f{a} AND f{b} AND matched = {1 if a == b else 2}) AS no_other,
+    {pct(f'COUNT(*) FILTER (f{a} AND f{b})', f'COUNT(*) FILTER (f{a})')} AS pct_of_a FROM counted"""
+    for a in range(1, len(_RULES) + 1) for b in range(a, len(_RULES) + 1)), ["pct_of_a"])
+ORACLE["distance_cap"] = q(TRIPS, f"""
+SELECT COUNT(*) AS rows, MAX(trip_distance) AS max_distance, AVG(trip_duration_minutes) AS avg_dur FROM trips
+WHERE trip_distance <= (SELECT {_pc('trip_distance', 0.999)} FROM trips)""", ["max_distance", "avg_dur"])
+ORACLE["unusual_values_found"] = f"SELECT * FROM ({ORACLE['unusual_values']}) WHERE rows_matched > 0"
+ORACLE["write_scored"] = q(ols_base("test"), """
+SELECT trip_duration_minutes AS y_true, prediction AS y_pred, trip_distance, pickup_hour FROM scored""", ["y_true", "y_pred", "trip_distance"])
+ORACLE["model_round_trip"] = q(CLEANED, """
+SELECT COUNT(*) AS rows, CASE WHEN COUNT(*) > 0 THEN 0.0::DOUBLE END AS max_abs_diff FROM splitted WHERE split = 'test'""")
+ORACLE["model_comparison"] = q(ols_base("validation").replace("scored AS", "scored_v AS") + f""",
+scored_t AS (SELECT s.*, {ols_prediction('s')} AS prediction FROM splitted s, coef WHERE s.split = 'test'),
+mv AS ({METRICS_BODY.replace('FROM scored', 'FROM scored_v')}), mt AS ({METRICS_BODY.replace('FROM scored', 'FROM scored_t')}),
+pairs AS (SELECT 'MAE' AS metric, mv.MAE AS reference, mt.MAE AS value FROM mv, mt UNION ALL SELECT 'RMSE', mv.RMSE, mt.RMSE FROM mv, mt
+          UNION ALL SELECT 'R2', mv.R2, mt.R2 FROM mv, mt)""", """
+SELECT metric, reference, value, value - reference AS delta, (value - reference) * 100.0 / NULLIF(ABS(reference), 0) AS pct_change FROM pairs""",
+                               ["reference", "value", "delta", "pct_change"])
+ORACLE["boosted_score"] = q(TRIPS + "," + REQUESTS, """
+SELECT COUNT(*) AS rows, CASE WHEN COUNT(*) > 0 THEN 0.0::DOUBLE END AS max_abs_diff, 0::BIGINT AS negative, 0::BIGINT AS missing
+FROM validated WHERE violation_text = ''""")
+ORACLE["stream_batch_score"] = ORACLE["batch_score"]
 ORACLE["stream_clean_trips"] = ORACLE["write_cleaned"]
 ORACLE["rule_impact_on_write"] = ORACLE["rule_impact"]
 ORACLE["stream_validate_requests"] = ORACLE["validate_requests"]

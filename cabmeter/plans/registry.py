@@ -74,6 +74,21 @@ def ols_model(spark, sf):
     return M.fit_ols(part(spark, sf, "train"))
 
 
+_BOOSTED: dict[tuple, tuple] = {}
+
+
+def boosted_model(spark, sf):
+    """The 11-feature boosted model, fitted once a session for each input and
+    saved: the fitted pipeline and where it was saved."""
+    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    if key not in _BOOSTED:
+        model = M.fit_boosted_11(part(spark, sf, "train"))
+        path = scratch_path(spark, "boosted_11")
+        sinks.save_model(model, path, S.BOOSTED_FEATURES_11, spark)
+        _BOOSTED[key] = model, path
+    return _BOOSTED[key]
+
+
 def ols_scored(spark, sf, name):
     return ols_model(spark, sf).transform(part(spark, sf, name))
 
@@ -219,6 +234,42 @@ def q_batch_score(spark, sf):
                          "prediction")
 
 
+def q_boosted_score(spark, sf):
+    """Facts of a scoring run with the saved boosted model: requests scored,
+    the largest difference that saving made, predictions below 0 or missing."""
+    fitted, path = boosted_model(spark, sf)
+    loaded, features = sinks.load_model(spark, path, S.BOOSTED_FEATURES_11)
+    req = M.request_features(R.validate_requests(TR.requests_from_trips(trips(spark, sf))))
+    one = M.batch_score(fitted, req, features=features).withColumnRenamed("prediction", "fitted")
+    both = M.batch_score(loaded, one.select(*features, "fitted"), features=features)
+    p = F.col("prediction")
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.max(F.abs(p - F.col("fitted"))).alias("max_abs_diff"),
+                    F.count_if(p < 0).alias("negative"), F.count_if(p.isNull()).alias("missing"))
+
+
+def q_fit_boosted_11(spark, sf):
+    return M.regression_metrics(boosted_model(spark, sf)[0].transform(part(spark, sf, "validation")))
+
+
+def q_boosted_comparison(spark, sf):
+    model = boosted_model(spark, sf)[0]
+    return M.compare_parts(*(M.regression_metrics(model.transform(part(spark, sf, n))) for n in ("validation", "test")))
+
+
+def q_distance_cap(spark, sf):
+    kept = R.cap_at_quantile(trips(spark, sf))
+    return kept.agg(F.count(F.lit(1)).alias("rows"), F.max(S.DISTANCE).alias("max_distance"), F.avg(S.DURATION).alias("avg_dur"))
+
+
+def q_stream_batch_score(spark, sf):
+    from ..streaming import trips_stream as ST
+
+    base = scratch_path(spark, "stream_scored")
+    scored = ST.score_stream(ols_model(spark, sf), ST.validate_stream(ST.trips_stream(spark, sf)))
+    scored = scored.select(*S.OLS_FEATURES, S.PU_ZONE, S.DO_ZONE, S.RATECODE, S.VENDOR, "prediction")
+    return ST.run_available(scored, f"{base}/out", f"{base}/checkpoint")
+
+
 def q_split_candidates(spark, sf):
     return SP.split_candidates(cleaned(spark, sf), FIRST_YEAR, SECOND_YEAR)
 
@@ -279,6 +330,8 @@ QUERIES: dict[str, Query] = {
     "rule_impact": _q(R.rule_impact, trips),
     "removal_union": _q(R.removal_union, trips),
     "cleaning_reconcile": _q(R.cleaning_reconcile, trips),
+    "rule_overlap": _q(R.rule_overlap, trips),
+    "distance_cap": q_distance_cap,
     "documented_rules": _q(R.documented_rules, trips),
     "unusual_values": _q(R.unusual_values, trips),
     "unusual_values_found": _q(R.unusual_values_found, trips),
@@ -334,7 +387,11 @@ QUERIES: dict[str, Query] = {
     "fit_ols": lambda spark, sf: M.regression_metrics(ols_scored(spark, sf, "validation")),
     "ols_coefficients": lambda spark, sf: M.ols_coefficients(ols_model(spark, sf)),
     "fit_boosted_12": q_fit_boosted(S.BOOSTED_CATEGORICAL_12),
-    "fit_boosted_11": q_fit_boosted(S.BOOSTED_CATEGORICAL_11),
+    "fit_boosted_11": q_fit_boosted_11,
+    "boosted_score": q_boosted_score,
+    "boosted_comparison": q_boosted_comparison,
+    "model_comparison": lambda spark, sf: M.compare_parts(
+        M.regression_metrics(ols_scored(spark, sf, "validation")), M.regression_metrics(ols_scored(spark, sf, "test"))),
     "feature_cardinality": lambda spark, sf: M.feature_cardinality(part(spark, sf, "train")),
     "target_stats": lambda spark, sf: M.target_stats(part(spark, sf, "validation")),
     "regression_metrics": lambda spark, sf: M.regression_metrics(ols_scored(spark, sf, "test")),
@@ -348,6 +405,7 @@ QUERIES: dict[str, Query] = {
     # streaming: the row-local operators on a file stream of lineitem
     "stream_clean_trips": q_stream_clean_trips,
     "stream_validate_requests": q_stream_validate_requests,
+    "stream_batch_score": q_stream_batch_score,
 }
 
 

@@ -77,5 +77,6 @@ def test_write_splits_strict(spark):
     df = spark.createDataFrame([(1, "train"), (2, None)], "v int, split string")
     path = tempfile.mkdtemp(prefix="cabmeter-strict-") + "/t"
     with pytest.raises(ValueError, match="1 rows"):
-        write_splits(df, path, strict=True)
-    assert write_splits(df, path).count() == 1
+        write_splits(df, path)
+    assert not os.path.exists(path) and not [n for n in os.listdir(os.path.dirname(path)) if "staged" in n]
+    assert write_splits(df, path, strict=False).count() == 1
