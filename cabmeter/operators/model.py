@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schema as S
@@ -238,3 +238,68 @@ def mae_by_hour(scored: DataFrame, label: str = S.DURATION, prediction: str = "p
     out = agg.join(F.broadcast(hours), "hour", "right")
     return out.select("hour", C.time_band("hour").alias("band"), "mae",
                       F.coalesce(F.col("trips"), F.lit(0)).cast("long").alias("trips"))
+
+
+def fold_of(columns: Sequence[str], folds: int) -> Column:
+    """A fold by the md5 of the columns' values; equal rows share one."""
+    key = F.concat_ws("-", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+    return (F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % folds).cast("int")
+
+
+FOLD_COLUMNS = (S.YEAR, S.MONTH, S.DAY, S.HOUR, S.PU_ZONE, S.DO_ZONE)
+
+
+def target_encode(df: DataFrame, column: str = S.PU_ZONE, target: str = S.DURATION, folds: int = 5, weight: float = 20.0,
+                  fold_columns: Sequence[str] = FOLD_COLUMNS, out: str | None = None) -> DataFrame:
+    """``df`` with ``fold`` and ``out`` (``<column>_encoded``): the mean target
+    of the column's value over all *other* folds, drawn towards their overall
+    mean as by ``weight`` further rows.
+
+    Sums leave a fold out by subtraction, so the data are aggregated once, to
+    values x folds rows.  No row's own target, nor that of an equal row, is in
+    its encoding.  A value seen in one fold only gets the mean of the others;
+    rows with a NULL target count for nothing and are encoded; NULL is a value."""
+    rows = df.withColumn("fold", fold_of(fold_columns, folds))
+    y = F.col(target).cast("double")
+    cells = rows.groupBy(F.col(column).alias("_value"), F.col("fold").alias("_fold")).agg(F.coalesce(F.sum(y), F.lit(0.0)).alias("_s"), F.count(y).alias("_n"))
+    # Both windows are over this small table: a value has at most ``folds`` rows, and the overall sums are one row a fold.
+    value = Window.partitionBy("_value")
+    fold = cells.groupBy(F.col("_fold").alias("_ff")).agg(F.sum("_s").alias("_fs"), F.sum("_n").alias("_fn"))
+    total = cells.agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
+    fold = attach(fold, total, []).select("_ff", F.try_divide(F.col("_ts") - F.col("_fs"), F.col("_tn") - F.col("_fn")).alias("_mean"))
+    cells = (cells.withColumns({"_os": F.sum("_s").over(value) - F.col("_s"), "_on": F.sum("_n").over(value) - F.col("_n")})
+             .join(fold, F.col("_fold") == F.col("_ff")))
+    encoded = (F.col("_os") + weight * F.col("_mean")) / (F.col("_on") + weight)
+    cells = cells.select("_value", "_fold", encoded.alias(out or f"{column}_encoded"))
+    return rows.join(cells, F.col(column).eqNullSafe(F.col("_value")) & (F.col("fold") == F.col("_fold")), "left").drop("_value", "_fold")
+
+
+def prediction_intervals(calibration: DataFrame, scored: DataFrame, level: float = 0.9, label: str = S.DURATION,
+                         prediction: str = "prediction", distance: str = S.DISTANCE, hour: str = S.HOUR) -> DataFrame:
+    """``scored`` with ``lower`` and ``upper``: the prediction plus and minus
+    the ``level`` quantile of the absolute residuals that ``calibration`` has
+    in the same distance bucket and hour (split conformal, interpolated).
+
+    Buckets and hours without calibration rows take the quantile of all of
+    them; ``lower`` is not below 0."""
+    bucket = C.error_bucket_index(distance)
+    residuals = calibration.select(bucket.alias("_bucket"), F.col(hour).alias("_hour"),
+                                   F.abs(F.col(label).cast("double") - F.col(prediction)).alias("_r"))
+    widths = quantiles(residuals, "_r", [level], ["_w"], by=["_bucket", "_hour"]).select(
+        F.col("_bucket").alias("_wb"), F.col("_hour").alias("_wh"), "_w")
+    overall = quantiles(residuals, "_r", [level], ["_all"])
+    rows = scored.withColumn("_bucket", bucket)
+    rows = rows.join(widths, F.col("_bucket").eqNullSafe(F.col("_wb")) & F.col(hour).eqNullSafe(F.col("_wh")), "left")
+    width = F.coalesce("_w", overall.scalar())
+    p = F.col(prediction)
+    return rows.withColumns({"lower": F.greatest(p - width, F.lit(0.0)), "upper": p + width}).drop("_bucket", "_wb", "_wh", "_w")
+
+
+def interval_coverage(rows: DataFrame, label: str = S.DURATION, distance: str = S.DISTANCE) -> DataFrame:
+    """Per distance bucket: rows, rows whose label lies in the interval, their
+    share, and the mean width."""
+    y = F.col(label).cast("double")
+    out = rows.groupBy(C.error_bucket_index(distance).alias("bucket_id")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(y.between(F.col("lower"), F.col("upper"))).alias("covered"),
+        F.avg(F.col("upper") - F.col("lower")).alias("mean_width"))
+    return out.select("bucket_id", "rows", "covered", C.pct(F.col("covered"), F.col("rows")).alias("coverage"), "mean_width")

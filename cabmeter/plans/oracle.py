@@ -732,6 +732,26 @@ pairs AS (SELECT 'MAE' AS metric, mv.MAE AS reference, mt.MAE AS value FROM mv,
           UNION ALL SELECT 'R2', mv.R2, mt.R2 FROM mv, mt)""", """
 SELECT metric, reference, value, value - reference AS delta, (value - reference) * 100.0 / NULLIF(ABS(reference), 0) AS pct_change FROM pairs""",
                                ["reference", "value", "delta", "pct_change"])
+_KEY = " || '-' || ".join(f"coalesce({c}::VARCHAR, '')" for c in ("pickup_year", "pickup_month", "pickup_day", "pickup_hour", "PULocationID", "DOLocationID"))
+ORACLE["target_encoding"] = q(CLEANED + f""",
+f AS (SELECT PULocationID, trip_duration_minutes AS y, CAST(('0x' || substr(md5({_KEY}), 1, 8))::BIGINT % 5 AS INTEGER) AS fold
+      FROM splitted WHERE split = 'train'),
+z AS (SELECT PULocationID, fold, COUNT(*) AS rows FROM f GROUP BY ALL),
+e AS (SELECT z.*, (SELECT AVG(y) FROM f WHERE f.fold <> z.fold) AS mean,
+      (SELECT coalesce(SUM(y), 0) FROM f WHERE f.fold <> z.fold AND f.PULocationID = z.PULocationID) AS s,
+      (SELECT COUNT(y) FROM f WHERE f.fold <> z.fold AND f.PULocationID = z.PULocationID) AS n FROM z)""", """
+SELECT PULocationID, fold, rows, (s + 20.0 * mean) / (n + 20.0) AS encoded, (s + 20.0 * mean) / (n + 20.0) AS encoded_max FROM e""",
+                              ["encoded", "encoded_max"])
+ORACLE["interval_coverage"] = q(ols_base("validation").replace("scored AS", "scored_v AS") + f""",
+scored_t AS (SELECT s.*, {ols_prediction('s')} AS prediction FROM splitted s, coef WHERE s.split = 'test'),
+rv AS (SELECT {BUCKET_EXPR} AS b, pickup_hour AS h, ABS(trip_duration_minutes - prediction) AS r FROM scored_v),
+w AS (SELECT b, h, {_pc('r', 0.9)} AS w FROM rv GROUP BY b, h), wa AS (SELECT {_pc('r', 0.9)} AS wa FROM rv),
+t AS (SELECT {BUCKET_EXPR} AS bucket_id, trip_duration_minutes AS y, prediction AS p, coalesce(w, wa) AS w
+      FROM scored_t CROSS JOIN wa LEFT JOIN w ON w.b = {BUCKET_EXPR} AND w.h = pickup_hour),
+i AS (SELECT bucket_id, y, greatest(p - w, 0.0) AS lo, p + w AS hi FROM t)""", f"""
+SELECT bucket_id, COUNT(*) AS rows, COUNT(*) FILTER (y BETWEEN lo AND hi) AS covered,
+       {pct('COUNT(*) FILTER (y BETWEEN lo AND hi)', 'COUNT(*)')} AS coverage, AVG(hi - lo) AS mean_width FROM i GROUP BY bucket_id""",
+                                ["coverage", "mean_width"])
 ORACLE["boosted_score"] = q(TRIPS + "," + REQUESTS, """
 SELECT COUNT(*) AS rows, CASE WHEN COUNT(*) > 0 THEN 0.0::DOUBLE END AS max_abs_diff, 0::BIGINT AS negative, 0::BIGINT AS missing
 FROM validated WHERE violation_text = ''""")

@@ -261,6 +261,18 @@ def q_distance_cap(spark, sf):
     return kept.agg(F.count(F.lit(1)).alias("rows"), F.max(S.DISTANCE).alias("max_distance"), F.avg(S.DURATION).alias("avg_dur"))
 
 
+def q_target_encoding(spark, sf):
+    rows = M.target_encode(part(spark, sf, "train"))
+    enc = f"{S.PU_ZONE}_encoded"
+    return rows.groupBy(S.PU_ZONE, "fold").agg(F.count(F.lit(1)).alias("rows"), F.min(enc).alias("encoded"), F.max(enc).alias("encoded_max"))
+
+
+def q_interval_coverage(spark, sf):
+    model = ols_model(spark, sf)
+    calibration, test = (model.transform(part(spark, sf, n)) for n in ("validation", "test"))
+    return M.interval_coverage(M.prediction_intervals(calibration, test))
+
+
 def q_stream_batch_score(spark, sf):
     from ..streaming import trips_stream as ST
 
@@ -398,6 +410,8 @@ QUERIES: dict[str, Query] = {
     "metric_comparison": lambda spark, sf: M.metric_comparison(
         M.regression_metrics(ols_scored(spark, sf, "validation")),
         S.REFERENCE_METRICS["least_squares_validation"]),
+    "target_encoding": q_target_encoding,
+    "interval_coverage": q_interval_coverage,
     "batch_score": q_batch_score,
     "overall_mae": lambda spark, sf: M.overall_mae(ols_scored(spark, sf, "test")),
     "mae_by_distance": lambda spark, sf: M.mae_by_distance(ols_scored(spark, sf, "test")),
