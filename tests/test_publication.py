@@ -108,3 +108,36 @@ def test_scoring_stream_started_again_doubles_nothing(spark, tmp_path):
     out = run()
     assert out.count() == valid(700) + valid(300)
     assert out.where("prediction < 0").count() == 0
+
+
+def test_no_row_sees_its_own_target(spark):
+    rng = np.random.default_rng(4)
+    rows = [(int(rng.integers(0, 4)) or None, int(k), float(rng.integers(1, 50))) for k in range(200)]
+
+    def encoded(rows):
+        df = spark.createDataFrame(rows, "zone int, k int, y double")
+        return {r.k: (r.zone, r.fold, r.zone_encoded) for r in M.target_encode(df, "zone", "y", folds=4, weight=3, fold_columns=["k"]).collect()}
+
+    got = encoded(rows)
+    for zone, k, _ in rows:
+        fold = got[k][1]
+        others = [(z, y) for z, j, y in rows if got[j][1] != fold]
+        mean = np.mean([y for _, y in others])
+        own = [y for z, y in others if z == zone]
+        assert got[k][2] == pytest.approx((sum(own) + 3 * mean) / (len(own) + 3))
+    changed = encoded([(z, k, 1e6 if k == 7 else y) for z, k, y in rows])
+    assert changed[7] == pytest.approx(got[7]) and changed != got
+
+
+def test_intervals_cover_what_they_promise(spark):
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([(float(d), int(h), float(5 + d + e * (1 + d / 5)), float(5 + d)) for d, h, e in
+                                zip(rng.gamma(2, 4, 8000), rng.integers(0, 3, 8000), rng.normal(0, 1, 8000))],
+                               f"{S.DISTANCE} double, {S.HOUR} int, {S.DURATION} double, prediction double").withColumn("half", F.rand(3) < 0.5)
+    rows = M.prediction_intervals(df.where("half"), df.where("not half"), 0.9)
+    cover = M.interval_coverage(rows).collect()
+    assert sum(r.covered for r in cover) / sum(r.rows for r in cover) == pytest.approx(0.9, abs=0.02)
+    assert rows.where("lower < 0 or upper < lower").count() == 0
+    # A bucket without calibration rows takes the overall width.
+    far = spark.createDataFrame([(500.0, 1, 3.0, 2.0)], f"{S.DISTANCE} double, {S.HOUR} int, {S.DURATION} double, prediction double")
+    assert M.prediction_intervals(df.where("half"), far, 0.9).first().upper > 2
