@@ -24,7 +24,7 @@ from cabmeter.llm.textops import longs, prefix_sums, scramble, span_hash
 SHINGLE = 8
 BANDS, ROWS = 20, 5
 BLOCK_CHARS = 8 << 20
-BLOCK = 256
+BLOCK = 1024
 #: Bits of the bit maps that lines are compared by before their shingles are.
 LEAST_BITS, MOST_BITS = 1 << 9, 1 << 17
 #: Shingle hashes of a block's lines that are held at once.
