@@ -80,7 +80,7 @@ _BOOSTED: dict[tuple, tuple] = {}
 def boosted_model(spark, sf):
     """The 11-feature boosted model, fitted once a session for each input and
     saved: the fitted pipeline and where it was saved."""
-    key = (spark.sparkContext.applicationId, sf.rstrip("/"))
+    key = (spark, sf.rstrip("/"))
     if key not in _BOOSTED:
         model = M.fit_boosted_11(part(spark, sf, "train"))
         path = scratch_path(spark, "boosted_11")
