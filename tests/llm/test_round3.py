@@ -293,3 +293,54 @@ def test_all_operators_run_where_executors_lack_the_package(tmp_path):
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
     names = {line.split()[1] for line in done.stdout.splitlines() if line.startswith("RAN")}
     assert names == {n for n in entry.queries() if n.startswith("op")}, done.stderr[-3000:]
+
+
+# Personal data ----------------------------------------------------------------
+
+def test_pii_places_and_context_of_crowded_texts(spark):
+    from cabmeter.llm.pii import CONTEXT, CONTEXT_CHARS, SCORES, detect_pii
+
+    rng = random.Random(5)
+    parts = ["a@b.c", "mail me@x.org", "+49 30 123456789", "1.2.3.4", "999.1.1.1", "host 10.0.0.1", "visa 4111111111111111",
+             "4111 1111 1111 1112", "iban DE89370400440532013000", "123-45-6789", "ssn", "\n", "𝄞", "é", "@", ".", "+"]
+    rows = [(i, "".join(rng.choice(parts) + rng.choice(["", " ", ","]) for _ in range(rng.randint(0, 60)))) for i in range(300)]
+    found = detect_pii(spark.createDataFrame(rows + [(900, None), (901, "")], "doc_id long, text string")).collect()
+    assert sum(len(r.pii) for r in found) > 1000
+    for r in found:
+        for s in r.pii:
+            assert r.text[s.start:s.end] == s.value
+            before = r.text[max(s.start - CONTEXT_CHARS, 0): s.start]
+            near = re.search(CONTEXT[s.kind], before)
+            assert s.score == round(SCORES[s.kind] + (0.2 if near else 0), 2)
+        assert [s.start for s in r.pii] == sorted(s.start for s in r.pii)
+        mails = [m.span() for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r.text or "")]
+        assert [(s.start, s.end) for s in r.pii if s.kind == "email"] == mails
+
+
+def test_pii_of_one_text_with_many_matches(spark):
+    from pyspark.sql import functions as F
+
+    from cabmeter.llm.pii import detect_pii
+
+    n = 50_000
+    text = "".join(f"call +49 30 {i:07d}\n" for i in range(n))
+    got = detect_pii(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    row = got.select(F.size("pii").alias("n"), F.element_at("pii", -1)["start"].alias("at")).first()
+    assert (row.n, row.at) == (n, 20 * (n - 1) + 5)
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+
+    from cabmeter.llm.pii import running_sums
+
+    for n in (0, 1, 2, 3, 7, 8, 9, 100):
+        numbers = spark.range(1).select(F.transform(F.slice(F.sequence(F.lit(1), F.lit(200)), F.lit(1), F.lit(n)), lambda v: (v * 7 % 11).cast("int")).alias("v"))
+        row = numbers.select("v", running_sums(F.col("v")).alias("s")).first()
+        assert row.s == list(itertools.accumulate(row.v))
+
+
+def test_pii_of_an_empty_table(spark):
+    from cabmeter.llm.pii import detect_pii
+
+    assert detect_pii(_docs(spark, [])).count() == 0
