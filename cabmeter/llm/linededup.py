@@ -350,6 +350,39 @@ def _cross(size: int, percent: int):
     return work
 
 
+def block_pairs(members: DataFrame, block: int) -> DataFrame:
+    """``(key, name, comp, i, j, side)`` from members (key, name, size, comp)
+    of buckets: the block pairs in which every two members of a bucket meet
+    that are in different components.
+
+    A bucket of at most ``block`` members is one block.  In a greater one the
+    members of the largest component (blocks i < 0) meet only those outside
+    it, and those meet each other: with a bounded number outside, the rows
+    grow with the bucket and not with its square.
+    """
+    tally = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
+    largest = tally.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("main")).select("key", F.col("main.n").alias("n_main"), F.col("main.comp").alias("c_main"))
+
+    def blocks(n):
+        return F.ceil(n / F.lit(block)).cast("int")
+
+    def part(n):
+        return F.pmod(F.xxhash64("name"), blocks(n)).cast("int")
+
+    def pair(i, j, side):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), side.cast("int").alias("side"))
+
+    n_main, n_out = F.col("n_main"), F.col("size") - F.col("n_main")
+    zero, one, own = F.lit(0), F.lit(1), F.col("own")
+    inside = F.transform(F.sequence(zero, blocks(n_out) - 1), lambda o: pair(-1 - own, o, zero))
+    outside = F.concat(F.transform(F.sequence(zero, blocks(n_main) - 1), lambda m: pair(-1 - m, own, one)),
+                       F.transform(F.sequence(zero, blocks(n_out) - 1), lambda o: pair(F.least(own, o), F.greatest(own, o), own > o)))
+    is_main = F.col("comp") == F.col("c_main")
+    pairs = F.when(F.col("size") <= block, F.array(pair(zero, zero, zero))).when(is_main, inside).otherwise(outside)
+    return (members.join(largest, "key").withColumn("own", F.when(is_main, part(n_main)).otherwise(part(n_out)))
+            .select("key", "name", "comp", F.explode(pairs).alias("at")).select("key", "name", "comp", "at.i", "at.j", "at.side"))
+
+
 def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: int) -> DataFrame:
     """``(id, fingerprint, gone)``: the numbers of the lines of each row that
     another line of the corpus stands for."""
@@ -374,11 +407,7 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     split = label.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
     open_ = written(label.where("size > 2").join(split, "key"), "open")
     if not open_.isEmpty():
-        blocks = F.ceil(F.col("size") / F.lit(BLOCK)).cast("int")
-        own = F.pmod(F.xxhash64("name"), blocks).cast("int")
-        rest = (open_.select("key", "name", "comp", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("o"))
-                .select("key", "name", "comp", F.least("own", "o").alias("i"), F.greatest("own", "o").alias("j"), (F.col("own") > F.col("o")).cast("int").alias("side"))
-                .join(bodies, "name"))
+        rest = block_pairs(open_, BLOCK).join(bodies, "name")
         dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
         more = written(dealt.select("key", "i", "j", "side", "name", "comp", "body").mapInArrow(_cross(size, percent), "a long, b long").distinct(), "links")
         if not more.isEmpty():

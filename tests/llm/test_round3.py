@@ -344,3 +344,69 @@ def test_pii_of_an_empty_table(spark):
     from cabmeter.llm.pii import detect_pii
 
     assert detect_pii(_docs(spark, [])).count() == 0
+
+
+# Lines ------------------------------------------------------------------------
+
+@pytest.mark.parametrize("block", [1, 3, 100])
+def test_block_pairs_meet_whatever_is_not_joined(spark, block):
+    from cabmeter.llm.linededup import block_pairs
+
+    rng = random.Random(block)
+    members = [(key, 100 * key + i, size, rng.choice([1, 1, 1, 1, 2, 3, i + 10])) for key, size in ((1, 3), (2, 12), (3, 30)) for i in range(size)]
+    members += [(4, 400 + i, 40, 7 if i else 8) for i in range(40)]
+    rows = block_pairs(spark.createDataFrame(members, "key long, name long, size long, comp long"), block).collect()
+    groups = defaultdict(list)
+    for r in rows:
+        groups[r.key, r.i, r.j].append(r)
+    met = Counter()
+    for (key, i, j), held in groups.items():
+        for a, b in itertools.combinations(held, 2):
+            if (i == j or a.side != b.side) and a.comp != b.comp:
+                met[key, *sorted((a.name, b.name))] += 1
+    expected = {(a[0], *sorted((a[1], b[1]))) for a, b in itertools.combinations(members, 2) if a[0] == b[0] and a[3] != b[3]}
+    assert set(met) == expected and set(met.values()) <= {1}
+    if block == 3:  # one member outside the main component: 39 rows and one for each of their blocks
+        assert sum(r.key == 4 for r in rows) <= 39 + 13 + 1
+
+
+def test_lines_in_small_blocks_are_those_of_brute_force(spark, monkeypatch):
+    from cabmeter.llm import linededup
+
+    rng = random.Random(11)
+    base = "".join(rng.choice("abcdefghij ") for _ in range(150))
+    lines = []
+    for k in range(60):
+        line = list(base)
+        for _ in range(k % 4):
+            line[rng.randrange(len(line))] = rng.choice("xyz")
+        lines.append("".join(line))
+    lines += ["".join(rng.choice("klmnop ") for _ in range(150)).strip() for _ in range(5)]
+    rows = [(i, "\n".join(rng.sample(lines, 6)) + "\n\nÄ\n") for i in range(20)]
+    rows += [(30, None), (31, ""), rows[4], (None, lines[0])]
+
+    def shingles(line):
+        return {line[i: i + 8] for i in range(max(len(line) - 7, 1))}
+
+    spots = sorted({(i, n, line.strip().lower()) for i, text in rows if i is not None for n, line in enumerate((text or "").split("\n")) if line.strip()})
+    sets = {line: shingles(line) for _, _, line in spots}
+    root = {line: line for line in sets}
+
+    def top(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(sets, 2):
+        if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+            root[top(a)] = top(b)
+    first = {}
+    for i, n, line in spots:
+        first.setdefault(top(line), (i, n))
+    gone = Counter(i for i, n, line in spots if first[top(line)] != (i, n))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (2, 1024):
+        monkeypatch.setattr(linededup, "BLOCK", block)
+        got = linededup.line_dedup(docs).collect()
+        assert len(got) == len(rows)
+        assert {(r.doc_id, r.removed_lines) for r in got if r.doc_id is not None} == {(i, gone[i]) for i, _ in rows if i is not None}
