@@ -118,17 +118,56 @@ def fit_boosted_11(train: DataFrame, **kw) -> PipelineModel:
     return fit_boosted(train, S.BOOSTED_NUMERIC, S.BOOSTED_CATEGORICAL_11, **kw)
 
 
+BITMAP_VALUES = 1 << 15  # values of one of Spark's bitmaps
+
+
+def distinct_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
+    """Exact COUNT(DISTINCT) of many columns without a copy of the rows for
+    each.
+
+    One scan gives each column's bounds, whether its values are all whole
+    numbers, and a distinct sketch.  Whole numbers that span less than 32,768
+    are then counted in a bitmap of 4 KB, which merges like a sum; a column
+    with one value needs none.  Only the columns that are left (wide or
+    fractional) are counted by their values, one aggregate each."""
+    kinds = dict(df.select(*columns).dtypes)
+    numeric = [c for c in columns if kinds[c] in ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean") or kinds[c].startswith("decimal")]
+    value = {c: F.col(f"`{c}`").cast("double") for c in numeric}
+    whole = {c: F.coalesce(F.bool_and((F.floor(v) == v) & (F.abs(v) < float(1 << 52))), F.lit(True)) for c, v in value.items()}
+    bounds = df.agg(F.count(F.lit(1)).alias("rows"), *[e.alias(f"{k}{i}") for i, c in enumerate(numeric)
+                                                       for k, e in (("lo", F.min(value[c])), ("hi", F.max(value[c])), ("w", whole[c]))]).first()
+    out, mapped = {}, {}
+    for i, c in enumerate(numeric):
+        lo, hi = bounds[f"lo{i}"], bounds[f"hi{i}"]
+        if lo is None:
+            out[c] = 0
+        elif lo == hi:
+            out[c] = 1
+        elif bounds[f"w{i}"] and hi - lo < BITMAP_VALUES:
+            mapped[c] = lo
+    if mapped:
+        row = df.agg(*[F.bitmap_count(F.bitmap_construct_agg((value[c] - F.lit(lo)).cast("long"))).alias(f"d{i}")
+                       for i, (c, lo) in enumerate(mapped.items())]).first()
+        out.update(zip(mapped, row))
+    for c in columns:
+        if c not in out:
+            out[c] = df.agg(F.count_distinct(F.col(f"`{c}`"))).first()[0]
+    return {c: int(out[c]) for c in columns}
+
+
 def feature_cardinality(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
                         categorical: Sequence[str] = S.BOOSTED_CATEGORICAL_12,
                         max_bins: int = S.BOOST_BINS, approximate: bool = False) -> DataFrame:
     """Distinct values per feature, flagged when constant in training or
-    when a categorical has more values than ``max_bins``."""
+    when a categorical has more values than ``max_bins``.  Exact by
+    ``distinct_counts``, or with ``approximate`` by one pass of sketches."""
     feats = list(numeric) + list(categorical)
-    cnt = F.approx_count_distinct if approximate else F.count_distinct
-    agg = train.agg(*[cnt(F.col(c)).alias(f"d{i}") for i, c in enumerate(feats)])
-    rows = ", ".join(f"{i + 1}, '{c}', '{'categorical' if c in categorical else 'numeric'}', d{i}"
-                     for i, c in enumerate(feats))
-    long = agg.selectExpr(f"stack({len(feats)}, {rows}) AS (position, feature, kind, distinct_values)")
+    if approximate:
+        counts = train.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in feats]).first().asDict()
+    else:
+        counts = distinct_counts(train, feats)
+    rows = [(i + 1, c, "categorical" if c in categorical else "numeric", counts[c]) for i, c in enumerate(feats)]
+    long = train.sparkSession.createDataFrame(rows, "position INT, feature STRING, kind STRING, distinct_values BIGINT")
     return long.select(
         "position", "feature", "kind", "distinct_values",
         (F.col("distinct_values") <= 1).alias("constant_in_train"),
@@ -303,3 +342,83 @@ def interval_coverage(rows: DataFrame, label: str = S.DURATION, distance: str =
         F.count(F.lit(1)).alias("rows"), F.count_if(y.between(F.col("lower"), F.col("upper"))).alias("covered"),
         F.avg(F.col("upper") - F.col("lower")).alias("mean_width"))
     return out.select("bucket_id", "rows", "covered", C.pct(F.col("covered"), F.col("rows")).alias("coverage"), "mean_width")
+
+
+def rolling_folds(months: Sequence[int], least: int, ahead: int = 1, step: int = 1) -> list[tuple[list[int], list[int]]]:
+    """Rolling-origin folds over distinct months (any ascending numbers): all
+    months before an origin train, the ``ahead`` months from it on validate.
+    The first origin has ``least`` months before it."""
+    months = sorted(months)
+    return [(months[:k], months[k: k + ahead]) for k in range(least, len(months) - ahead + 1, step)]
+
+
+def _moments(df: DataFrame, features: Sequence[str], target: str) -> dict:
+    """For each month (year * 12 + month - 1): rows, and sums of all products
+    of two of (1, features, target), as one matrix.  One aggregate, whose
+    result has a row a month."""
+    import numpy as np
+
+    cols = [F.lit(1.0)] + [F.col(c).cast("double") for c in features] + [F.col(target).cast("double")]
+    kept = df.select((F.col(S.YEAR) * 12 + F.col(S.MONTH) - 1).cast("long").alias("_month"), *[c.alias(f"c{i}") for i, c in enumerate(cols)])
+    kept = kept.na.drop()
+    k = len(cols)
+    places = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = kept.groupBy("_month").agg(*[F.sum(F.col(f"c{i}") * F.col(f"c{j}")).alias(f"s{i}_{j}") for i, j in places])
+    out = {}
+    for row in sums.collect():  # a row for each month of the calendar
+        matrix = np.zeros((k, k))
+        for i, j in places:
+            matrix[i, j] = matrix[j, i] = row[f"s{i}_{j}"]
+        out[int(row["_month"])] = matrix
+    return out
+
+
+def _ridge(moments, penalty: float):
+    """Intercept and weights of ridge regression on scaled features, from the
+    moments: the penalty is per row and on weights of unit-variance features;
+    a constant feature has weight 0."""
+    import numpy as np
+
+    n, mean = moments[0, 0], moments[0, 1:] / moments[0, 0]
+    cov = moments[1:, 1:] / n - np.outer(mean, mean)
+    scale = np.sqrt(np.maximum(np.diag(cov)[:-1], 0.0))
+    live = scale > 1e-9 * np.maximum(np.abs(mean[:-1]), 1.0)
+    weights = np.zeros(len(scale))
+    if live.any():
+        s = scale[live]
+        a = cov[:-1, :-1][np.ix_(live, live)] / np.outer(s, s)
+        b = cov[:-1, -1][live] / s
+        weights[live] = np.linalg.lstsq(a + penalty * np.eye(len(s)), b, rcond=1e-10)[0] / s
+    return np.concatenate(([mean[-1] - weights @ mean[:-1]], weights))
+
+
+def temporal_search(df: DataFrame, penalties: Sequence[float] = (0.0, 0.001, 0.01, 0.1, 1.0),
+                    features: Sequence[str] = S.OLS_FEATURES, target: str = S.DURATION,
+                    least: int = 6, ahead: int = 1, step: int = 1) -> DataFrame:
+    """A search for the penalty of ridge regression by rolling-origin folds:
+    one row a fold and penalty with the RMSE on the fold's validation months,
+    and ``mean_rmse`` and ``chosen`` (the least mean, ties: the first penalty).
+
+    Training months of a fold all lie before its validation months.  Sums of
+    products by month are enough for every fit and every squared error, so the
+    whole search is one scan, whatever the number of folds and penalties; the
+    driver holds one small matrix a month.  Rows with a missing value are left
+    out.  Fewer than ``least + ahead`` months give no rows."""
+    import numpy as np
+
+    by_month = _moments(df, features, target)
+    rows = []
+    for fold, (train, check) in enumerate(rolling_folds(list(by_month), least, ahead, step)):
+        fitted = sum(by_month[m] for m in train)
+        held = sum(by_month[m] for m in check)
+        for place, penalty in enumerate(penalties):
+            error = np.append(_ridge(fitted, penalty), -1.0)
+            rmse = float(np.sqrt(max(error @ held @ error, 0.0) / held[0, 0]))
+            rows.append((fold, train[0], train[-1], check[0], check[-1], int(fitted[0, 0]), int(held[0, 0]), place, float(penalty), rmse))
+    schema = ("fold INT, train_from BIGINT, train_to BIGINT, check_from BIGINT, check_to BIGINT, train_rows BIGINT, check_rows BIGINT, "
+              "place INT, penalty DOUBLE, rmse DOUBLE")
+    table = df.sparkSession.createDataFrame(rows, schema)
+    mean = table.groupBy("place").agg(F.avg("rmse").alias("mean_rmse"))
+    best = mean.agg(F.min_by("place", F.struct("mean_rmse", "place"))).scalar()
+    return (table.join(F.broadcast(mean), "place").withColumn("chosen", F.col("place") == best)
+            .select(*[c.split()[0] for c in schema.split(", ") if not c.startswith("place")], "mean_rmse", "chosen"))

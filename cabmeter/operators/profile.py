@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from .. import schema as S
 from ..functions import columns as C
 from ..functions.quantiles import attach, quantiles
+from ..session import scratch_path
 
 PROFILE_PROBS = [0.01, 0.25, 0.5, 0.75, 0.95, 0.99]
 PROFILE_NAMES = ["p01", "p25", "median", "p75", "p95", "p99"]
@@ -127,6 +128,44 @@ def duplicate_groups(df: DataFrame, n: int = 5, cols: Sequence[str] | None = Non
     return g.orderBy(F.col("cnt").desc(), *[F.col(f"`{c}`").asc_nulls_first() for c in cols]).limit(n)
 
 
+def row_print(cols: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes (``_p1``, ``_p2``) of the columns' values.  Which are
+    NULL is hashed with them, since Spark's hash passes NULLs over."""
+    held = [F.col(f"`{c}`") for c in cols]
+    nulls = [c.isNull() for c in held]
+    return [F.xxhash64(*nulls, *held).alias("_p1"), F.xxhash64(F.lit(1), *held[::-1], *nulls).alias("_p2")]
+
+
+def repeated_rows(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """The all-column groups of two rows or more, with their size ``cnt``.
+
+    Made for wide rows that seldom repeat: the first pass shuffles 16 bytes a
+    row (and ``by``) instead of the columns, and writes the prints that occur
+    twice; only rows with such a print are then grouped by the columns
+    themselves, so two rows that merely share a print stay apart.  The written
+    table has a known size, by which Spark broadcasts it or shuffles."""
+    by = list(by)
+    cols = list(cols or [c for c in df.columns if c not in by])
+    rows = df.select(*by, *[F.col(f"`{c}`") for c in cols], *row_print([*by, *cols]))
+    prints = rows.groupBy("_p1", "_p2").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_p1", "_p2")
+    path = scratch_path(df.sparkSession, "row_prints")
+    prints.write.parquet(path)
+    shared = df.sparkSession.read.schema(prints.schema).parquet(path)
+    return _group_counts(rows.join(shared, ["_p1", "_p2"], "left_semi").drop("_p1", "_p2"), cols, by).where(F.col("cnt") > 1)
+
+
+def duplicate_count_wide(df: DataFrame, cols: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """``duplicate_count`` for wide rows, by ``repeated_rows``; each value of
+    ``by`` has a row, with or without duplicates."""
+    by = list(by)
+    groups = repeated_rows(df, cols, by).groupBy(*by).agg(F.sum(F.col("cnt") - 1).alias("_surplus"), F.count(F.lit(1)).alias("_groups"))
+    total = df.groupBy(*by).agg(F.count(F.lit(1)).alias("total_rows"))
+    out = attach(total, groups, by)
+    surplus = F.coalesce(F.col("_surplus"), F.lit(0)).cast("long")
+    return out.select(*by, surplus.alias("duplicate_rows"), F.coalesce(F.col("_groups"), F.lit(0)).cast("long").alias("duplicate_groups"),
+                      "total_rows", C.pct(surplus, F.col("total_rows")).alias("duplicate_pct"))
+
+
 def duplicate_reconcile(df: DataFrame, split_col: str = "split",
                         cols: Sequence[str] | None = None) -> DataFrame:
     """Duplicates of the whole table against the sum over its splits."""

@@ -720,6 +720,12 @@ ORACLE["rule_overlap"] = q(TRIPS + f", flags AS (SELECT {_FLAGS} FROM trips), co
 ORACLE["distance_cap"] = q(TRIPS, f"""
 SELECT COUNT(*) AS rows, MAX(trip_distance) AS max_distance, AVG(trip_duration_minutes) AS avg_dur FROM trips
 WHERE trip_distance <= (SELECT {_pc('trip_distance', 0.999)} FROM trips)""", ["max_distance", "avg_dur"])
+_SURPLUS = "COALESCE(SUM(CASE WHEN cnt > 1 THEN cnt - 1 END), 0)"
+_DUPLICATES = f"""CAST({_SURPLUS} AS BIGINT) AS duplicate_rows, COUNT(*) FILTER (WHERE cnt > 1) AS duplicate_groups,
+       CAST(SUM(cnt) AS BIGINT) AS total_rows, {pct(_SURPLUS, 'SUM(cnt)')} AS duplicate_pct"""
+ORACLE["duplicate_count_wide"] = q(TRIPS, f"SELECT {_DUPLICATES} FROM (SELECT *, COUNT(*) AS cnt FROM trips GROUP BY ALL)", ["duplicate_pct"])
+ORACLE["duplicate_count_wide_by_year"] = q(DUP, f"""
+SELECT ship_year, {_DUPLICATES} FROM (SELECT *, COUNT(*) AS cnt FROM dup GROUP BY ALL) GROUP BY ship_year""", ["duplicate_pct"])
 ORACLE["unusual_values_found"] = f"SELECT * FROM ({ORACLE['unusual_values']}) WHERE rows_matched > 0"
 ORACLE["write_scored"] = q(ols_base("test"), """
 SELECT trip_duration_minutes AS y_true, prediction AS y_pred, trip_distance, pickup_hour FROM scored""", ["y_true", "y_pred", "trip_distance"])

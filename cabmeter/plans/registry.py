@@ -361,6 +361,8 @@ QUERIES: dict[str, Query] = {
     "long_haul_distribution": _q(P.long_haul_distribution, cleaned),
     "duplicate_count": lambda spark, sf: P.duplicate_count(TR.dup_trips(spark, sf)),
     "duplicate_groups": lambda spark, sf: P.duplicate_groups(TR.dup_trips(spark, sf)),
+    "duplicate_count_wide": lambda spark, sf: P.duplicate_count_wide(trips(spark, sf)),
+    "duplicate_count_wide_by_year": lambda spark, sf: P.duplicate_count_wide(TR.dup_trips(spark, sf), by=["ship_year"]),
     "duplicate_reconcile": lambda spark, sf: P.duplicate_reconcile(
         SP.temporal_split(TR.dup_trips(spark, sf), (1995, 1), (1997, 1), None, None,
                           year="ship_year", month="ship_month")),
@@ -410,6 +412,7 @@ QUERIES: dict[str, Query] = {
     "metric_comparison": lambda spark, sf: M.metric_comparison(
         M.regression_metrics(ols_scored(spark, sf, "validation")),
         S.REFERENCE_METRICS["least_squares_validation"]),
+    "temporal_search": lambda spark, sf: M.temporal_search(part(spark, sf, "train"), least=24, step=3),
     "target_encoding": q_target_encoding,
     "interval_coverage": q_interval_coverage,
     "batch_score": q_batch_score,
