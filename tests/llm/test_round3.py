@@ -410,3 +410,45 @@ def test_lines_in_small_blocks_are_those_of_brute_force(spark, monkeypatch):
         got = linededup.line_dedup(docs).collect()
         assert len(got) == len(rows)
         assert {(r.doc_id, r.removed_lines) for r in got if r.doc_id is not None} == {(i, gone[i]) for i, _ in rows if i is not None}
+
+
+def test_merged_sketches_never_under_the_count():
+    from cabmeter.llm.substringdedup import estimated_repeats, merged_sketch, partial_sketch, section_of
+
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 2**64, 400, dtype=np.uint64)
+    parts = [np.concatenate([rng.choice(pool, n), rng.integers(0, 2**64, n, dtype=np.uint64)]) for n in (0, 1, 60, 300, 2000)]
+    counts = Counter(np.concatenate(parts).tolist())
+    for sections, bits in ((1, 4), (3, 10), (7, 12)):
+        sent = [partial_sketch(p, sections, bits) for p in parts]
+        answers = [{} for _ in parts]
+        for s in range(sections):
+            holders = [k for k, bodies in enumerate(sent) if s in bodies]
+            for k, body in zip(holders, merged_sketch([sent[k][s] for k in holders], bits)):
+                answers[k][s] = body
+        for p, answer in zip(parts, answers):
+            maybe = estimated_repeats(p, sections, bits, answer)
+            assert all(m for key, m in zip(p.tolist(), maybe.tolist()) if counts[key] > 1)
+            if bits == 12 and len(p) > 1000:
+                assert not maybe[[counts[key] == 1 for key in p.tolist()]].all()
+    keys = np.sort(parts[-1])
+    assert (np.diff(section_of(keys, 7)) >= 0).all() and set(section_of(keys, 7).tolist()) == set(range(7))
+
+
+@pytest.mark.parametrize("block_bytes, section_bytes", [(64, 128), (1 << 20, 1 << 20)])
+def test_substrings_over_many_blocks(spark, block_bytes, section_bytes):
+    from cabmeter.llm.substringdedup import substring_dedup
+
+    rng = random.Random(8)
+    words, size = ["a", "b", "é", "longer"], 4
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 12))) for _ in range(60)] + [None, "", " \t\n", "solo one two three four five"]
+    rows = list(enumerate(texts)) + [(3, texts[3]), (3, texts[4]), (None, texts[5]), (None, "a b a b a b a b")]
+    seen = Counter(tuple(t.split()[k:k + size]) for i, t in rows if i is not None and t for k in range(len(t.split()) - size + 1))
+    expected = []
+    for i, t in rows:
+        w = (t or "").split()
+        gone = {k + j for k in range(len(w) - size + 1) if i is not None and seen[tuple(w[k:k + size])] > 1 for j in range(size)}
+        expected.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    df = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, block int, id string").repartition(3)
+    got = [tuple(r) for r in substring_dedup(df, size, block_bytes=block_bytes, section_bytes=section_bytes).collect()]
+    assert Counter(got) == Counter(expected)
