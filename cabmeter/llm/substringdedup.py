@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from cabmeter.llm.repeats import count_exactly, named_texts, pack_positions, unpack_positions
 from cabmeter.llm.textops import prefix_sums, row_chunks, scramble, span_hash, utf8, word_hashes, word_spans
 
-BLOCK_BYTES, SECTION_BYTES, TASK_BYTES = 4 << 20, 16 << 20, 32 << 20
+BLOCK_BYTES, SECTION_BYTES, TASK_BYTES = 2 << 20, 32 << 20, 32 << 20
 DEPTH = 2
 ANSWERS = "section int, block long, body binary"
 
@@ -278,14 +278,15 @@ def substring_dedup(df: DataFrame, size: int = 35, id_col: str = "doc_id", text_
 
     block_bytes and section_bytes: text that a block and a section of the
     sketch stand for, so their numbers grow with the input and their sizes do
-    not.  A row of the sketch has a counter or more for each byte of text.
+    not; a small input has smaller sections, one for each task.  A row of the
+    sketch has a counter or more for each byte of text.
     """
     docs = named_texts(df, id_col, text_col)
     total = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(least, -(-total // TASK_BYTES))
-    sections = max(2 * least, -(-total // section_bytes))
-    blocks = max(4 * tasks, -(-total // block_bytes))
+    tasks = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // TASK_BYTES))
+    blocks = -(-total // block_bytes) or 1
+    # A block sends a row to each section, so a small input has no more sections than tasks.
+    sections = max(min(tasks, blocks), -(-total // section_bytes))
     bits = max(10, int(total // sections).bit_length())
     # The partition as salt: rows that repeat id and text are parted, too.
     block = F.pmod(F.xxhash64("id", "fingerprint", F.spark_partition_id()), F.lit(blocks))
