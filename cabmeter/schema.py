@@ -121,22 +121,22 @@ MONTH_SHORT = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
                "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 LONG_HAUL_LABELS = {0: "standard", 1: "long haul"}
 
-# Distance groups of the EDA (upper bound exclusive; last one open).
+# Distance groups of the EDA (fixed values; upper bound exclusive, last one open).
 DISTANCE_GROUPS = [(1.0, "< 1 mi"), (2.0, "1-2 mi"), (3.0, "2-3 mi"),
                    (5.0, "3-5 mi"), (10.0, "5-10 mi"), (20.0, "10-20 mi"),
                    (None, "20+ mi")]
 
-# Error-analysis distance buckets: inner edges and labels.
+# Error-analysis distance buckets: inner edges and labels (fixed values).
 ERROR_BUCKET_EDGES = [1.0, 2.0, 3.0, 5.0, 8.0, 12.0, 20.0, 50.0]
 ERROR_BUCKET_LABELS = ["0–1", "1–2", "2–3", "3–5", "5–8", "8–12", "12–20",
                        "20–50", "50+"]
 
-# Time-of-day bands: (first hour, last hour, label).
+# Time-of-day bands (fixed values): first hour, last hour, label.
 TIME_BANDS = [(0, 5, "Night (0–5)"), (6, 9, "Morning rush (6–9)"),
               (10, 15, "Midday (10–15)"), (16, 19, "Evening rush (16–19)"),
               (20, 23, "Evening (20–23)")]
 
-# Outlier groups of the drill-down: (id, label, verdict).
+# Outlier groups of the drill-down (fixed values): id, label, verdict.
 OUTLIER_GROUPS = [
     (1, "Duration < 1 min", "A - Remove"),
     (2, "Duration 1-2 min", "C - Decide"),
@@ -146,7 +146,7 @@ OUTLIER_GROUPS = [
     (6, "Passenger count > 6", "A - Remove"),
 ]
 
-# Unusual-value checks of the EDA, in report order.
+# Unusual-value checks of the EDA, in report order (fixed values).
 UNUSUAL_CHECK_LABELS = [
     "Duration < 1 min (likely invalid)",
     "Duration > 120 min (very long)",
@@ -158,7 +158,7 @@ UNUSUAL_CHECK_LABELS = [
 ]
 
 # ---------------------------------------------------------------------------
-# Model feature lists.
+# Model feature lists (fixed values).
 # ---------------------------------------------------------------------------
 OLS_FEATURES = [DISTANCE, PASSENGERS, HOUR, DOW, MONTH]
 BOOSTED_NUMERIC = [DISTANCE, PASSENGERS, HOUR, WEEKEND, LONG_HAUL, PU_ZONE,
