@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from cabmeter.llm.components import components
 from cabmeter.llm.repeats import hit_mask, named_texts, repeated
-from cabmeter.llm.tables import drop_written, partitions, written
-from cabmeter.llm.textops import longs, prefix_sums, scramble, span_hash
+from cabmeter.llm.tables import arrow_rows, drop_written, partitions, written
+from cabmeter.llm.textops import GOLDEN, longs, prefix_sums, scramble, span_hash
 
 SHINGLE = 8
 BANDS, ROWS = 20, 5
@@ -29,6 +29,13 @@ BLOCK = 1024
 LEAST_BITS, MOST_BITS = 1 << 9, 1 << 17
 #: Shingle hashes of a block's lines that are held at once.
 SET_HASHES = 1 << 22
+#: Rows of a batch that a Python worker is sent.
+BATCH_ROWS = 4096
+#: Characters of buckets' lines whose bit maps are made at once.
+MAP_CHARS = 1 << 20
+#: Attempts to fill empty bins one by one, and empty bins looked up at once.
+QUICK_ATTEMPTS, FILLED_AT_ONCE = 3, 1 << 13
+_turn_tables: dict[int, np.ndarray] = {}
 LINES = "id long, fingerprint long, line int, name long, keys array<long>, body string"
 
 
@@ -56,9 +63,27 @@ def char_shingles(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray,
     return scramble(span_hash(sums, at, at + take) + take.astype(np.uint64), 52), np.repeat(np.arange(len(lines)), runs), names
 
 
+def _turns(bins: int) -> np.ndarray:
+    """At which attempt (from 1) an empty bin (row) first asks each bin
+    (column)."""
+    if bins not in _turn_tables:
+        out, attempt = np.zeros((bins, bins), np.int32), 0
+        column = np.arange(bins)
+        while not out.all():
+            attempt += 1
+            source = (scramble((column + bins * attempt).astype(np.uint64), 55) % np.uint64(bins)).astype(np.int64)
+            fresh = out[column, source] == 0
+            out[column[fresh], source[fresh]] = attempt
+        _turn_tables[bins] = out
+    return _turn_tables[bins]
+
+
 def minhash(shingles: np.ndarray, owner: np.ndarray, sets: int, bins: int) -> np.ndarray:
     """One-permutation MinHash (sets x bins) of sets that are not empty: the
-    least hash in each bin; an empty bin takes another's by a fixed order."""
+    least hash in each bin; an empty bin takes another's by a fixed order.
+
+    Most empty bins find a full one in a few attempts; those of short lines
+    look up which of the full bins they ask first."""
     none = np.iinfo(np.uint64).max
     least = np.full(sets * bins, none, np.uint64)
     high = shingles >> np.uint64(32)
@@ -68,13 +93,19 @@ def minhash(shingles: np.ndarray, owner: np.ndarray, sets: int, bins: int) -> np
     full = least != none
     filled = least.copy()
     row, column = np.nonzero(~full)
-    attempt = 0
-    while len(row):
-        attempt += 1
+    for attempt in range(1, QUICK_ATTEMPTS + 1):
         source = (scramble((column + bins * attempt).astype(np.uint64), 55) % np.uint64(bins)).astype(np.int64)
         found = full[row, source]
         filled[row[found], column[found]] = scramble(least[row[found], source[found]], 56 + (attempt & 1023))
         row, column = row[~found], column[~found]
+    turns = _turns(bins) if len(row) else None
+    for lo in range(0, len(row), FILLED_AT_ONCE):
+        r, c = row[lo: lo + FILLED_AT_ONCE], column[lo: lo + FILLED_AT_ONCE]
+        turn = np.where(full[r], turns[c], np.iinfo(turns.dtype).max)
+        source = turn.argmin(axis=1)
+        attempt = turn[np.arange(len(r)), source]
+        salt = (56 + (attempt & 1023)).astype(np.uint64) * np.uint64(GOLDEN)
+        filled[r, c] = scramble(least[r, source] + salt)
     return filled
 
 
@@ -96,22 +127,30 @@ def _band_keys(lines: list[str], size: int, bands: int, rows: int) -> tuple[np.n
 
 def _key_blocks(size: int, bands: int, rows: int):
     def blocks(batches):
+        ids, counts, lines, held = [], [], [], 0
+
+        def block():
+            place = {line: k for k, line in enumerate(dict.fromkeys(lines))}
+            keys = _band_keys(list(place), size, bands, rows)[1][[place[line] for line in lines]] if lines else np.zeros(0, np.uint64)
+            return np.concatenate(ids), np.array(counts), keys.ravel(), None
+
         for batch in batches:
             names = np.column_stack((longs(batch.column(0))[0], longs(batch.column(1))[0]))
-            texts = batch.column(2).to_pylist()
             lo = 0
-            while lo < len(texts):
-                hi, held, lines, counts = lo, 0, [], []
-                while hi < len(texts) and (held < BLOCK_CHARS or hi == lo):
-                    own = [line for line in normal_lines(texts[hi]) if line]
-                    lines += own
-                    counts.append(len(own) * bands)
-                    held += len(texts[hi] or "")
-                    hi += 1
-                place = {line: k for k, line in enumerate(dict.fromkeys(lines))}
-                keys = _band_keys(list(place), size, bands, rows)[1][[place[line] for line in lines]] if lines else np.zeros(0, np.uint64)
-                yield names[lo:hi], np.array(counts), keys.ravel(), None
-                lo = hi
+            for hi, text in enumerate(batch.column(2), 1):
+                body = text.as_py()
+                own = [line for line in normal_lines(body) if line]
+                lines += own
+                counts.append(len(own) * bands)
+                held += len(body or "")
+                if held >= BLOCK_CHARS:
+                    ids.append(names[lo:hi])
+                    yield block()
+                    ids, counts, lines, held, lo = [], [], [], 0, hi
+            if lo < len(names):
+                ids.append(names[lo:])
+        if counts:
+            yield block()
 
     return blocks
 
@@ -274,11 +313,11 @@ def confirmed(pairs: DataFrame, bodies: DataFrame, size: int, percent: int) -> D
             .select("a", "b", "one", "two").mapInArrow(_confirm(size, percent), "a long, b long"))
 
 
-def _cross_block(comp, side, bodies: list[str], size: int, percent: int) -> list[tuple[int, int]]:
+def _cross_block(comp, side, bodies: list[str], maps: list[np.ndarray], n: np.ndarray, size: int, percent: int) -> list[tuple[int, int]]:
     """Links between the components of one bucket's two blocks, as rows: as
     many as it takes to join what is similar, so fewer than there are
-    components.  Pairs that maps allow are looked at until they are joined."""
-    maps, n = bit_maps(bodies, size)
+    components.  Pairs that maps (``bit_maps`` of the bodies) allow are looked
+    at until they are joined."""
     comp, words = comp.copy(), np.array([len(m) for m in maps])
     widths = [(w, np.flatnonzero(words == w)) for w in np.unique(words)]
     stacks = [np.stack([maps[r] for r in rows]) for _, rows in widths]
@@ -324,12 +363,21 @@ def _cross(size: int, percent: int):
             key, i, j, sides, name, comp = (np.asarray(table[c]) for c in ("key", "i", "j", "side", "name", "comp"))
             bodies = table["body"].to_pylist()
             cuts = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            ends = np.append(cuts, len(key))
+            chars = np.cumsum([len(body) for body in bodies])
             a, b = [], []
-            for lo, hi in zip([0, *cuts], [*cuts, len(key)]):
+            lo = first = last = 0
+            for hi in ends.tolist():
+                if hi > last:  # maps of the next buckets together, of one at least
+                    fit = np.searchsorted(chars, (chars[lo - 1] if lo else 0) + MAP_CHARS, "right")
+                    first, last = lo, max(hi, int(ends[max(np.searchsorted(ends, fit, "right") - 1, 0)]))
+                    maps, n = bit_maps(bodies[first:last], size)
                 side = sides[lo:hi] if i[lo] != j[lo] else np.arange(hi - lo)
-                for x, y in _cross_block(comp[lo:hi], side, bodies[lo:hi], size, percent):
+                at = slice(lo - first, hi - first)
+                for x, y in _cross_block(comp[lo:hi], side, bodies[lo:hi], maps[at], n[at], size, percent):
                     a.append(name[lo + x])
                     b.append(name[lo + y])
+                lo = hi
             return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
         held = None
@@ -444,7 +492,8 @@ def line_dedup(df: DataFrame, percent: int = 80, size: int = SHINGLE, bands: int
     probability of 0.0004; above it, with less.
     """
     docs = named_texts(df, id_col, text_col)
-    gone = repeated_lines(docs, size, percent, bands, rows)
+    with arrow_rows(df.sparkSession, BATCH_ROWS):
+        gone = repeated_lines(docs, size, percent, bands, rows)
     text = F.col(text_col).cast("string")
     fingerprint = F.xxhash64(text)
     found = gone.select(F.col("id").alias("__id"), F.col("fingerprint").alias("__fingerprint"), F.col("gone").alias("__gone"))
