@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from cabmeter.llm import linededup, textops
 from cabmeter.llm.tables import arrow_rows
@@ -70,3 +71,73 @@ def test_batches_are_small_while_lines_are_compared(spark, monkeypatch):
         assert spark.conf.get(key) == "7"
         1 / 0
     assert spark.conf.get(key) == before
+
+
+def test_lines_are_taken_out_without_python(spark):
+    docs = spark.createDataFrame([(1, "one line here\n\nanother\n", 7), (2, "One line here \nits own", 8), (3, None, 9), (4, "", 1), (None, "another", 2)],
+                                 "doc_id long, text string, n int")
+    out = linededup.line_dedup(docs)
+    plan = out._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" not in plan and "MapInArrow" not in plan  # texts are not sent to Python workers once more
+    assert "strategy=shuffle_hash" in plan  # nor sorted
+    rows = {(r.n, r.doc_id): (r.text, r.removed_lines) for r in out.collect()}
+    assert rows == {(7, 1): ("one line here\n\nanother\n", 0), (8, 2): ("its own", 1), (9, 3): (None, 0), (1, 4): ("", 0), (2, None): ("another", 0)}
+
+
+def test_lines_by_number(spark):
+    texts = ["a\nb\nc", "a", "", "\n", "x\r\n\ny\n\n", "".join(f"line {k}\n" for k in range(3000))]
+    gone = [[1], [0], [0], [1, 0], [0, 4, 2], list(range(0, 3000, 2))]
+    frame = spark.createDataFrame(list(enumerate(zip(texts, gone))), "n int, t struct<text: string, gone: array<int>>")
+    got = {r.n: r.left for r in frame.select("n", linededup.without_lines(F.col("t.text"), F.col("t.gone")).alias("left")).collect()}
+    for n, (text, numbers) in enumerate(zip(texts, gone)):
+        assert got[n] == "\n".join(line for k, line in enumerate(text.split("\n")) if k not in numbers)
+
+
+def test_shingles_of_small_buckets_are_made_together(monkeypatch):
+    """Links join what brute force joins, whatever the width of maps and side."""
+    calls = []
+    real = linededup.char_shingles
+    monkeypatch.setattr(linededup, "char_shingles", lambda lines, size: calls.append(1) or real(lines, size))
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(60):
+        base = "".join(rng.choice(list("abcd "), int(rng.choice([20, 120, 400]))))
+        for r in range(int(rng.integers(2, 9))):
+            own = base[: int(rng.integers(len(base) * 3 // 4, len(base) + 1))]
+            rows.append((k, 0, k % 2, int(rng.integers(0, 2)), len(rows), len(rows) - int(rng.integers(0, 2)), own))
+    names = ["key", "i", "j", "side", "name", "comp", "body"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names)
+
+    def roots(links):
+        root = {r[4]: (r[0], r[5]) for r in rows}
+        for a, b in links:
+            gone, stays = root[b], root[a]
+            root = {k: stays if v == gone else v for k, v in root.items()}
+        order = {}
+        return [order.setdefault(root[r[4]], len(order)) for r in rows]
+
+    brute = []
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[4] < b[4] and (a[2] == 0 or a[3] != b[3]):
+                one, two = (set(r[6][c: c + 8] for c in range(max(len(r[6]) - 7, 1))) for r in (a, b))
+                if 100 * len(one & two) >= 80 * len(one | two):
+                    brute.append((a[4], b[4]))
+    for small, words, most in ((64, 1 << 20, 1 << 20), (64, 1, 1 << 20), (4, 1 << 20, 300), (0, 1 << 20, 1 << 20)):
+        monkeypatch.setattr(linededup, "SMALL_BUCKET", small)
+        monkeypatch.setattr(linededup, "PAIR_WORDS", words)
+        monkeypatch.setattr(linededup, "MAP_CHARS", most)
+        del calls[:]
+        links = [(r["a"], r["b"]) for r in pa.Table.from_batches(linededup._cross(8, 80)([batch])).to_pylist()]
+        assert roots(links) == roots(brute) and 0 < len(links) < len(rows)
+        if (small, words, most) == (64, 1 << 20, 1 << 20):
+            assert len(calls) <= 4
+
+
+def test_runs_by_doubling():
+    values = textops.scramble(np.arange(50, dtype=np.uint64), 3)
+    for n in (0, 1, 5, 8, 50):
+        sums = textops.prefix_sums(values[:n])
+        for size in (1, 2, 3, 5, 7, 8, 13):
+            at = np.arange(max(n - size + 1, 0))
+            assert (textops.run_hashes(values[:n], size) == textops.span_hash(sums, at, at + size)).all()
