@@ -13,7 +13,7 @@ lines that share one become rows.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cabmeter.llm.components import components
@@ -39,10 +39,11 @@ MAP_CHARS = 1 << 20
 #: once, if these have at most so many words.
 SMALL_BUCKET, PAIR_WORDS = 64, 1 << 20
 #: Attempts to fill empty bins one by one, and empty bins looked up at once.
-QUICK_ATTEMPTS, FILLED_AT_ONCE = 3, 1 << 13
+QUICK_ATTEMPTS, FILLED_AT_ONCE = 8, 1 << 13
 _turn_tables: dict[int, np.ndarray] = {}
 _source_tables: dict[int, np.ndarray] = {}
 _triangles: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_value_tables: dict[str, np.ndarray] = {}
 LINES = "id long, fingerprint long, line int, name long, keys array<long>, body string"
 
 
@@ -51,29 +52,41 @@ def normal_lines(text: str | None) -> list[str]:
     return [line.strip() for line in (text or "").lower().split("\n")]
 
 
-def char_shingles(lines: list[str], size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _common_values() -> np.ndarray:
+    """A value for each of the common code points."""
+    if "common" not in _value_tables:
+        _value_tables["common"] = scramble(np.arange(1 << 12, dtype=np.uint64), 51)
+    return _value_tables["common"]
+
+
+def char_shingles(lines: list[str], size: int, named: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     """Hashes of the character runs of ``size`` of lines that are not empty
-    (a shorter line is one run), the line of each, and a name for each line."""
+    (a shorter line is one run), the line of each, and if ``named`` a name for
+    each line."""
     points = np.frombuffer("".join(lines).encode("utf-32-le", "surrogatepass"), np.uint32)
-    common = scramble(np.arange(1 << 12, dtype=np.uint64), 51)
-    values = common[np.minimum(points, len(common) - 1)]
-    rare = np.flatnonzero(points >= len(common))
-    values[rare] = scramble(points[rare].astype(np.uint64), 51)
-    length = np.array([len(line) for line in lines])
+    common = _common_values()
+    values = common.take(points, mode="clip")
+    if len(points) and points.max() >= len(common):
+        rare = np.flatnonzero(points >= len(common))
+        values[rare] = scramble(points[rare].astype(np.uint64), 51)
+    length = np.fromiter(map(len, lines), np.int64, len(lines))
     edge = np.concatenate(([0], np.cumsum(length)))
     start, end = edge[:-1], edge[1:]
-    sums = prefix_sums(values)
-    hashes = np.zeros(len(values), np.uint64)
-    whole = run_hashes(values, size)
-    hashes[: len(whole)] = whole
-    hashes += np.uint64(size)
+    short = np.flatnonzero(length < size)
+    sums = prefix_sums(values) if named or len(short) else None
+    whole = run_hashes(values, size) + np.uint64(size)
     begins = np.ones(len(values), bool)
     tail = end[:, None] - np.arange(1, size)
-    begins[tail[tail > start[:, None]]] = False
-    short = np.flatnonzero(length < size)
-    hashes[start[short]] = span_hash(sums, start[short], end[short]) + length[short].astype(np.uint64)
-    names = scramble(span_hash(sums, start, end) + length.astype(np.uint64), 53)
-    return scramble(hashes[begins], 52), np.repeat(np.arange(len(lines)), np.maximum(length - size + 1, 1)), names
+    begins[tail[tail > start[:, None]] if len(short) else tail.ravel()] = False
+    if len(short):
+        hashes = np.zeros(len(values), np.uint64)
+        hashes[: len(whole)] = whole
+        hashes[start[short]] = span_hash(sums, start[short], end[short]) + length[short].astype(np.uint64)
+        hashes = hashes[begins]
+    else:
+        hashes = whole[begins[: len(whole)]]  # the last runs of the last line end with it
+    names = scramble(span_hash(sums, start, end) + length.astype(np.uint64), 53) if named else None
+    return scramble(hashes, 52), np.repeat(np.arange(len(lines)), np.maximum(length - size + 1, 1)), names
 
 
 def _source(bins: int, column: np.ndarray, attempt: int) -> np.ndarray:
@@ -116,16 +129,18 @@ def minhash(shingles: np.ndarray, owner: np.ndarray, sets: int, bins: int) -> np
     place >>= np.uint64(32)
     place = place.view(np.int64)
     place += owner * bins
-    np.minimum.at(least, place, shingles << np.uint64(32) | high)
+    high |= shingles << np.uint64(32)
+    np.minimum.at(least, place, high)
     flat = least.copy()
-    row, column = np.nonzero(least.reshape(sets, bins) == none)
-    first = row * bins
+    empty = np.flatnonzero(least == none)
+    column = empty % bins
     for attempt, source in enumerate(_quick_sources(bins), 1):
-        asked = least[first + source[column]]
+        asked = least[empty + (source - np.arange(bins))[column]]
         found = asked != none
-        flat[(first + column)[found]] = scramble(asked[found], 56 + (attempt & 1023))
-        first, column = first[~found], column[~found]
-    row, least, filled = first // bins, least.reshape(sets, bins), flat.reshape(sets, bins)
+        flat[empty[found]] = scramble(asked[found], 56 + (attempt & 1023))
+        found = ~found
+        empty, column = empty[found], column[found]
+    row, least, filled = empty // bins, least.reshape(sets, bins), flat.reshape(sets, bins)
     full = least != none
     turns = _turns(bins) if len(row) else None
     for lo in range(0, len(row), FILLED_AT_ONCE):
@@ -138,21 +153,25 @@ def minhash(shingles: np.ndarray, owner: np.ndarray, sets: int, bins: int) -> np
     return filled
 
 
-def _band_keys(lines: list[str], size: int, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """Names of lines that are not empty, and their band keys."""
+def _band_keys(lines: list[str], size: int, bands: int, rows: int, named: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Names of lines that are not empty (none if not ``named``), and their
+    band keys."""
     out_names, out_keys, lo = [np.zeros(0, np.uint64)], [np.zeros((0, bands), np.uint64)], 0
-    weights = scramble(np.arange(bands * rows, dtype=np.uint64), 57).reshape(bands, rows) | np.uint64(1)
+    weights = scramble(np.arange(bands * rows, dtype=np.uint64), 57) | np.uint64(1)
     salts = scramble(np.arange(bands, dtype=np.uint64), 58)
     ends = np.cumsum([len(line) for line in lines])
     while lo < len(lines):
         hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + CHARS_AT_ONCE, "right")))
-        shingles, owner, names = char_shingles(lines[lo:hi], size)
-        slots = minhash(shingles, owner, hi - lo, bands * rows).reshape(-1, bands, rows)
-        out_names.append(names)
-        keys = np.broadcast_to(salts, slots.shape[:2])
-        for r in range(rows):
-            keys = keys + slots[:, :, r] * weights[:, r]
-        out_keys.append(scramble(keys, 59))
+        shingles, owner, names = char_shingles(lines[lo:hi], size, named)
+        slots = minhash(shingles, owner, hi - lo, bands * rows)
+        slots *= weights
+        slots = slots.reshape(-1, rows)
+        if named:
+            out_names.append(names)
+        keys = slots[:, 0].copy()
+        for r in range(1, rows):
+            keys += slots[:, r]
+        out_keys.append(scramble(keys.reshape(-1, bands) + salts, 59))
         lo = hi
     return np.concatenate(out_names), np.concatenate(out_keys)
 
@@ -163,7 +182,7 @@ def _key_blocks(size: int, bands: int, rows: int):
 
         def block():
             place = {line: k for k, line in enumerate(dict.fromkeys(lines))}
-            keys = _band_keys(list(place), size, bands, rows)[1][[place[line] for line in lines]] if lines else np.zeros(0, np.uint64)
+            keys = _band_keys(list(place), size, bands, rows, named=False)[1][[place[line] for line in lines]] if lines else np.zeros(0, np.uint64)
             return np.concatenate(ids), np.array(counts), keys.ravel(), None
 
         for batch in batches:
@@ -531,12 +550,11 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     lines = written(docs.join(hits.hint("shuffle_hash"), key).select(*key, "text", "hits").mapInArrow(_shared_lines(size, bands, rows), LINES), "lines")
 
     keys = lines.where("keys is not null").select("name", "keys").dropDuplicates(["name"]).select("name", F.explode("keys").alias("key"))
-    crowds = keys.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    shared = written(keys.join(crowds, "key"), "shared")
-    degree = shared.groupBy("name").agg(F.sum("size").alias("degree"))
-    pivots = (shared.join(degree, "name").groupBy("key")
-              .agg(F.max(F.struct("degree", "name"))["name"].alias("p1"), F.min("name").alias("p2")))
-    pairs = (shared.select("key", "name").join(pivots, "key").select("name", F.explode(F.array("p1", "p2")).alias("p")).where("name != p")
+    of_key, of_name = Window.partitionBy("key"), Window.partitionBy("name")
+    shared = written(keys.withColumn("size", F.count("*").over(of_key)).where("size > 1"), "shared")
+    pivots = (shared.withColumn("degree", F.sum("size").over(of_name))
+              .select("name", F.max(F.struct("degree", "name")).over(of_key)["name"].alias("p1"), F.min("name").over(of_key).alias("p2")))
+    pairs = (pivots.select("name", F.explode(F.array("p1", "p2")).alias("p")).where("name != p")
              .select(F.least("name", "p").alias("a"), F.greatest("name", "p").alias("b")).distinct())
     bodies = written(lines.where("body is not null").select("name", "body").join(shared.select("name").distinct(), "name").dropDuplicates(["name"]), "bodies")
     maps = written(bodies.mapInArrow(_mapped(size), "name long, n long, map binary"), "maps")
@@ -544,8 +562,8 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
     roots = components(links)
 
     label = shared.join(roots.withColumnRenamed("node", "name"), "name", "left").select("key", "name", "size", F.coalesce("root", "name").alias("comp"))
-    split = label.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).where("c0 < c1").select("key")
-    open_ = written(label.where("size > 2").join(split, "key"), "open")
+    split = label.where("size > 2").withColumn("c0", F.min("comp").over(of_key)).withColumn("c1", F.max("comp").over(of_key))
+    open_ = written(split.where("c0 < c1").drop("c0", "c1"), "open")
     if not open_.isEmpty():
         rest = block_pairs(open_, BLOCK).join(bodies, "name")
         dealt = rest.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -556,12 +574,12 @@ def repeated_lines(docs: DataFrame, size: int, percent: int, bands: int, rows: i
         drop_written(more)
 
     first = lines.groupBy("name").agg(F.min(F.struct("id", "line")).alias("first"), F.count("*").alias("n"))
-    member = first.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
+    member = written(first.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name")), "member")
     best = member.groupBy("root").agg(F.min("first").alias("keep"), F.sum("n").alias("total")).where("total > 1")
     stays = member.join(best, "root").select("name", "keep")
     gone = written(lines.select(*key, "line", "name").join(stays, "name").where("struct(id, line) != keep")
                    .groupBy(*key).agg(F.collect_set("line").alias("gone")), "gone")
-    drop_written(lines, shared, bodies, maps, links, open_)
+    drop_written(lines, shared, bodies, maps, links, open_, member)
     return gone
 
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabmeter.llm import linededup, textops
-from cabmeter.llm.tables import arrow_rows
+from cabmeter.llm.repeats import hit_mask
+from cabmeter.llm.tables import arrow_rows, written
 
 
 def test_short_lines_fill_their_bins_at_once(monkeypatch):
@@ -141,3 +142,40 @@ def test_runs_by_doubling():
         for size in (1, 2, 3, 5, 7, 8, 13):
             at = np.arange(max(n - size + 1, 0))
             assert (textops.run_hashes(values[:n], size) == textops.span_hash(sums, at, at + size)).all()
+
+
+def test_band_keys_make_no_names_that_nobody_reads(monkeypatch):
+    rng = np.random.default_rng(5)
+    lines = ["".join(chr(c) for c in rng.integers(0x61, 0x7B if k % 7 else 0x2000, 8 + k)) for k in range(60)]
+    weights = textops.scramble(np.arange(100, dtype=np.uint64), 57).reshape(20, 5) | np.uint64(1)
+    for batch in (lines, ["ab", *lines, "c"], ["x"], ["\U0001F600" * 9, "y" * 300]):
+        names, keys = linededup._band_keys(batch, 8, 20, 5)
+        shingles, owner, _ = linededup.char_shingles(batch, 8)
+        slots = linededup.minhash(shingles, owner, len(batch), 100).reshape(-1, 20, 5)
+        plain = (slots * weights).sum(axis=2, dtype=np.uint64) + textops.scramble(np.arange(20, dtype=np.uint64), 58)
+        assert (keys == textops.scramble(plain, 59)).all() and len(set(names.tolist())) == len(batch)
+        assert (linededup._band_keys(batch, 8, 20, 5, named=False)[1] == keys).all()
+    monkeypatch.setattr(linededup, "prefix_sums", None)  # only names and short lines need them
+    assert len(linededup._band_keys(lines, 8, 20, 5, named=False)[1]) == len(lines)
+
+
+def test_hits_as_a_mask():
+    pairs = np.array([[0, 2], [5, 6], [9, 10]], np.int32)
+    assert hit_mask(pairs.tobytes(), 10).tolist() == [True, True, False, False, False, True, False, False, False, True]
+    assert hit_mask(None, 3).tolist() == [False] * 3 and hit_mask(b"", 0).tolist() == []
+
+
+def test_pairs_of_lines_take_one_shuffle_of_their_keys(spark, monkeypatch):
+    plans = {}
+
+    def kept(df, name):
+        plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString())
+        return written(df, name)
+
+    monkeypatch.setattr(linededup, "written", kept)
+    base = "the quick brown fox jumps over the lazy dog near the river bank today"
+    rows = [(k, base + " " + "abcdefgh"[k] * (k % 3)) for k in range(8)] + [(9, "quite another line of text with nothing alike"), (10, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["removed_lines"] for r in linededup.line_dedup(df).collect()}
+    assert got == {k: int(0 < k < 8) for k in (*range(9), 10) if k != 8} | {9: 0}
+    assert "Join" not in plans["shared"] and plans["shared"].count("Window") == 1
