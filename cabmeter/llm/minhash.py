@@ -23,11 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabmeter.llm.components import components
-from cabmeter.llm.tables import drop_written, written
+from cabmeter.llm.tables import arrow_rows, drop_written, written
 from cabmeter.llm.textops import GOLDEN, hashed_words, scramble, shingle_hashes
 
 BANDS, ROWS = 40, 6
 BLOCK = 1024
+#: Rows of a batch that a Python worker is sent.
+BATCH_ROWS = 1024
 SIGNATURES = "id long, n long, fa long, fb long, bands array<long>, sketch binary"
 
 
@@ -187,7 +189,8 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
     asks for are not compared: 2e-8 of the pairs at the threshold.
     """
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    signed = written(docs.mapInArrow(_signatures(shingle, bands, rows), SIGNATURES), "signatures")
+    with arrow_rows(df.sparkSession, BATCH_ROWS):
+        signed = written(docs.mapInArrow(_signatures(shingle, bands, rows), SIGNATURES), "signatures")
     same = ["n", "fa", "fb"]
     classes = written(signed.where("n > 0 and id is not null").groupBy(*same).agg(F.min("id").alias("rep")), "classes")
     # Rows that repeat id and set are dropped where the join has put them: band keys are shuffled once less.
@@ -202,7 +205,8 @@ def minhash_components(df: DataFrame, shingle: int = 5, percent: int = 80, bands
              .where("id != p").select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b")).distinct())
     pairs = written(pairs, "pairs")
     wanted = shared.select("id").distinct()
-    sets = written(docs.join(wanted, "id").mapInArrow(_sets(shingle), "id long, members array<long>"), "sets")
+    with arrow_rows(df.sparkSession, BATCH_ROWS):
+        sets = written(docs.join(wanted, "id").mapInArrow(_sets(shingle), "id long, members array<long>"), "sets")
     # Sets that share an id are one document's.
     several = signed.where("n > 0 and id is not null").groupBy("id").agg(F.min(F.struct(*same)).alias("one"), F.max(F.struct(*same)).alias("two")).where("one != two")
     several = written(several.select("id"), "several")

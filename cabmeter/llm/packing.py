@@ -18,11 +18,14 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabmeter.llm.tables import written
+from cabmeter.llm.tables import arrow_rows, written
 from cabmeter.llm.textops import byte_values, prefix_sums, row_chunks, scramble, span_hash, utf8
 
 PIECES_KEPT = 1_000_000
 PIECES_AT_ONCE = 5_000
+#: Rows of a batch that a Python worker is sent, and bytes of text that it encodes at once.
+BATCH_ROWS = 1024
+CHUNK_BYTES = 1 << 19
 #: Of a byte: 2 for ASCII letters, 3 for digits, 1 for punctuation, 0 for others.
 KINDS = np.zeros(256, np.uint8)
 KINDS[0x21:0x7F] = 1
@@ -232,10 +235,8 @@ def _slots(bins: list[tuple[int, list[int]]], size: int) -> dict[str, np.ndarray
     return {"key": (table[:, 0] << 44) | table[:, 1], "rank": table[:, 1], "sequence": table[:, 2], "offset": table[:, 3]}
 
 
-def tokenized_pieces(df: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """Pieces of all documents, with their place among the pieces of the same
-    length of the same task."""
-
+def _cut_batches(tokenizer: str, size: int, end_id: int):
+    """Of batches (id, text): the pieces of each document."""
     def work(batches):
         import pyarrow as pa
         from pyspark import TaskContext
@@ -244,7 +245,7 @@ def tokenized_pieces(df: DataFrame, tokenizer: str, size: int, end_id: int, id_c
         places, end = np.zeros(size + 1, np.int64), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             data, offsets = utf8(batch.column(1))
-            for lo, hi in row_chunks(offsets, 2 << 20):
+            for lo, hi in row_chunks(offsets, CHUNK_BYTES):
                 ids, edges = encode(data[offsets[lo]: offsets[hi]], offsets[lo: hi + 1] - offsets[lo])
                 rows = []
                 for i, doc in enumerate(batch.column(0)[lo:hi].to_pylist()):
@@ -257,8 +258,15 @@ def tokenized_pieces(df: DataFrame, tokenizer: str, size: int, end_id: int, id_c
                 types = (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), types)], [c.split()[0] for c in PIECES.split(", ")])
 
+    return work
+
+
+def tokenized_pieces(df: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str, text_col: str) -> DataFrame:
+    """Pieces of all documents, with their place among the pieces of the same
+    length of the same task."""
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return written(docs.mapInArrow(work, PIECES), "pieces")
+    with arrow_rows(df.sparkSession, BATCH_ROWS):
+        return written(docs.mapInArrow(_cut_batches(tokenizer, size, end_id), PIECES), "pieces")
 
 
 def pack_documents(df: DataFrame, tokenizer: str, size: int = 2048, end_id: int = 0,
