@@ -20,6 +20,7 @@ from .. import schema as S
 from ..functions import columns as C
 from ..functions.quantiles import attach, quantiles
 from ..session import checkpoint_dir
+from . import boosting
 
 
 def fit_ols(train: DataFrame, features: Sequence[str] = S.OLS_FEATURES,
@@ -71,6 +72,9 @@ def fit_boosted(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
     categorical (``VectorIndexer`` on their own vector), the rest numeric.
     A categorical column with more than ``max_bins`` values is an error.
 
+    ``boosting`` grows the trees of ``GBTRegressor`` over packed rows; trees
+    deeper than it can (``boosting.DEPTH``) are left to Spark's own code.
+
     ``zones_categorical`` moves the pickup/dropoff zones to the categorical
     side (Spark has no 255-category ceiling; ``maxBins`` is raised to cover
     the 265 zones).  Off by default, as in the reference."""
@@ -79,35 +83,41 @@ def fit_boosted(train: DataFrame, numeric: Sequence[str] = S.BOOSTED_NUMERIC,
         numeric = [c for c in numeric if c not in zones]
         categorical = list(categorical) + [z for z in zones if z not in categorical]
         max_bins = max(max_bins, S.ZONE_RANGE[1] + 1)
-    stages = []
-    cat_vec = []
-    if categorical:
-        counts = train.agg(*[F.count_distinct(F.col(c)).alias(c) for c in categorical]).first()
-        wide = {c: counts[c] for c in categorical if counts[c] > max_bins}
-        if wide:
-            raise ValueError(f"categorical columns with more than {max_bins} values: {wide}")
-        stages.append(VectorAssembler(inputCols=list(categorical), outputCol="_cat_raw",
-                                      handleInvalid="keep"))
-        stages.append(VectorIndexer(inputCol="_cat_raw", outputCol="_cat",
-                                    maxCategories=max(2, *counts), handleInvalid="keep"))
-        cat_vec = ["_cat"]
-    stages.append(VectorAssembler(inputCols=list(numeric) + cat_vec, outputCol="features",
-                                  handleInvalid="keep"))
-    stages.append(GBTRegressor(featuresCol="features", labelCol=target,
-                               predictionCol="prediction", maxIter=max_iter,
-                               maxDepth=max_depth, minInstancesPerNode=min_leaf,
-                               stepSize=step, maxBins=max_bins, seed=seed,
-                               lossType="squared"))
     data = train.select(*[F.col(c).cast("double") for c in list(numeric) + list(categorical)],
                         F.col(target).cast("double"))
     checkpoint_dir(train.sparkSession)  # boosting cuts its lineage there every ten rounds
     if persist:
-        data = data.persist()     # boosting re-reads the frame every iteration
+        data = data.persist()     # read for the categories, the thresholds and the bins
     try:
-        return Pipeline(stages=stages).fit(data)
+        stages = []
+        cat_vec = []
+        if categorical:
+            counts = distinct_counts(data, categorical)
+            wide = {c: counts[c] for c in categorical if counts[c] > max_bins}
+            if wide:
+                raise ValueError(f"categorical columns with more than {max_bins} values: {wide}")
+            stages.append(VectorAssembler(inputCols=list(categorical), outputCol="_cat_raw",
+                                          handleInvalid="keep"))
+            stages.append(VectorIndexer(inputCol="_cat_raw", outputCol="_cat",
+                                        maxCategories=max(2, *counts.values()), handleInvalid="keep"))
+            cat_vec = ["_cat"]
+        stages.append(VectorAssembler(inputCols=list(numeric) + cat_vec, outputCol="features",
+                                      handleInvalid="keep"))
+        gbt = GBTRegressor(featuresCol="features", labelCol=target,
+                           predictionCol="prediction", maxIter=max_iter,
+                           maxDepth=max_depth, minInstancesPerNode=min_leaf,
+                           stepSize=step, maxBins=max_bins, seed=seed,
+                           lossType="squared")
+        if max_depth > boosting.DEPTH:
+            return Pipeline(stages=[*stages, gbt]).fit(data)
+        prepared = Pipeline(stages=stages).fit(data)
+        maps = prepared.stages[1].categoryMaps if categorical else {}
+        layout, rows = boosting.packed(data, data.columns[:-1], [{}] * len(numeric) + [dict(maps[i]) for i in range(len(categorical))],
+                                       target, max_bins, seed)
     finally:
         if persist:
             data.unpersist()
+    return PipelineModel([*prepared.stages, boosting.fit_packed(gbt, train.sparkSession, layout, rows)])
 
 
 def fit_boosted_12(train: DataFrame, **kw) -> PipelineModel:
