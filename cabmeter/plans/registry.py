@@ -89,6 +89,13 @@ def boosted_model(spark, sf):
     return _BOOSTED[key]
 
 
+def dealt(spark, sf, name):
+    """What a boosted model needs of one part, dealt evenly: trips are stored
+    by time, so a part is in a few files, whose tasks would be too few to score it."""
+    rows = part(spark, sf, name).select(*S.BOOSTED_FEATURES_12, S.DURATION)
+    return rows.repartition(spark.sparkContext.defaultParallelism)
+
+
 def ols_scored(spark, sf, name):
     return ols_model(spark, sf).transform(part(spark, sf, name))
 
@@ -248,12 +255,12 @@ def q_boosted_score(spark, sf):
 
 
 def q_fit_boosted_11(spark, sf):
-    return M.regression_metrics(boosted_model(spark, sf)[0].transform(part(spark, sf, "validation")))
+    return M.regression_metrics(boosted_model(spark, sf)[0].transform(dealt(spark, sf, "validation")))
 
 
 def q_boosted_comparison(spark, sf):
     model = boosted_model(spark, sf)[0]
-    return M.compare_parts(*(M.regression_metrics(model.transform(part(spark, sf, n))) for n in ("validation", "test")))
+    return M.compare_parts(*(M.regression_metrics(model.transform(dealt(spark, sf, n))) for n in ("validation", "test")))
 
 
 def q_distance_cap(spark, sf):
@@ -289,7 +296,7 @@ def q_split_candidates(spark, sf):
 def q_fit_boosted(categorical):
     def run(spark, sf):
         model = M.fit_boosted(part(spark, sf, "train"), S.BOOSTED_NUMERIC, categorical)
-        return M.regression_metrics(model.transform(part(spark, sf, "validation")))
+        return M.regression_metrics(model.transform(dealt(spark, sf, "validation")))
     return run
 
 

@@ -94,3 +94,12 @@ def test_thresholds_follow_counts():
     assert list(B.candidate_thresholds(values, 1.0, 100, 10)) == [0.5, 1.5, 2.5, 6.5]
     assert list(B.candidate_thresholds(values, 1.0, 100, 1)) == [6.5]
     assert len(B.candidate_thresholds(np.zeros(5), 1.0, 5, 10)) == 0
+
+
+def test_held_out_rows_are_dealt(spark):
+    """Trips are stored by time, so a part was scored in the few tasks of its files."""
+    from cabmeter.plans import registry as Q
+
+    rows = Q.dealt(spark, "/root/testdata/sf0.001", "validation")
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert rows.count() == Q.part(spark, "/root/testdata/sf0.001", "validation").count()
